@@ -59,7 +59,7 @@ def cte(name, deps, sql):
 cte("dim_store", [], """
 SELECT s.s_suppkey AS store_id,
        'S' || lpad(CAST(s.s_suppkey AS VARCHAR), 6, '0') AS store_code,
-       s.s_name AS store_name, n.n_name AS store_short_name,
+       replace(s.s_name, '#', '-') AS store_name, n.n_name AS store_short_name,
        CASE WHEN s.s_suppkey % 10 = 8 THEN 'HQ' WHEN s.s_suppkey % 10 = 9 THEN 'Web' ELSE 'store' END AS store_type,
        r.r_name AS area, s.s_suppkey AS display_order, TRUE AS is_active
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey

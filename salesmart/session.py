@@ -29,6 +29,7 @@ def get_spark(app: str = "salesmart", cpus: int | str | None = None,
     b = (SparkSession.builder.appName(app)
          .master(os.environ.get("SPARK_MASTER", f"local[{cpus}]"))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():

@@ -79,7 +79,7 @@ def dim_store(t: Tables) -> DataFrame:
               .select(
                   F.col("s_suppkey").alias("store_id"),
                   F.concat(F.lit("S"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0")).alias("store_code"),
-                  F.col("s_name").alias("store_name"),
+                  F.translate("s_name", "#", "-").alias("store_name"),
                   F.col("n_name").alias("store_short_name"),
                   F.when(F.col("s_suppkey") % 10 == 8, "HQ")
                    .when(F.col("s_suppkey") % 10 == 9, "Web")
