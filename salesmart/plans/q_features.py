@@ -79,7 +79,7 @@ def _feature_query(name, cols, doc, digits=4, extra_sql="", extra_spark=()):
                     *DATASET_NEEDS, local=FEAT_LOCAL)
 
     def fn(spark, sf):
-        return _features(spark, sf).select(*KEY, *_r(cols, digits), *extra_spark)
+        return _features(spark, sf).select(*KEY, *_r(cols, digits), *[F.round(c, d).alias(c) for c, d in extra_spark])
     fn.__doc__ = doc
     query(name, sql)(fn)
 
@@ -93,7 +93,7 @@ _feature_query("lead_flags", ["lead_1_lunar_new_year", "lead_1_mid_autumn"],
 _feature_query("trend_features", ["trend_yoy_adj", "yoy_estimate", "comp_x_lag12", "is_peak_month"],
                "E6 E7 H18 H19: trend-adjusted lag, long trend, interaction, peak flag.",
                extra_sql=", ROUND(month_sin, 9) AS month_sin, ROUND(month_cos, 9) AS month_cos",
-               extra_spark=(F.round("month_sin", 9).alias("month_sin"), F.round("month_cos", 9).alias("month_cos")))
+               extra_spark=(("month_sin", 9), ("month_cos", 9)))
 _feature_query("festival_features", ["cny_shift_signal", "midautumn_shift_signal", "lag_12m_cny_adj",
                                      "sales_festival_midautumn_lag1y", "sales_festival_cny_lag1y"],
                "E8 E9 C13 D22: festival shift signals, holiday-adjusted lag, prior-year festival sales.")
