@@ -123,5 +123,6 @@ def read_metric_dir(spark, path: str) -> DataFrame:
     normalised, metric name from the partition folder or the file name."""
     df = (spark.read.option("header", True).option("recursiveFileLookup", False)
           .schema("year int, month int, value string, metric string").csv(path))
+    # a CSV cell cannot tell an empty payload from a missing one: both read as ''
     return df.select(F.lower(F.trim("metric")).alias("metric"), F.col("year").alias("report_year"),
-                     F.col("month").alias("report_month"), "value")
+                     F.col("month").alias("report_month"), F.coalesce("value", F.lit("")).alias("value"))
