@@ -37,11 +37,11 @@ def date_from_filename(name) -> Column:
 def parse_amount(cell) -> Column:
     """H2: accounting number -> double.  Commas stripped, NULL tokens -> NULL,
     ``(n)`` -> -n, anything that is not a plain number -> NULL."""
-    s = F.trim(F.regexp_replace(col_(cell).cast("string"), ",", ""))
+    s = F.trim(F.replace(col_(cell).cast("string"), F.lit(","), F.lit("")))   # literal, not regex
     neg = s.startswith("(") & s.endswith(")")
-    inner = F.trim(F.regexp_extract(s, r"^\((.*)\)$", 1))
+    inner = F.trim(F.substr(s, F.lit(2), F.length(s) - 2))
     txt = F.when(neg, F.concat(F.lit("-"), inner)).otherwise(s)
-    ok = txt.rlike(NUMBER_PATTERN)
+    ok = txt.rlike(NUMBER_PATTERN)   # the one regular expression per cell
     return F.when(s.isin(*NULL_TOKENS) | s.isNull(), F.lit(None).cast("double")) \
         .when(ok, txt.try_cast("double"))
 

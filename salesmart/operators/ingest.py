@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.text import (basename, date_from_filename, join_or_null, normalise_name,
-                                      parse_amount, parse_int)
+from salesmart.functions.text import basename, date_from_filename, join_or_null, normalise_name, parse_amount
 
 # Report columns after the label cell, in order (17 measures)
 MEASURES = [
@@ -39,23 +38,44 @@ def list_report_files(spark, root: str, glob: str = "*.pdf") -> DataFrame:
 
 # A2 B10 ---------------------------------------------------------------------
 def longest_tables(cells: DataFrame) -> DataFrame:
-    """Keep, per (file, page), the table with most rows (lowest table_no on ties)."""
-    sizes = cells.groupBy("source_file", "page", "table_no").agg(F.count(F.lit(1)).alias("n"))
-    best = (sizes.groupBy("source_file", "page")
-            .agg(F.min_by("table_no", F.struct(-F.col("n"), F.col("table_no"))).alias("table_no")))
-    return cells.join(best, ["source_file", "page", "table_no"], "left_semi")
+    """Keep, per (file, page), the table with most rows (lowest table_no on
+    ties) — windows over the page, so the cells are read once (no self join)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("source_file", "page", "table_no"))
+    c = cells.withColumn("_n", n)
+    best = F.max(F.struct(F.col("_n").alias("n"), (-F.col("table_no")).alias("neg_table"))) \
+        .over(Window.partitionBy("source_file", "page"))
+    c = c.withColumn("_best", best)
+    return c.filter((F.col("_n") == F.col("_best.n")) & (F.col("table_no") == -F.col("_best.neg_table"))) \
+        .drop("_n", "_best")
 
 
-def is_data_row(cells) -> F.Column:
+MAX_CELLS = 1 + len(MEASURES)   # label + measures: the record builder reads no further
+
+
+def cell_numbers(cells) -> F.Column:
+    """H2 on each of the first MAX_CELLS cells once: array<double> (NULL past
+    the end of a ragged row).  Unrolled per position rather than a lambda so
+    the parse stays inside whole-stage codegen."""
+    c = F.col(cells) if isinstance(cells, str) else cells
+    return F.array(*[parse_amount(F.get(c, i)) for i in range(MAX_CELLS)])
+
+
+def is_data_row(cells, nums=None) -> F.Column:
     """Any of cells 1..5 parses as a number (an all-zero row counts)."""
     c = F.col(cells) if isinstance(cells, str) else cells
-    check = F.when(F.size(c) > 5, F.slice(c, 2, 5)).otherwise(F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))))
-    return F.exists(check, lambda x: parse_amount(x).isNotNull())
+    v = nums if nums is not None else cell_numbers(c)
+    out = None
+    for i in range(1, 6):   # positions past the row's end are NULL
+        e = F.get(v, i).isNotNull()
+        out = e if out is None else out | e
+    return out
 
 
 def data_rows(cells: DataFrame) -> DataFrame:
-    """A2 + B10, numbered 0.. within each (file, page) in line order."""
-    rows = longest_tables(cells).filter(is_data_row("cells"))
+    """A2 + B10, numbered 0.. within each (file, page) in line order; keeps
+    the parsed numbers (``nums``) for the record builder."""
+    rows = longest_tables(cells).withColumn("nums", cell_numbers("cells"))
+    rows = rows.filter(is_data_row("cells", F.col("nums")))
     w = Window.partitionBy("source_file", "page").orderBy("pos")
     return rows.withColumn("idx", F.row_number().over(w) - 1)
 
@@ -82,33 +102,27 @@ def detect_layout(rows: DataFrame, layouts, tolerance: int = 2) -> DataFrame:
 
 
 # I1 I2 -----------------------------------------------------------------------
-def _label(cells):
-    first = F.get(cells, 0)
-    textual = parse_amount(first).isNull() & first.isNotNull() & (first != "")
-    return F.when(textual, normalise_name(first))
-
-
 def cells_to_records(cells: DataFrame) -> DataFrame:
     """Lines -> typed records.  Line 2k is the DAILY row and 2k+1 the MTD row
     of store k; the label cell wins, a blank MTD label inherits the DAILY one;
     a DAILY row without a label is dropped (no positional fallback); the
     column offset is 0 when cell 0 is numeric, else 1; out-of-range cells are
-    NULL; personnel columns are blanked (B16)."""
+    NULL; personnel columns are blanked (B16).  Each cell is parsed once."""
     rows = data_rows(cells)
     w = Window.partitionBy("source_file", "page").orderBy("idx")
-    lab = _label(F.col("cells"))
-    rows = (rows.withColumn("own_label", lab)
-            .withColumn("prev_label", F.lag(lab, 1).over(w))
-            .withColumn("is_mtd", F.col("idx") % 2 == 1))
+    first = F.get(F.col("cells"), 0)
+    textual = F.get(F.col("nums"), 0).isNull() & first.isNotNull() & (first != "")
+    rows = rows.withColumn("own_label", F.when(textual, normalise_name(first)))
+    rows = (rows.withColumn("prev_label", F.lag("own_label", 1).over(w))
+            .withColumn("is_mtd", F.col("idx") % 2 == 1)
+            .withColumn("offset", F.when(F.get(F.col("nums"), 0).isNotNull(), 0).otherwise(1)))
     rows = rows.withColumn("store_name", F.when(F.col("is_mtd"), F.coalesce("own_label", "prev_label"))
                            .otherwise(F.col("own_label")))
-    # an MTD line whose DAILY line had no label is dropped with it
     rows = rows.filter(F.col("store_name").isNotNull())
-    offset = F.when(parse_amount(F.get(F.col("cells"), 0)).isNotNull(), 0).otherwise(1)
     meas = []
     for i, (name, kind) in enumerate(MEASURES):
-        cell = F.get(F.col("cells"), offset + i)
-        v = parse_int(cell) if kind == "int" else parse_amount(cell)
+        v = F.get(F.col("nums"), F.col("offset") + i)
+        v = v.cast("bigint") if kind == "int" else v
         if name in PERSONNEL:
             v = F.lit(None).cast("bigint" if kind == "int" else "double")
         meas.append(v.alias(name))
@@ -190,27 +204,35 @@ def unknown_stores(records: DataFrame, dim: DataFrame) -> DataFrame:
             .join(dim.select("store_name"), "store_name", "left_anti"))
 
 
-def apply_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_row") -> DataFrame:
-    """skip_row keeps known rows (semi join); skip_day drops every file
-    that has any unknown row; rows get their store_id from the dimension."""
-    known = records.join(dim.select("store_name", "store_id"), "store_name")
+def flag_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_row") -> DataFrame:
+    """J7 in one pass: left join to the dimension gives store_id (NULL =
+    unknown); ``_keep`` says whether the row loads.  skip_row drops unknown
+    rows; skip_day drops every row of a file that has any unknown row (a
+    window per file — one report, a bounded group)."""
+    r = records.join(dim.select("store_name", "store_id"), "store_name", "left")
+    unknown = F.col("store_id").isNull()
     if policy == "skip_row":
-        return known
-    if policy == "skip_day":
-        bad = unknown_stores(records, dim).select("source_file").distinct()
-        return known.join(bad, "source_file", "left_anti")
-    raise ValueError(policy)
-
-
-def load_outcomes(records: DataFrame, loaded: DataFrame, policy: str) -> DataFrame:
-    """One outcome row per file: SUCCESS with the rows loaded, SKIPPED
-    when the policy dropped the whole file, FAILED when it parsed to nothing."""
-    parsed = records.groupBy("source_file").agg(F.count(F.lit(1)).alias("records_parsed"))
-    got = loaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("records_loaded"))
-    j = parsed.join(got, "source_file", "left")
-    n = F.coalesce("records_loaded", F.lit(0))
+        keep = ~unknown
+    elif policy == "skip_day":
+        keep = ~F.max(unknown.cast("int")).over(Window.partitionBy("source_file")).cast("boolean")
+    else:
+        raise ValueError(policy)
+    return r.withColumn("_keep", keep)
+
+
+def apply_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_row") -> DataFrame:
+    """The rows that load under ``policy``, with their store_id."""
+    return flag_store_policy(records, dim, policy).filter("_keep").drop("_keep")
+
+
+def load_outcomes(flagged: DataFrame, policy: str) -> DataFrame:
+    """One outcome row per file from the flagged rows: SUCCESS with the
+    rows loaded, SKIPPED when the policy dropped the whole file, FAILED when
+    it parsed to nothing."""
+    g = flagged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records_parsed"),
+                                          F.count_if(F.col("_keep")).alias("records_loaded"))
     status = (F.when(F.col("records_parsed") == 0, "FAILED")
-              .when(n == 0, "SKIPPED").otherwise("SUCCESS"))
-    return j.select("source_file", F.col("records_parsed").cast("bigint").alias("records_parsed"),
-                    n.cast("bigint").alias("records_loaded"), status.alias("status"),
+              .when(F.col("records_loaded") == 0, "SKIPPED").otherwise("SUCCESS"))
+    return g.select("source_file", F.col("records_parsed").cast("bigint").alias("records_parsed"),
+                    F.col("records_loaded").cast("bigint").alias("records_loaded"), status.alias("status"),
                     F.lit(policy).alias("policy"))

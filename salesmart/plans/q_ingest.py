@@ -190,6 +190,4 @@ def q_unknown_store_policy_day(spark, sf):
     """J7 skip_day + J8: whole files with an unknown store are skipped; one
     outcome row per file."""
     t = Tables(spark, sf)
-    rec = _records(spark, sf)
-    kept = I.apply_store_policy(rec, _snapshot_dim(t), "skip_day")
-    return I.load_outcomes(rec, kept, "skip_day")
+    return I.load_outcomes(I.flag_store_policy(_records(spark, sf), _snapshot_dim(t), "skip_day"), "skip_day")

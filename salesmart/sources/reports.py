@@ -16,9 +16,10 @@ report page is a bounded group however large the store table is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.numeric import half_up_ratio_2dp
 from salesmart.functions.text import format_amount
 from salesmart.sources import bindings as B
 from salesmart.sources.tables import Tables
@@ -39,49 +40,59 @@ def report_file_name(d, block):
 
 
 def report_cells(t: Tables) -> DataFrame:
-    """(source_file, page, table_no, pos, cells) — see module doc."""
+    """(source_file, page, table_no, pos, cells) — see module doc.
+
+    One pipeline: the per-store daily aggregate, the MTD running sums beside it
+    (window per store-month), then one ``explode`` emitting each store's DAILY
+    and MTD lines, plus the page header and a footnote table on the page's
+    first store (window per report page, a bounded group)."""
     daily = B.store_daily(t)
-    mtd = B.month_to_date(daily)
+    w_mtd = (Window.partitionBy("store_id", F.trunc("report_date", "month")).orderBy("report_date")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = daily.select(
+        "report_date", "store_id", "sales_result", "customer_count", "unit_price", "transfer_amount",
+        "sales_incl_result",
+        F.sum("sales_result").over(w_mtd).cast(B.MONEY).alias("m_sales_result"),
+        F.sum("customer_count").over(w_mtd).cast("int").alias("m_customer_count"),
+        F.sum("transfer_amount").over(w_mtd).cast(B.MONEY).alias("m_transfer_amount"),
+        F.sum("sales_incl_result").over(w_mtd).cast(B.MONEY).alias("m_sales_incl_result"))
+    both = both.withColumn("m_unit_price", half_up_ratio_2dp("m_sales_result", "m_customer_count", "decimal(12,2)"))
     names = B.dim_store(t).select("store_id", "store_name")
-
-    def lines(df, is_mtd: bool):
-        sid = F.col("store_id")
-        label_variant = sid % 5
-        name = F.col("store_name")
-        label = (F.when(label_variant == 1, F.regexp_replace(name, "-", "–"))
-                 .when(label_variant == 2, F.concat(name, F.lit("\nALL 19 STORES")))
-                 .when(label_variant == 3, F.concat(F.lit("  "), name, F.lit("  ")))
-                 .otherwise(name))
-        measures = [
-            format_amount(F.col("sales_result"), 2), F.lit("N/A"), F.lit("-"),
-            format_amount(F.col("customer_count"), 0), F.lit("#N/A"),
-            format_amount(F.col("unit_price"), 2), F.lit("#VALUE!"),
-            F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
-            format_amount(F.col("transfer_amount"), 2), format_amount(F.col("sales_incl_result"), 2),
-            F.lit("-"), F.lit("-")]
-        arr = F.array(*measures)
-        if is_mtd:
-            # MTD lines: blank label cell, or no label cell at all (offset 0); some are ragged
-            arr = F.when(sid % 7 == 6, F.slice(arr, 1, 15)).otherwise(arr)
-            cells = F.when(sid % 3 == 0, arr).otherwise(F.concat(F.array(F.lit("")), arr))
-        else:
-            cells = F.concat(F.array(label), arr)
-        block = (sid / STORES_PER_BLOCK).cast("bigint")
-        slot = sid % STORES_PER_BLOCK
-        return df.join(names, "store_id").select(
-            report_file_name(F.col("report_date"), block).alias("source_file"),
-            F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"),
-            F.lit(1).alias("table_no"),
-            (F.lit(10) + (slot % PAGE1_STORES) * 2 + (1 if is_mtd else 0)).cast("int").alias("pos"),
-            cells.alias("cells"))
-
-    data = lines(daily, False).unionByName(lines(mtd, True))
-    pages = data.select("source_file", "page").distinct()
-    header = pages.select("source_file", "page", F.lit(1).alias("table_no"), F.lit(0).alias("pos"),
-                          F.array(*[F.lit(h) for h in HEADER]).alias("cells"))
-    footnote = pages.select("source_file", "page", F.lit(2).alias("table_no"), F.lit(0).alias("pos"),
-                            F.array(F.lit("Note"), F.lit("1,234"), F.lit("unaudited")).alias("cells"))
-    return data.unionByName(header).unionByName(footnote)
+    sid = F.col("store_id")
+    block = (sid / STORES_PER_BLOCK).cast("bigint")
+    slot = sid % STORES_PER_BLOCK
+    j = both.join(names, "store_id").select(
+        "*", report_file_name(F.col("report_date"), block).alias("source_file"),
+        F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"), (slot % PAGE1_STORES).alias("row_slot"))
+    first_in_page = F.col("row_slot") == F.min("row_slot").over(Window.partitionBy("source_file", "page"))
+
+    def measures(p):
+        return [format_amount(F.col(f"{p}sales_result"), 2), F.lit("N/A"), F.lit("-"),
+                format_amount(F.col(f"{p}customer_count"), 0), F.lit("#N/A"),
+                format_amount(F.col(f"{p}unit_price"), 2), F.lit("#VALUE!"),
+                F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+                format_amount(F.col(f"{p}transfer_amount"), 2), format_amount(F.col(f"{p}sales_incl_result"), 2),
+                F.lit("-"), F.lit("-")]
+    name = F.col("store_name")
+    label = (F.when(sid % 5 == 1, F.regexp_replace(name, "-", "–"))
+             .when(sid % 5 == 2, F.concat(name, F.lit("\nALL 19 STORES")))
+             .when(sid % 5 == 3, F.concat(F.lit("  "), name, F.lit("  ")))
+             .otherwise(name))
+    daily_cells = F.concat(F.array(label), F.array(*measures("")))
+    m_arr = F.array(*measures("m_"))
+    m_arr = F.when(sid % 7 == 6, F.slice(m_arr, 1, 15)).otherwise(m_arr)   # ragged line
+    mtd_cells = F.when(sid % 3 == 0, m_arr).otherwise(F.concat(F.array(F.lit("")), m_arr))  # no / blank label
+    pos0 = F.lit(10) + F.col("row_slot") * 2
+
+    def line(table_no, pos, cells):
+        return F.struct(F.lit(table_no).alias("table_no"), pos.cast("int").alias("pos"), cells.alias("cells"))
+    lines = F.array(line(1, pos0, daily_cells), line(1, pos0 + 1, mtd_cells))
+    extra = F.array(line(1, F.lit(0), F.array(*[F.lit(h) for h in HEADER])),
+                    line(2, F.lit(0), F.array(F.lit("Note"), F.lit("1,234"), F.lit("unaudited"))))
+    allx = F.when(F.col("_first"), F.concat(lines, extra)).otherwise(lines)
+    j = j.withColumn("_first", first_in_page)
+    return j.select("source_file", "page", F.explode(allx).alias("l")).select(
+        "source_file", "page", "l.table_no", "l.pos", "l.cells")
 
 
 # ---------------------------------------------------------------------------
