@@ -105,7 +105,8 @@ def macro_wide(long: DataFrame, spine: DataFrame) -> DataFrame:
 
 
 def macro_indicators(t: Tables) -> DataFrame:
-    return macro_wide(macro_long(t), month_spine(t.orders, "o_orderdate"))
+    """The wide month table (one row per month), materialised once per query."""
+    return t.memo("macro", lambda: macro_wide(macro_long(t), month_spine(t.orders, "o_orderdate")))
 
 
 def write_metric_split(long: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -299,8 +299,11 @@ DATASET_NEEDS = ("category_fact", "gift_mapping", "macro")
 
 
 def group_dataset_df(spark, sf):
+    """The group dataset (groups x months) that features, statistics and
+    forecasts read many times: materialised once per query."""
     t = Tables(spark, sf)
-    return M.group_analysis_dataset(_canonical(spark, sf), macro_indicators(t))
+    return t.memo("group_dataset", lambda: M.group_analysis_dataset(
+        M.canonical_monthly(B.category_fact(t), B.gift_mapping(spark)), macro_indicators(t)))
 
 
 query("group_analysis_dataset", with_ctes("SELECT * FROM ds", *DATASET_NEEDS, local=DATASET_LOCAL))(group_dataset_df)

@@ -228,6 +228,17 @@ def category_sales_monthly(t: Tables) -> DataFrame:
 
 
 def category_fact(t: Tables) -> DataFrame:
+    """Category fact, computed once per query and materialised (it is small:
+    categories x periods, while the join behind it grows with the data)."""
+    return t.memo("category_fact", lambda: _category_fact(t))
+
+
+def kpi_fact(t: Tables) -> DataFrame:
+    """KPI fact (MONTHLY and ANNUAL), materialised once per query."""
+    return t.memo("kpi_fact", lambda: _kpi_fact(t))
+
+
+def _category_fact(t: Tables) -> DataFrame:
     """fact_kouseihi_category: grain (report_year, report_month, period_type, category).
 
     MONTHLY rows per category plus TOTAL; H1/H2/ANNUAL rows (report_month NULL)
@@ -261,7 +272,7 @@ def category_fact(t: Tables) -> DataFrame:
         F.max("composition_curr_pct").over(prev).alias("composition_prev_pct"))
 
 
-def kpi_fact(t: Tables) -> DataFrame:
+def _kpi_fact(t: Tables) -> DataFrame:
     """fact_kouseihi_kpi (MONTHLY and ANNUAL rows): customers = distinct
     ordering customers, unit price = TOTAL sales / customers, average daily
     sales = TOTAL / days in period."""

@@ -20,6 +20,22 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._memo: dict[str, DataFrame] = {}
+
+    def memo(self, key: str, build, materialize: bool = True) -> DataFrame:
+        """Derived frame built once per query.  Small month-level tables that
+        several branches read are materialised with a reliable checkpoint in
+        the cluster checkpoint folder: the expensive join behind them runs
+        once, and the lineage is cut (a lost executor recomputes nothing
+        upstream)."""
+        if key not in self._memo:
+            df = build()
+            if materialize:
+                from salesmart.session import checkpoint_dir
+                checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._memo[key] = df
+        return self._memo[key]
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
