@@ -29,9 +29,11 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def date_from_filename(name) -> Column:
     """H1: last *valid* yyyy.m.d in the string; invalid dates are skipped."""
     found = F.regexp_extract_all(col_(name), F.lit(FILE_DATE_PATTERN), 0)
+    # fast path (codegen'd): the last match is usually a valid date
+    last = F.try_to_date(F.try_element_at(found, F.lit(-1)), "yyyy.M.d")
     parsed = F.filter(F.transform(found, lambda s: F.try_to_date(s, "yyyy.M.d")),
                       lambda d: d.isNotNull())
-    return F.when(F.size(parsed) > 0, F.element_at(parsed, -1))
+    return F.coalesce(last, F.when(F.size(parsed) > 0, F.element_at(parsed, -1)))
 
 
 def parse_amount(cell) -> Column:
@@ -41,9 +43,9 @@ def parse_amount(cell) -> Column:
     neg = s.startswith("(") & s.endswith(")")
     inner = F.trim(F.substr(s, F.lit(2), F.length(s) - 2))
     txt = F.when(neg, F.concat(F.lit("-"), inner)).otherwise(s)
-    ok = txt.rlike(NUMBER_PATTERN)   # the one regular expression per cell
-    return F.when(s.isin(*NULL_TOKENS) | s.isNull(), F.lit(None).cast("double")) \
-        .when(ok, txt.try_cast("double"))
+    # the one regular expression per cell; no NULL token ('', '-', 'N/A', ...)
+    # matches it, so they fall through to NULL with every other non-number
+    return F.when(txt.rlike(NUMBER_PATTERN), txt.try_cast("double"))
 
 
 def parse_int(cell) -> Column:

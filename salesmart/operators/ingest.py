@@ -57,7 +57,18 @@ def cell_numbers(cells) -> F.Column:
     the end of a ragged row).  Unrolled per position rather than a lambda so
     the parse stays inside whole-stage codegen."""
     c = F.col(cells) if isinstance(cells, str) else cells
-    return F.array(*[parse_amount(F.get(c, i)) for i in range(MAX_CELLS)])
+    # cells that can only hold personnel columns (blanked at load, B16) are not parsed
+    skip = set(range(1 + _first_personnel(), 1 + _last_personnel())) - set(range(0, 6))
+    return F.array(*[F.lit(None).cast("double") if i in skip else parse_amount(F.get(c, i))
+                     for i in range(MAX_CELLS)])
+
+
+def _first_personnel() -> int:
+    return min(i for i, (n, _) in enumerate(MEASURES) if n in PERSONNEL)
+
+
+def _last_personnel() -> int:
+    return max(i for i, (n, _) in enumerate(MEASURES) if n in PERSONNEL)
 
 
 def is_data_row(cells, nums=None) -> F.Column:

@@ -124,12 +124,18 @@ def _finish_daily(df: DataFrame) -> DataFrame:
 
 
 def store_daily(t: Tables) -> DataFrame:
-    """DAILY rows per (ship date, supplier). Unused measures are pruned by
-    Catalyst (e.g. the distinct count when customers are not selected)."""
-    agg = (_lineitem_sales(t).groupBy("report_date", "store_id")
+    """DAILY rows per (ship date, supplier).
+
+    Two plain aggregations instead of sum + count(DISTINCT): lines -> (date,
+    store, order) partial sums, then -> (date, store) with count(*) = distinct
+    orders.  No Expand, both levels combine map-side, and a hot store spreads
+    over the first level's (date, store, order) hash keys."""
+    per_order = (_lineitem_sales(t).groupBy("report_date", "store_id", "l_orderkey")
+                 .agg(F.sum("amount").alias("amount"), F.sum("returned").alias("returned")))
+    agg = (per_order.groupBy("report_date", "store_id")
            .agg(F.sum("amount").alias("sales_result"),
                 (-F.sum("returned")).alias("transfer_amount"),
-                F.countDistinct("l_orderkey").alias("customer_count")))
+                F.count(F.lit(1)).alias("customer_count")))
     return _finish_daily(agg)
 
 
@@ -145,7 +151,8 @@ def grand_daily(t: Tables, with_customers: bool = True) -> DataFrame:
         F.sum("transfer_amount").alias("transfer_amount"))
     if with_customers:
         cust = (t.lineitem.select(F.col("l_shipdate").cast("date").alias("report_date"), "l_orderkey")
-                .groupBy("report_date").agg(F.countDistinct("l_orderkey").alias("customer_count")))
+                .groupBy("report_date", "l_orderkey").agg()          # distinct (date, order)
+                .groupBy("report_date").agg(F.count(F.lit(1)).alias("customer_count")))
         money = money.join(cust, "report_date", "left")
     else:
         money = money.withColumn("customer_count", F.lit(None).cast("int"))
