@@ -43,7 +43,7 @@ def q_dry_run_counts(spark, sf):
 
 
 @query("run_totals", with_ctes("""
-SELECT status, COUNT(*) AS n_files, SUM(records_loaded) AS records_loaded FROM (
+SELECT status, COUNT(*) AS n_files, CAST(SUM(records_loaded) AS BIGINT) AS records_loaded FROM (
   SELECT source_file,
          CASE WHEN COUNT(*) FILTER (WHERE store_id % 13 = 0) > 0 THEN 0 ELSE COUNT(*) END AS records_loaded,
          CASE WHEN COUNT(*) FILTER (WHERE store_id % 13 = 0) > 0 THEN 'SKIPPED' ELSE 'SUCCESS' END AS status

@@ -208,7 +208,7 @@ def q_break_effect(spark, sf):
 
 @query("month_rank", with_ctes(f"""
 SELECT {G}, report_month, mean_sales,
-       rank() OVER (PARTITION BY {G} ORDER BY mean_sales DESC, report_month) AS month_rank
+       CAST(rank() OVER (PARTITION BY {G} ORDER BY mean_sales DESC, report_month) AS INTEGER) AS month_rank
 FROM (SELECT {G}, report_month, {O.avg_exact('sales_result', 2, 4)} AS mean_sales FROM ds GROUP BY 1, 2)""",
     *DATASET_NEEDS, local=DATASET_LOCAL))
 def q_month_rank(spark, sf):

@@ -151,7 +151,7 @@ def grand_daily(t: Tables, with_customers: bool = True) -> DataFrame:
         F.sum("transfer_amount").alias("transfer_amount"))
     if with_customers:
         cust = (t.lineitem.select(F.col("l_shipdate").cast("date").alias("report_date"), "l_orderkey")
-                .groupBy("report_date", "l_orderkey").agg()          # distinct (date, order)
+                .distinct()                                          # distinct (date, order)
                 .groupBy("report_date").agg(F.count(F.lit(1)).alias("customer_count")))
         money = money.join(cust, "report_date", "left")
     else:
