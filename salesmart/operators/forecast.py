@@ -363,9 +363,12 @@ def _hw_fit_forecast(y: np.ndarray, h: int, period: int = 12,
     over a small grid; floored at 0."""
     n = len(y)
     best = None
-    level0 = y[:period].mean()
-    trend0 = (y[period:2 * period].mean() - y[:period].mean()) / period
-    season0 = y[:period] - level0
+    # initial states at t = -1: the first-year mean sits mid-year, so step it
+    # back by (period + 1) / 2 trends; first-year indices are de-trended
+    mean0 = y[:period].mean()
+    trend0 = (y[period:2 * period].mean() - mean0) / period
+    level0 = mean0 - trend0 * (period + 1) / 2
+    season0 = y[:period] - (mean0 + (np.arange(period) - (period - 1) / 2) * trend0)
     for a in grid:
         for b in (0.01, 0.1, 0.3):
             for g in (0.05, 0.2, 0.5):

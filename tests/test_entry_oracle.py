@@ -32,12 +32,13 @@ def test_entry_runs(spark):
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 90
+    assert len(q) >= 100
 
 
 ORACLE_SAMPLE = ["month_end_reconcile", "daily_store_sales", "canonical_monthly", "analysis_monthly",
                  "resolve_files", "cells_to_records", "key_audit", "trend_features", "pearson", "model_choice",
-                 "upsert_fact", "metric_pivot", "seasonal_parts"]
+                 "upsert_fact", "metric_pivot", "seasonal_parts", "run_totals", "group_set_check",
+                 "time_series_split", "rules_json_resolution", "category_block_long"]
 
 
 @pytest.mark.parametrize("name", ORACLE_SAMPLE)

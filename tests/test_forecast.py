@@ -61,3 +61,26 @@ def test_holt_winters_runs(spark):
     f = K.explode_folds(frame(spark).withColumn("y", F.col("y") + 10 * F.sin(F.col("report_month"))))
     out = K.holt_winters(f)
     assert out.count() == 2 * 36 and out.filter(F.col("pred") < 0).count() == 0
+
+
+def test_elastic_net_l1_zero_equals_ridge(spark):
+    folded = K.explode_folds(frame(spark))
+    des = K.design(folded, ["x1", "x2"])
+    n_train = {(r.canonical_group, r.fold): r.n for r in des.filter(F.col("role") == "train")
+               .groupBy("canonical_group", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    alpha = 0.5
+    pdf = K.gram(des, 2).toPandas()
+    en = K._enet_rows(pdf, 2, alpha, 0.0, max_iter=20000, tol=1e-14)
+    ridge = K._solve_rows(pdf, 2, [alpha * n for n in sorted(set(n_train.values()))])
+    for _, r in en.iterrows():
+        n = n_train[(r["canonical_group"], r["fold"])]
+        rr = ridge[(ridge.canonical_group == r["canonical_group"]) & (ridge.fold == r["fold"])
+                   & (ridge.alpha == alpha * n)].iloc[0]
+        assert np.allclose(r["coef"], rr["coef"], rtol=1e-6, atol=1e-8)
+
+
+def test_holt_winters_continues_exact_pattern():
+    season = np.array([5, -3, 2, 8, -6, 1, 0, 4, -2, -7, 3, -5], dtype=float)
+    y = np.array([100 + 0.5 * t + season[t % 12] for t in range(48)])
+    fc = K._hw_fit_forecast(y[:36], 12)
+    assert np.allclose(fc, y[36:], atol=0.5)
