@@ -505,25 +505,32 @@ def tree_predictions(folded: DataFrame, features, configs=None, seed: int = 42,
     cols = [*features, "series_idx"]
     asm = VectorAssembler(inputCols=cols, outputCol="features")
     data = asm.transform(base)
-    preds, imps = [], []
     spark = folded.sparkSession
-    for fold, _, _ in specs:
+
+    def fit_one(fold: str, name: str, kind: str, params: dict):
         tr = data.filter((F.col("fold") == fold) & (F.col("role") == "train"))
         ev = data.filter((F.col("fold") == fold) & (F.col("role") == "eval"))
-        for name, (kind, params) in configs.items():
-            if kind == "rf":
-                est = RandomForestRegressor(labelCol="y", featuresCol="features", seed=seed,
-                                            featureSubsetStrategy="all", **params)
-            else:
-                est = GBTRegressor(labelCol="y", featuresCol="features", seed=seed, **params)
-            model = est.fit(tr)
-            p = model.transform(ev).select(SERIES, "fold", "fold_kind", "report_year", "report_month", "y",
-                                           F.lit(name).alias("candidate"),
-                                           F.greatest(F.col("prediction"), F.lit(0.0)).alias("pred"))
-            preds.append(p)
-            fi = model.featureImportances.toArray().tolist()
-            imps.append(spark.createDataFrame([(fold, name, c, float(v)) for c, v in zip(cols, fi)],
-                                              "fold string, candidate string, feature string, importance double"))
+        if kind == "rf":
+            est = RandomForestRegressor(labelCol="y", featuresCol="features", seed=seed,
+                                        featureSubsetStrategy="all", **params)
+        else:
+            est = GBTRegressor(labelCol="y", featuresCol="features", seed=seed, **params)
+        model = est.fit(tr)
+        p = model.transform(ev).select(SERIES, "fold", "fold_kind", "report_year", "report_month", "y",
+                                       F.lit(name).alias("candidate"),
+                                       F.greatest(F.col("prediction"), F.lit(0.0)).alias("pred"))
+        fi = model.featureImportances.toArray().tolist()
+        return p, [(fold, name, c, float(v)) for c, v in zip(cols, fi)]
+
+    # the (fold, config) fits are independent: submit them concurrently so the
+    # scheduler overlaps their many small jobs (results keep grid order)
+    from concurrent.futures import ThreadPoolExecutor
+    grid = [(fold, name, kind, params) for fold, _, _ in specs for name, (kind, params) in configs.items()]
+    with ThreadPoolExecutor(max_workers=min(len(grid), 6)) as pool:
+        results = list(pool.map(lambda g: fit_one(*g), grid))
+    preds = [p for p, _ in results]
+    imp_rows = [r for _, rows in results for r in rows]
+    imps = [spark.createDataFrame(imp_rows, "fold string, candidate string, feature string, importance double")]
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
