@@ -37,6 +37,7 @@ def get_spark(app: str = "salesmart", cpus: int | str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -49,6 +50,33 @@ def apply_session_conf(spark: SparkSession) -> None:
             pass
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``salesmart`` importable in the Python workers (pandas UDFs pickle
+    functions by module reference): zip the package once and ``addPyFile`` it,
+    which distributes it to every executor of the context."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    ckpt = checkpoint_dir(spark)
+    local = ckpt[len("file:"):] if ckpt.startswith("file:") else ckpt
+    out_dir = local if "://" not in local and os.path.isdir(local) else tempfile.mkdtemp(prefix="salesmart-py-")
+    zpath = os.path.join(out_dir, f"salesmart-{os.getpid()}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared lineage-cut folder.
 

@@ -56,8 +56,17 @@ def run_daily_upsert(spark: SparkSession, events_dir: str, glob: str = "*.parque
     def apply(batch: DataFrame, batch_id: int) -> None:
         merge_into_path(batch.sparkSession, target_path, batch, KEYS, ["day"])
 
-    q = (day_totals_stream(spark, events_dir, glob).writeStream.outputMode("update")
-         .foreachBatch(apply).option("checkpointLocation", checkpoint_path)
-         .trigger(availableNow=True).start())
+    # state-store partitions are fixed by the first run of a checkpoint and AQE
+    # does not coalesce them: size them to the cluster, not to the batch default
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    parts = max(1, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(parts))
+    try:
+        q = (day_totals_stream(spark, events_dir, glob).writeStream.outputMode("update")
+             .foreachBatch(apply).option("checkpointLocation", checkpoint_path)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return target_path
