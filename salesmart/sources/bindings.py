@@ -123,13 +123,19 @@ def _finish_daily(df: DataFrame) -> DataFrame:
         half_up_ratio_2dp("sales_result", "customer_count", "decimal(12,2)").alias("unit_price"))
 
 
-def store_daily(t: Tables) -> DataFrame:
+def store_daily(t: Tables, with_customers: bool = True) -> DataFrame:
     """DAILY rows per (ship date, supplier).
 
     Two plain aggregations instead of sum + count(DISTINCT): lines -> (date,
     store, order) partial sums, then -> (date, store) with count(*) = distinct
     orders.  No Expand, both levels combine map-side, and a hot store spreads
-    over the first level's (date, store, order) hash keys."""
+    over the first level's (date, store, order) hash keys.  Without customers
+    a single aggregation suffices and the order key is not even read."""
+    if not with_customers:
+        agg = (_lineitem_sales(t).groupBy("report_date", "store_id")
+               .agg(F.sum("amount").alias("sales_result"), (-F.sum("returned")).alias("transfer_amount"))
+               .withColumn("customer_count", F.lit(None).cast("bigint")))
+        return _finish_daily(agg)
     per_order = (_lineitem_sales(t).groupBy("report_date", "store_id", "l_orderkey")
                  .agg(F.sum("amount").alias("amount"), F.sum("returned").alias("returned")))
     agg = (per_order.groupBy("report_date", "store_id")
@@ -145,7 +151,7 @@ def grand_daily(t: Tables, with_customers: bool = True) -> DataFrame:
     Money is re-aggregated from the per-store aggregate (tiny), the distinct
     order count must come from the line level and is only computed on demand.
     """
-    s = store_daily(t)
+    s = store_daily(t, with_customers=False)   # money only; customers counted below
     money = s.groupBy("report_date").agg(
         F.sum("sales_result").alias("sales_result"),
         F.sum("transfer_amount").alias("transfer_amount"))
@@ -189,7 +195,7 @@ def fact_sales(t: Tables, stores_daily: bool = True, stores_mtd: bool = True,
     unchanged, so the result is identical to running on the full fact.
     """
     parts = []
-    sd = store_daily(t)
+    sd = store_daily(t, with_customers)
     gd = grand_daily(t, with_customers)
     if stores_daily:
         parts.append(sd.withColumn("record_type", F.lit("DAILY")))

@@ -64,3 +64,24 @@ def test_stream_daily_upsert_matches_batch(spark):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v"))
         .collect()}
     assert got == exp
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_key = st.tuples(st.integers(0, 5), st.sampled_from(["a", "b", None]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(target=st.dictionaries(_key, st.integers(0, 100), max_size=8),
+       batch=st.lists(st.tuples(_key, st.integers(0, 100)), max_size=10))
+def test_upsert_property(spark, target, batch):
+    """J1 against a dict model: the batch row with the highest sequence wins per key."""
+    tgt = spark.createDataFrame([(k[0], k[1], float(v)) for k, v in target.items()], "k int, m string, v double")
+    bat = spark.createDataFrame([(k[0], k[1], float(v), i) for i, (k, v) in enumerate(batch)],
+                                "k int, m string, v double, seq int")
+    model = {k: float(v) for k, v in target.items()}
+    for k, v in batch:
+        model[k] = float(v)
+    got = {(r.k, r.m): r.v for r in U.upsert(tgt, bat, ["k", "m"], "seq").collect()}
+    assert got == model
