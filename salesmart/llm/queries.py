@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmart.llm import packing, warc
+from salesmart.llm import langid, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), WORD_BPE).drop("ids")
+
+
+@query("op1_langid")
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs), spans=False)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
