@@ -163,8 +163,10 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(index: DataFrame) -> DataFrame:
     """The records of the selected index rows, with payloads (null for
     revisits).  Rows are dealt by file and SPAN-sized stretch, so that no task
-    holds more than a stretch, and read in the order of their places."""
+    holds more than a few stretches, and read in the order of their places.
+    The number of tasks follows the bytes to read, not the size of the index."""
+    total = index.agg(F.sum("length")).first()[0] or 0
     placed = (index.select("file", "offset", "length", "payload_bytes")
               .withColumn("stretch", F.floor(F.col("offset") / SPAN))
-              .repartition("file", "stretch").sortWithinPartitions("file", "offset"))
+              .repartition(1 + total // (2 * SPAN), "file", "stretch").sortWithinPartitions("file", "offset"))
     return placed.mapInArrow(_read_ranges, RECORD)
