@@ -159,3 +159,18 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         before = now
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each position the smallest id it is linked to by the edges (i, j)."""
+    label = ids.copy()
+    if len(i) == 0:
+        return label
+    while True:
+        low = np.minimum(label[i], label[j])
+        after = label.copy()
+        np.minimum.at(after, i, low)
+        np.minimum.at(after, j, low)
+        if (after == label).all():
+            return label
+        label = after
