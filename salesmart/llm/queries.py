@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, packing, pivots, topk, warc
+from salesmart.llm import jaccard, langid, packing, pivots, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,9 @@ SELECT m.x AS vec_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_links, m.root AS com
 FROM m LEFT JOIN n ON m.x = n.x""")
 def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.95)
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=5, percent=75)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
