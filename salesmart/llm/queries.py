@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import jaccard, langid, packing, pivots, topk, warc
+from salesmart.llm import jaccard, langid, packing, pivots, suffixes, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,8 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.link(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=5, percent=75)
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query("op6_suffixes")
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(spark.read.parquet(f"{sf_dir}/documents.parquet"), length=400, keep="none")
