@@ -96,15 +96,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
-def word_spans(space: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(space: np.ndarray, offs: np.ndarray,
+               cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the maximal runs of bytes that are not separators;
-    no word crosses a row's border.  `space`: whether each byte separates."""
+    no word crosses a row's border.  `space`: whether each byte separates;
+    `cut`: whether a word ends before each byte though none does."""
     n = len(space)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
     first = np.zeros(n + 1, bool)   # a byte that begins a row
     first[offs[:-1]] = True
+    if cut is not None:
+        first[:n] |= cut
     inside = ~space
     begins = inside.copy()
     begins[1:] &= space[:-1] | first[1:n]

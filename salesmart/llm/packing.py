@@ -19,27 +19,42 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stash, text_slices
+from salesmart.llm.common import LOWER, range_hashes, stash, text_slices, word_spans
 
 CAPACITY, END_ID = 2048, 0
 #: Pricing rounds of the linear program, and the share of a column's widest step taken in each.
 ROUNDS, STEP = 400, 0.5
-#: Distinct chunks of at most CHUNK_CHARS characters whose ids a task keeps.
-KEPT_CHUNKS, CHUNK_CHARS = 300_000, 80
+#: Distinct chunks whose ids a worker keeps.
+KEPT_CHUNKS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ordinal long, ids binary"
 
 
+# Classes of bytes: where two neighbours of different words' classes meet, or two
+# digits, the tokenizer always begins a new word, so that the parts may be
+# tokenised alone.  Apostrophes and bytes beyond ASCII stay with their neighbours.
+_LETTER, _DIGIT, _MARK, _SPACE, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _MARK
+_KIND[[0x20, 0x09, 0x0A, 0x0D]] = _SPACE
+_SPLITS = np.zeros((5, 5), bool)
+_SPLITS[:3, :3] = ~np.eye(3, dtype=bool)
+_SPLITS[_DIGIT, _DIGIT] = True
+
+
 class ChunkTokenizer:
-    """Ids of texts by a tokenizer that drops white space: no token spans the
-    white space between chunks, so ids of a text are those of its chunks, and
-    the ids of short chunks are kept."""
+    """Ids of texts by a tokenizer that drops white space and lower-cases: a
+    text's ids are those of its chunks (parts of words, see above), and the ids
+    of chunks seen are kept, sorted by hash."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,50 +62,63 @@ class ChunkTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.known = np.zeros(0, np.uint64)
+        self.number = np.zeros(0, np.int64)
         self.offsets = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _add(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.own.encode_batch_fast(new, add_special_tokens=False)]
-        for c in new:
-            self.index[c] = len(self.index)
-        ends = self.offsets[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)
-        self.offsets = np.concatenate([self.offsets, ends])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32)])
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of each text)."""
-        if len(self.index) > KEPT_CHUNKS:
-            self._clear()
-        chunks = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        long = {c for x in chunks for c in x if len(c) > CHUNK_CHARS}
-        fresh = {c for x in chunks for c in x}
-        fresh.difference_update(self.index)
-        if fresh:
-            self._add(list(fresh))
-        get = self.index.__getitem__
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        at = np.fromiter((get(c) for x in chunks for c in x), np.int64, int(sizes.sum()))
-        count = self.offsets[at + 1] - self.offsets[at]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - count, count) + np.repeat(self.offsets[at], count)
-        ids = self.flat[place]
-        offs = np.concatenate([[0], ends[np.cumsum(sizes) - 1]]) if len(chunks) else np.zeros(1, np.int64)
-        if long:   # long chunks are not worth keeping
+    def _add(self, hashes: np.ndarray, chunks: list[str]) -> None:
+        ids = [e.ids for e in self.own.encode_batch_fast(chunks, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        number = len(self.offsets) - 1 + np.arange(len(ids))
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(size)])
+        self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(ids)), np.uint32)])
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.number = np.insert(self.number, at, number)
+
+    def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of each text) of UTF-8 bytes."""
+        if len(self.known) > KEPT_CHUNKS:
             self._clear()
-        return ids, offs
+        raw = data.tobytes()
+        cut = None
+        if b"<|" not in raw:   # else a special token, known as a whole and in this case only, may be there
+            data = LOWER[data]
+            raw = data.tobytes()
+            cut = np.zeros(len(data), bool)
+            cut[1:] = _SPLITS[_KIND[data[:-1]], _KIND[data[1:]]]
+        kind = _KIND[data]
+        start, end, row = word_spans(kind == _SPACE, offs, cut)
+        h = range_hashes(data, start, end)
+        at = np.searchsorted(self.known, h)
+        at[at == len(self.known)] = 0
+        miss = self.known[at] != h if len(self.known) else np.ones(len(h), bool)
+        if miss.any():
+            new, first = np.unique(h[miss], return_index=True)
+            where = np.flatnonzero(miss)[first]
+            self._add(new, [raw[s:e].decode() for s, e in zip(start[where].tolist(), end[where].tolist())])
+            at = np.searchsorted(self.known, h)
+        number = self.number[at]
+        base = self.offsets[number]
+        count = self.offsets[number + 1] - base
+        ends = np.concatenate([[0], np.cumsum(count)])
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(base - ends[:-1], count)]
+        return ids, ends[np.searchsorted(row, np.arange(len(offs)))]
+
+
+_KEPT: dict[str, ChunkTokenizer] = {}
 
 
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ordinal = ChunkTokenizer(path), 0
+        if path not in _KEPT:   # stays for a worker's later tasks
+            _KEPT[path] = ChunkTokenizer(path)
+        encode, ordinal = _KEPT[path], 0
         for batch in batches:
             docs = batch.column(0)
-            texts = batch.column(1)
-            for a, b, _, _ in text_slices(batch):
-                ids, offs = encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+            for a, b, data, borders in text_slices(batch):
+                ids, offs = encode(data, borders)
                 rows: list[tuple] = []
                 for i, doc in enumerate(docs.slice(a, b - a).to_pylist()):
                     own = np.append(ids[offs[i]:offs[i + 1]], np.uint32(end_id)).astype("<u4")
