@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import jaccard, langid, packing, pivots, suffixes, topk, warc
+from salesmart.llm import jaccard, langid, licenses, mainhtml, packing, pivots, suffixes, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,14 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffixes")
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed(spark.read.parquet(f"{sf_dir}/documents.parquet"), length=400, keep="none")
+
+
+@query("op7_mainhtml")
+def op7_mainhtml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return mainhtml.extract(pages, mainhtml.learn(pages))
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
