@@ -4,8 +4,9 @@
    global order, rare first.  It only orders; any table gives the same links.
 2. Documents with equal sets are one class.  A set's prefix is its first
    n - ceil(t * n) + 1 shingles: sets that link share one of them.
-3. Prefix shingles are sorted by (shingle, size); neighbours whose sizes can
-   link become edges, whose components hold every possible link.
+3. Prefix shingles are sorted by (shingle, size).  The place of the shingle in
+   a set bounds the size of the sets it can link with there; neighbours inside
+   such a bound become edges, whose components hold every possible link.
 4. A task gets whole small components, or one pair of blocks of a large one,
    and joins them with set relations: index lists stand by size, so that the
    sizes that cannot link are skipped as blocks, and the answers of a set that
@@ -92,7 +93,8 @@ SETS = ("doc_id long, h long, d1 long, d2 long, n int, tokens array<long>, tops
 def _prefixes(width: int, percent: int, table):
     """One row for each document.  A slice's rows of one shingle whose sizes
     can link are joined there: the smallest stands for them in the shuffle
-    (`tops`: the largest size), the others become edges (`near`)."""
+    (`tops`: the largest size any of them can link with), the others become
+    edges (`near`)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offs in text_slices(batch, column="text"):
@@ -103,16 +105,22 @@ def _prefixes(width: int, percent: int, table):
                 first = {}
                 own = np.array([first.setdefault(d, i) == i for i, d in enumerate(digests)])   # of equal sets one is enough
                 length = n - (n * percent + 99) // 100 + 1
-                keep = (np.arange(len(h)) - at[row] < length[row]) & own[row]
-                token, doc = h[keep].view(np.int64), row[keep]
-                order = np.lexsort((doc, n[doc], token))
-                token, doc = token[order], doc[order]
-                size = n[doc]
-                new = np.ones(len(token), bool)
-                new[1:] = (token[1:] != token[:-1]) | (size[1:] * percent > size[:-1] * 100)
+                place = np.arange(len(h)) - at[row]
+                keep = (place < length[row]) & own[row]
+                token, doc, place = h[keep].view(np.int64), row[keep], place[keep]
+                # the largest size with which a set can link if this is the first shingle they share
+                top = (n[doc] - place) * (100 + percent) // percent - n[doc]
+                order = np.lexsort((doc, -top, n[doc], token))
+                token, doc, top = token[order], doc[order], top[order]
+                fresh = np.ones(len(token), bool)
+                fresh[1:] = token[1:] != token[:-1]
+                number = np.cumsum(fresh)
+                reach = np.maximum.accumulate(number << 32 | top) & 0xFFFFFFFF      # of the shingle's rows so far
+                new = fresh.copy()
+                new[1:] |= n[doc[1:]] > reach[:-1]
                 head = np.flatnonzero(new)
                 lead = np.repeat(head, np.diff(np.append(head, len(token))))
-                top = size[np.append(head[1:], len(token)) - 1] if len(head) else size
+                top = reach[np.append(head[1:], len(token)) - 1] if len(head) else top
                 edge = np.unique(np.stack([doc[~new], doc[lead[~new]]], 1), axis=0)
                 owner = doc[head]
                 by = np.argsort(owner, kind="stable")
@@ -243,10 +251,10 @@ def link(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     # candidate components: neighbours in (shingle, size) order whose sizes can link
     rows = sets.select("d1", "n", F.explode(F.arrays_zip("tokens", "tops")).alias("p"))
     rows = rows.select("d1", "n", F.col("p.tokens").alias("token"), F.col("p.tops").alias("top"))
-    along = Window.partitionBy("token").orderBy("n", "d1")
+    along = Window.partitionBy("token").orderBy("n", F.desc("top"), "d1")
     linked = (rows.withColumn("prev", F.lag("d1").over(along))
               .withColumn("reach", F.max("top").over(along.rowsBetween(Window.unboundedPreceding, -1)))
-              .where((F.col("prev") != F.col("d1")) & (F.col("n") * percent <= F.col("reach") * 100)))
+              .where((F.col("prev") != F.col("d1")) & (F.col("n") <= F.col("reach"))))
     edges = linked.select("d1", F.col("prev").alias("other")).union(
         sets.select("d1", F.explode("near").alias("other")))
     groups = components(edges, "d1", "other")
