@@ -23,6 +23,7 @@ links and have a null component; an empty table gives an empty frame.  Only
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import components, local_roots, shingles, stash, text_slices
 
 #: Counters of the order table (fixed size), and the shingles a joining task holds.
-COUNTERS_LOG2, TASK_SHINGLES = 20, 1_000_000
+COUNTERS_LOG2, TASK_SHINGLES = 22, 3_000_000
 PARTS = 64
 
 
@@ -47,14 +48,14 @@ def _count_shingles(width: int):
                 h, _ = shingles(data, offs, width)
                 total += np.bincount((h >> shift).astype(np.int64), minlength=len(total))
         parts = np.minimum(total, 2**31 - 1).astype(np.int32).reshape(PARTS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in parts])],
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts])],
                                          names=["part", "counts"])
     return run
 
 
 def _add_counts(t):
-    whole = sum(np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in t.column("counts"))
-    return pa.table([t.column("part").slice(0, 1), pa.array([np.minimum(whole, 2**31 - 1).astype(np.int32).tobytes()])],
+    whole = sum(np.frombuffer(zlib.decompress(x.as_py()), np.int32).astype(np.int64) for x in t.column("counts"))
+    return pa.table([t.column("part").slice(0, 1), pa.array([zlib.compress(np.minimum(whole, 2**31 - 1).astype(np.int32).tobytes(), 1)])],
                     names=["part", "counts"])
 
 
@@ -64,7 +65,7 @@ def order_table(docs: DataFrame, width: int) -> np.ndarray:
             .groupBy("part").applyInArrow(_add_counts, "part int, counts binary").collect())
     out = np.zeros((PARTS, (1 << COUNTERS_LOG2) // PARTS), np.int32)
     for r in rows:
-        out[r["part"]] = np.frombuffer(r["counts"], np.int32)
+        out[r["part"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int32)
     return out.reshape(-1)
 
 
@@ -245,7 +246,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles, n_links, component_id."""
     spark = docs.sparkSession
     own = _prepared(docs)
-    table = spark.sparkContext.broadcast(order_table(own, width))   # 4 MB, whatever the corpus
+    table = spark.sparkContext.broadcast(order_table(own, width))   # 16 MB, whatever the corpus
     sets = stash(own.mapInArrow(_prefixes(width, percent, table), SETS), "sets")
 
     # candidate components: neighbours in (shingle, size) order whose sizes can link
