@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import jaccard, langid, licenses, mainhtml, packing, pivots, suffixes, topk, warc
+from salesmart.llm import jaccard, langid, licenses, mainhtml, mixing, packing, pivots, suffixes, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,53 @@ def op7_mainhtml(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_licenses")
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+# The mixture of the query: a domain is a stretch of a source's hash.
+DOMAIN = "CASE WHEN substr(md5(source), 1, 1) < '8' THEN 'web' WHEN substr(md5(source), 1, 1) < 'c' THEN 'books' ELSE 'code' END"
+DOMAIN_WEIGHTS, LANG_WEIGHTS = {"web": 5, "books": 3, "code": 2}, {"en": 5, "de": 2, "fr": 2, "es": 1}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 3, 7
+
+
+def _level_sql(i: int, up: list[str], own: list[str], weight: str) -> str:
+    """A level of the budget tree: children of `up` named by `own`."""
+    keys, by = ", ".join(own), ", ".join(["0", *up])
+    on = " AND ".join(["1 = 1", *(f"n.{c} = p{i}.{c}" for c in up)])
+    cols = ", ".join(f"n.{c}" for c in own)
+    return f"""
+a{i} AS (SELECT {cols}, n.cap, {weight} AS w, p{i}.b FROM
+    (SELECT {keys}, CAST(sum(cap) AS HUGEINT) AS cap FROM leaf GROUP BY {keys}) n JOIN p{i} ON {on}),
+f{i} AS (SELECT *, sum(cap) OVER (PARTITION BY {by} ORDER BY cap::DOUBLE / w::DOUBLE, {keys} ROWS UNBOUNDED PRECEDING) AS c,
+    coalesce(sum(w) OVER (PARTITION BY {by} ORDER BY cap::DOUBLE / w::DOUBLE, {keys}
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS rest FROM a{i}),
+g{i} AS (SELECT *, c::HUGEINT * w + cap * rest::HUGEINT <= b * w AS full_ FROM f{i}),
+h{i} AS (SELECT *, b - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER (PARTITION BY {by}) AS left_,
+    sum(CASE WHEN full_ THEN 0 ELSE w END) OVER (PARTITION BY {by}) AS share FROM g{i}),
+p{i + 1} AS (SELECT {keys}, CASE WHEN full_ THEN cap ELSE (left_::HUGEINT * w) // nullif(share, 0)::HUGEINT END::HUGEINT AS b
+  FROM h{i}),"""
+
+
+def _case(column: str, table: dict[str, int]) -> str:
+    return "CASE " + " ".join(f"WHEN n.{column} = '{k}' THEN {v}" for k, v in table.items()) + " ELSE 1 END"
+
+
+@query("op2_mixing", f"""
+WITH d AS (SELECT doc_id, coalesce({DOMAIN}, '(null)') AS domain, coalesce(lang, '(null)') AS lang,
+    coalesce(source, '(null)') AS source,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS t, sum(tokens)::HUGEINT * {MIX_EPOCHS} AS cap
+  FROM d GROUP BY domain, lang, source),
+p0 AS (SELECT least(sum(cap), floor(sum(t)::DOUBLE * {MIX_SHARE})::HUGEINT)::HUGEINT AS b FROM leaf),
+{_level_sql(0, [], ["domain"], _case("domain", DOMAIN_WEIGHTS))}
+{_level_sql(1, ["domain"], ["domain", "lang"], _case("lang", LANG_WEIGHTS))}
+{_level_sql(2, ["domain", "lang"], ["domain", "lang", "source"], "1")}
+e AS (SELECT domain, lang, source, (b // t)::BIGINT AS epochs, (b - (b // t) * t)::BIGINT AS room
+  FROM p3 JOIN leaf USING (domain, lang, source) WHERE t > 0 AND b > 0),
+k AS (SELECT *, md5('{MIX_SEED}:' || epochs || ':' || doc_id) || '.' || doc_id AS key FROM d JOIN e USING (domain, lang, source)),
+u AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM k)
+SELECT doc_id, domain, lang, source, tokens, epochs + CASE WHEN upto <= room THEN 1 ELSE 0 END AS copies
+FROM u WHERE epochs > 0 OR upto <= room""")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("domain", F.expr(DOMAIN))
+    weights = [mixing.weight_of("domain", DOMAIN_WEIGHTS), mixing.weight_of("lang", LANG_WEIGHTS), F.lit(1)]
+    return mixing.select(docs, ["domain", "lang", "source"], weights, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
