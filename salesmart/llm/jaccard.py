@@ -162,17 +162,15 @@ def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(start, size)
 
 
-def join_sets(tokens: np.ndarray, offs: np.ndarray, weight: np.ndarray, side: np.ndarray, percent: int):
-    """Pairs (i, j) of sets of which 100 * common >= percent * union.  `side`
-    holds 0 for sets in block a, 1 for those in block b: with both, only pairs
-    across count."""
+def join_sets(tokens: np.ndarray, offs: np.ndarray, percent: int, side: np.ndarray | None = None):
+    """Pairs (i, j) of sets of which 100 * common >= percent * union; with
+    `side`, the block of each set, only pairs of different blocks."""
     n = np.diff(offs)
     order = np.argsort(n, kind="stable")
     rank = np.empty(len(n), np.int64)
     rank[order] = np.arange(len(n))
     size = n[order]
-    side = side[order]
-    across = bool(side.any()) and not side.all()
+    side = None if side is None else side[order]
     _, ident = np.unique(tokens, return_inverse=True)
     owner = rank[np.repeat(np.arange(len(n)), n)]
     by = np.lexsort((owner, ident))
@@ -182,11 +180,11 @@ def join_sets(tokens: np.ndarray, offs: np.ndarray, weight: np.ndarray, side: np
     for i in range(len(n)):
         t = ident[offs[i]:offs[i + 1]]
         own[rank[i]] = np.sort(t[shared[t]])
-    # post * 1 is sorted inside each list, so the block of linkable sizes is found by one search in (list, rank)
+    # lists stand by size, so one search in (list, rank) skips the block of sets before a given one
     place = np.repeat(np.arange(len(lists) - 1), np.diff(lists)) * len(n) + post
 
     def lookup(t: np.ndarray, lo: int) -> np.ndarray:
-        start = np.searchsorted(place, t * len(n) + lo)      # skips the sets too small
+        start = np.searchsorted(place, t * len(n) + lo)
         return np.bincount(post[_ranges(start, lists[t + 1])], minlength=len(n))
 
     close, leader = np.zeros(len(n)), np.full(len(n), -1)
@@ -213,7 +211,7 @@ def join_sets(tokens: np.ndarray, offs: np.ndarray, weight: np.ndarray, side: np
                 close[better] = got[better] / union[better]
                 leader[better] = x
                 counts[x] = got
-        if across:
+        if side is not None:
             found = found[side[found] != side[x]]
         ii.append(np.full(len(found), x))
         jj.append(found)
@@ -229,7 +227,8 @@ def _join(percent: int):
         cls, m, block = cls[keep], m[keep], block[keep]
         sets = t.column("tokens").combine_chunks()
         offs = sets.offsets.to_numpy().astype(np.int64)
-        i, j = join_sets(sets.flatten().to_numpy(), offs - offs[0], m, (block != key[1].as_py()).astype(int), percent)
+        i, j = join_sets(sets.flatten().to_numpy(), offs - offs[0], percent,
+                         None if key[1].as_py() == key[2].as_py() else block)
         links = np.bincount(i, m[j], len(cls)).astype(np.int64) + np.bincount(j, m[i], len(cls)).astype(np.int64)
         root = local_roots(cls, i, j)
         at = np.flatnonzero(links)

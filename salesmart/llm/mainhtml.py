@@ -9,8 +9,8 @@ state is content are the main text.
 
 Potentials are trained by counting on labelled pages.  Pages have no labels of
 their own, so a page is labelled by its one `article` or `main` element, where
-it has one; words that are common in page templates (fixed values below) count
-as if seen in labelled pages.
+it has one; words that are common in page templates (fixed values below) have
+potentials of their own besides.
 
 Defined results: null html is empty; a page without content blocks has an empty
 text; unclosed or misplaced tags are closed where HTML closes them; an unclosed
@@ -52,8 +52,11 @@ COMMON = {
         notice alert comment comments reply respond disqus share social related breadcrumb breadcrumbs pagination newsletter
         subscribe popup modal widget toolbar login signup dialog hidden masthead copyright""".split(),
 }
-PRIOR = 40.0       # labelled nodes that each common word counts for
-LEAST = 0.004      # least probability of any change of state from parent to child
+#: Log-potentials (outside, content, boilerplate) of the common words, and the most that a learned feature counts.
+PRIOR = {CONTENT: np.array([-2.0, 2.0, -4.0]), BOILERPLATE: np.array([-3.0, -40.0, 1.0])}
+LIMIT = 2.0
+#: Least probability of each change of state from parent to child: boilerplate holds no content.
+LEAST = np.array([[0.004, 0.004, 0.004], [0.004, 0.004, 0.01], [0.004, 1e-6, 0.004]])
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
@@ -216,11 +219,6 @@ def train(sources: list[str]) -> Model:
     """Count states, features and parent-child states on the labelled pages."""
     seen: dict[str, np.ndarray] = {}
     total, edge, root = np.ones(3), np.ones((3, 3)), np.ones(3)
-    for state, words in COMMON.items():
-        for w in words:
-            for f in (f"tag {w}", f"name {w}"):
-                seen[f] = np.zeros(3)
-                seen[f][state] += PRIOR
     for source in sources:
         page = parse(source)
         state = labels(page)
@@ -235,7 +233,11 @@ def train(sources: list[str]) -> Model:
                 seen.setdefault(f, np.zeros(3))[s] += 1
     share = total / total.sum()
     # potential of a feature: how much likelier a state is with it than without knowing it
-    potential = {f: np.log((n + 2 * share) / (n.sum() + 2) / share) for f, n in seen.items()}
+    potential = {f: np.clip(np.log((n + 2 * share) / (n.sum() + 2) / share), -LIMIT, LIMIT) for f, n in seen.items()}
+    for state, words in COMMON.items():
+        for w in words:
+            for f in (f"tag {w}", f"name {w}"):
+                potential[f] = potential.get(f, 0) + PRIOR[state]
     edge = np.maximum(edge / edge.sum(1, keepdims=True), LEAST)
     return Model(potential, np.log(edge / share), np.log(root / root.sum()))
 
