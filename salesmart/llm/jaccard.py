@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import components, local_roots, shingles, stash, text_slices
 
 #: Counters of the order table (fixed size), and the shingles a joining task holds.
-COUNTERS_LOG2, TASK_SHINGLES = 22, 3_000_000
+COUNTERS_LOG2, TASK_SHINGLES = 22, 2_000_000
 PARTS = 64
 
 
