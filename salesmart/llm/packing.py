@@ -17,6 +17,7 @@ are separate documents; an empty table gives an empty frame.  Only `doc_id` and
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -31,8 +32,8 @@ from salesmart.llm.common import LOWER, range_hashes, stash, text_slices, word_s
 CAPACITY, END_ID = 2048, 0
 #: Pricing rounds of the linear program, and the share of a column's widest step taken in each.
 ROUNDS, STEP = 400, 0.5
-#: Distinct chunks whose ids a worker keeps.
-KEPT_CHUNKS = 1_000_000
+#: Distinct chunks whose ids a worker keeps, and chunks given to the tokenizer at once.
+KEPT_CHUNKS, BATCH = 600_000, 10_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ordinal long, ids binary"
 
@@ -57,6 +58,7 @@ class ChunkTokenizer:
     of chunks seen are kept, sorted by hash."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task is one thread
         from tokenizers import Tokenizer
         self.own = Tokenizer.from_file(path)
         self._clear()
@@ -68,7 +70,8 @@ class ChunkTokenizer:
         self.flat = np.zeros(0, np.uint32)
 
     def _add(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        ids = [e.ids for e in self.own.encode_batch_fast(chunks, add_special_tokens=False)]
+        ids = [e.ids for i in range(0, len(chunks), BATCH)
+               for e in self.own.encode_batch_fast(chunks[i:i + BATCH], add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         number = len(self.offsets) - 1 + np.arange(len(ids))
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(size)])
