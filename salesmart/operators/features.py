@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import clip, interaction
+from salesmart.sources.bindings import THRESHOLD_CHANGES
 
 SERIES = "canonical_group"
 ORDER = ["report_year", "report_month"]
-# Peak gift months, and the years the gift thresholds changed per group
+# Peak gift months
 PEAK_MONTHS = [1, 2, 8, 9, 12]
-THRESHOLD_CHANGE_YEARS = {"GIFT_LOW": [1997, 1998], "GIFT_HIGH": [1997, 1998], "GIFT_LARGE": []}
+_CHANGES = [year for year, _ in THRESHOLD_CHANGES[1:]]
+# groups whose bands move with the threshold; the large gifts' does not
+THRESHOLD_CHANGE_YEARS = {g: _CHANGES for g in ("GIFT_LOW", "GIFT_HIGH")} | {"GIFT_LARGE": []}
 FIRST_YEAR = 1995           # first year of data: regime default when no change happened yet
 
 

@@ -28,13 +28,13 @@ from salesmart.functions.numeric import clip
 from salesmart.session import checkpoint_dir
 
 SERIES = "canonical_group"
-# Fixed values of the binding: validation years and the test year
-VALIDATION_YEARS = [1998, 1999]
-TEST_YEAR = 2000
+# Fixed values of the binding: validation years and the test year (the newest, part-year one)
+VALIDATION_YEARS = [1999, 2000]
+TEST_YEAR = 2001
 # MAPE targets per group (percent) for the scorecard
 MAPE_TARGETS = {"GIFT_LOW": 20.0, "GIFT_HIGH": 18.0, "GIFT_COMBINED": 15.0, "GIFT_LARGE": 25.0}
 # Regime weights by year (later regimes weigh more), default 1, LOW/HIGH only
-REGIME_WEIGHTS = {1996: 1.0, 1997: 1.0, 1998: 2.0, 1999: 4.0}
+REGIME_WEIGHTS = {1996: 1.0, 1997: 1.0, 1998: 2.0, 1999: 4.0, 2000: 4.0}
 WEIGHTED_GROUPS = ("GIFT_LOW", "GIFT_HIGH")
 # Leak-safe default feature list (no same-month composition or YoY)
 LEAK_SAFE_FEATURES = ["sales_lag_1m", "sales_lag_3m", "sales_lag_12m", "sales_rolling_3m_mean",
@@ -236,8 +236,8 @@ def design(folded: DataFrame, features, target_mode: str = "raw", weighted: bool
 
 def gram(des: DataFrame, k: int) -> DataFrame:
     """One aggregation: weighted sums n, Sx_i, Sx_ix_j (i <= j), Sx_i t, St, St^2
-    per (series, fold) over training rows."""
-    tr = des.filter(F.col("role") == "train")
+    per (series, fold) over training rows that have a target."""
+    tr = des.filter((F.col("role") == "train") & F.col("t").isNotNull())
     w = F.col("w")
     aggs = [F.sum(w).alias("sw"), F.count(F.lit(1)).alias("n"), F.sum(w * F.col("t")).alias("st"),
             F.sum(w * F.col("t") * F.col("t")).alias("stt")]

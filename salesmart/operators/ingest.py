@@ -57,18 +57,7 @@ def cell_numbers(cells) -> F.Column:
     the end of a ragged row).  Unrolled per position rather than a lambda so
     the parse stays inside whole-stage codegen."""
     c = F.col(cells) if isinstance(cells, str) else cells
-    # cells that can only hold personnel columns (blanked at load, B16) are not parsed
-    skip = set(range(1 + _first_personnel(), 1 + _last_personnel())) - set(range(0, 6))
-    return F.array(*[F.lit(None).cast("double") if i in skip else parse_amount(F.get(c, i))
-                     for i in range(MAX_CELLS)])
-
-
-def _first_personnel() -> int:
-    return min(i for i, (n, _) in enumerate(MEASURES) if n in PERSONNEL)
-
-
-def _last_personnel() -> int:
-    return max(i for i, (n, _) in enumerate(MEASURES) if n in PERSONNEL)
+    return F.array(*[parse_amount(F.get(c, i)) for i in range(MAX_CELLS)])
 
 
 def is_data_row(cells, nums=None) -> F.Column:
@@ -113,17 +102,39 @@ def detect_layout(rows: DataFrame, layouts, tolerance: int = 2) -> DataFrame:
 
 
 # I1 I2 -----------------------------------------------------------------------
-def cells_to_records(cells: DataFrame) -> DataFrame:
-    """Lines -> typed records.  Line 2k is the DAILY row and 2k+1 the MTD row
-    of store k; the label cell wins, a blank MTD label inherits the DAILY one;
-    a DAILY row without a label is dropped (no positional fallback); the
-    column offset is 0 when cell 0 is numeric, else 1; out-of-range cells are
-    NULL; personnel columns are blanked (B16).  Each cell is parsed once."""
-    rows = data_rows(cells)
-    w = Window.partitionBy("source_file", "page").orderBy("idx")
+def cells_to_records(cells: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """Lines -> typed records as they go to the load: the personnel columns,
+    which the checks before it still see (``parsed_records``), are blanked (B16)."""
+    return blank_personnel(parsed_records(cells, positions))
+
+
+def blank_personnel(records: DataFrame) -> DataFrame:
+    """The personnel measures of a report are not loaded."""
+    kinds = dict(MEASURES)
+    return records.withColumns({c: F.lit(None).cast("bigint" if kinds[c] == "int" else "double") for c in PERSONNEL})
+
+
+def parsed_records(cells: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """Lines -> typed records with all measures.  Line 2k is the DAILY row and
+    2k+1 the MTD row of store k; an odd line at the end of a page belongs to no
+    store and is dropped.  The label cell wins; a line without one takes the
+    label that ``positions`` (source_file, page, place, store_name) has for its
+    pair, a blank MTD label the DAILY one's; pairs without any label are
+    dropped.  The column offset is 0 when cell 0 is numeric, else 1;
+    out-of-range cells are NULL.  Each cell is parsed once."""
+    page = Window.partitionBy("source_file", "page")
+    rows = data_rows(cells).withColumn("n_lines", F.count(F.lit(1)).over(page))
+    rows = rows.filter(F.col("idx") < F.col("n_lines") - F.col("n_lines") % 2)
+    w = page.orderBy("idx")
     first = F.get(F.col("cells"), 0)
     textual = F.get(F.col("nums"), 0).isNull() & first.isNotNull() & (first != "")
     rows = rows.withColumn("own_label", F.when(textual, normalise_name(first)))
+    if positions is not None:
+        rows = rows.withColumn("place", F.expr("idx div 2")).join(
+            positions.select("source_file", "page", "place", F.col("store_name").alias("placed")),
+            ["source_file", "page", "place"], "left")
+        rows = rows.withColumn("own_label", F.when(F.col("idx") % 2 == 0, F.coalesce("own_label", "placed"))
+                               .otherwise(F.col("own_label")))
     rows = (rows.withColumn("prev_label", F.lag("own_label", 1).over(w))
             .withColumn("is_mtd", F.col("idx") % 2 == 1)
             .withColumn("offset", F.when(F.get(F.col("nums"), 0).isNotNull(), 0).otherwise(1)))
@@ -134,8 +145,6 @@ def cells_to_records(cells: DataFrame) -> DataFrame:
     for i, (name, kind) in enumerate(MEASURES):
         v = F.get(F.col("nums"), F.col("offset") + i)
         v = v.cast("bigint") if kind == "int" else v
-        if name in PERSONNEL:
-            v = F.lit(None).cast("bigint" if kind == "int" else "double")
         meas.append(v.alias(name))
     return rows.select(
         date_from_filename("source_file").alias("report_date"), "store_name",
@@ -197,7 +206,7 @@ def job_list(resolved: DataFrame, log: DataFrame, date_from=None, date_to=None,
     if not force:
         done = log.filter(F.col("status") == "SUCCESS").select("source_file")
         r = r.join(done, "source_file", "left_anti")
-    return r.select("report_date", "chosen_path", "source_file")
+    return r.select("report_date", "chosen_path", "source_file").orderBy("report_date", "source_file")
 
 
 def single_file_check(resolved: DataFrame, name: str) -> DataFrame:
@@ -236,14 +245,22 @@ def apply_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_r
     return flag_store_policy(records, dim, policy).filter("_keep").drop("_keep")
 
 
-def load_outcomes(flagged: DataFrame, policy: str) -> DataFrame:
-    """One outcome row per file from the flagged rows: SUCCESS with the
-    rows loaded, SKIPPED when the policy dropped the whole file, FAILED when
-    it parsed to nothing."""
-    g = flagged.groupBy("source_file").agg(F.count(F.lit(1)).alias("records_parsed"),
-                                          F.count_if(F.col("_keep")).alias("records_loaded"))
+def load_outcomes(flagged: DataFrame, policy: str, files: DataFrame | None = None) -> DataFrame:
+    """One outcome row per file of ``files`` (source_file; without it
+    the files that have rows): SUCCESS with the rows loaded, SKIPPED when the
+    policy dropped the whole file, FAILED when it parsed to nothing.  The note
+    names the unknown stores (at most one report's) or the failure."""
+    g = flagged.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("records_parsed"), F.count_if(F.col("_keep")).alias("records_loaded"),
+        join_or_null(F.array_sort(F.collect_set(F.when(F.col("store_id").isNull(), F.col("store_name"))))).alias("unknown"))
+    if files is not None:
+        g = files.select("source_file").distinct().join(g, "source_file", "left").fillna(
+            0, ["records_parsed", "records_loaded"])
     status = (F.when(F.col("records_parsed") == 0, "FAILED")
               .when(F.col("records_loaded") == 0, "SKIPPED").otherwise("SUCCESS"))
     return g.select("source_file", F.col("records_parsed").cast("bigint").alias("records_parsed"),
-                    F.col("records_loaded").cast("bigint").alias("records_loaded"), status.alias("status"),
-                    F.lit(policy).alias("policy"))
+                    F.col("records_loaded").cast("bigint").alias("records_loaded"),
+                    (F.col("records_parsed") - F.col("records_loaded")).cast("bigint").alias("records_skipped"),
+                    status.alias("status"), F.lit(policy).alias("policy"),
+                    F.when(F.col("records_parsed") == 0, "no records parsed")
+                    .when(F.col("unknown").isNotNull(), F.concat(F.lit("unknown stores: "), "unknown")).alias("note"))

@@ -197,7 +197,7 @@ def canonical_monthly_by_year(cat: DataFrame, mapping_by_year: DataFrame) -> Dat
 
 
 def combined_monthly(canonical: DataFrame) -> DataFrame:
-    """vw_gift_combined_monthly: GIFT_COMBINED = LOW + HIGH."""
+    """Combined group: GIFT_COMBINED = LOW + HIGH."""
     return (canonical.filter(F.col("canonical_group").isin("GIFT_LOW", "GIFT_HIGH"))
             .groupBy("report_year", "report_month", "period_type")
             .agg(F.sum("sales_result").cast(MONEY).alias("sales_result"),
@@ -212,7 +212,7 @@ GROUP_DATASET_COLS = ["report_year", "report_month", "canonical_group", "sales_r
 
 
 def group_analysis_dataset(canonical: DataFrame, macro: DataFrame) -> DataFrame:
-    """vw_gift_analysis_dataset: 3 groups UNION ALL the combined group (NULL
+    """Group dataset: 3 groups UNION ALL the combined group (NULL
     padded), then the month-level macro table joined once after the union."""
     g = canonical.filter(F.col("period_type") == "MONTHLY")
     c = combined_monthly(canonical).filter(F.col("period_type") == "MONTHLY")
@@ -267,10 +267,10 @@ def category_half_year(cat: DataFrame) -> DataFrame:
 FLOOR_CATEGORIES = ("GIFT_930_DOWN", "GIFT_950_DOWN", "GIFT_970_DOWN")
 
 
-def _sokuho_month_end(fact, dim, total_name=GRAND_TOTAL):
+def _report_month_end(fact, dim, total_name=GRAND_TOTAL):
     return grand_total_month_end(fact, dim, total_name).select(
-        "report_year", "report_month", F.col("sales_result").alias("sokuho_mtd_sales"),
-        F.col("customer_count").alias("sokuho_customers"))
+        "report_year", "report_month", F.col("sales_result").alias("report_mtd_sales"),
+        F.col("customer_count").alias("report_customers"))
 
 
 def _kpi_monthly(kpi):
@@ -280,7 +280,7 @@ def _kpi_monthly(kpi):
 
 def analysis_monthly(cat: DataFrame, kpi: DataFrame, macro: DataFrame, fact: DataFrame, dim: DataFrame,
                      floor_categories=FLOOR_CATEGORIES) -> DataFrame:
-    """vw_analysis_monthly, faithful form: the TOTAL row left-joined to four
+    """Monthly mart, join form: the TOTAL row left-joined to four
     category rows of the same month (the floor join is an IN and fans out if
     several floor codes exist), then KPI, macro and month-end sales."""
     m = cat.filter(F.col("period_type") == "MONTHLY")
@@ -336,7 +336,7 @@ def _analysis_finish(j, kpi, macro, fact, dim):
     key = ["report_year", "report_month"]
     out = (j.join(_kpi_monthly(kpi), key, "left")
            .join(F.broadcast(macro), key, "left")
-           .join(_sokuho_month_end(fact, dim), key, "left"))
+           .join(_report_month_end(fact, dim), key, "left"))
     return out.select(
         *key,
         F.col("sales_result").alias("monthly_total_sales"),
@@ -352,14 +352,14 @@ def _analysis_finish(j, kpi, macro, fact, dim):
         F.col("g5_composition_curr_pct").alias("gift_5000_composition_curr_pct"),
         F.col("gf_composition_curr_pct").alias("gift_floor_composition_curr_pct"),
         "customer_count", "unit_price", "avg_daily_sales",
-        *MACRO_MART_COLS, "sokuho_mtd_sales", "sokuho_customers")
+        *MACRO_MART_COLS, "report_mtd_sales", "report_customers")
 
 
 PREDICTION_INPUT_COLS = [
     "report_year", "report_month", "monthly_total_sales", "total_yoy_pct", "gift_5000_sales",
     "gift_5000_yoy_pct", "gift_floor_category", "gift_floor_sales", "gift_floor_yoy_pct",
     "gram_cookies_sales", "fb_sales", "customer_count", "unit_price", "avg_daily_sales",
-    *MACRO_MART_COLS, "sokuho_mtd_sales", "sokuho_customers"]
+    *MACRO_MART_COLS, "report_mtd_sales", "report_customers"]
 
 
 def prediction_inputs(analysis: DataFrame) -> DataFrame:
@@ -371,5 +371,5 @@ def category_vs_sales_reconcile(analysis: DataFrame) -> DataFrame:
     """Category TOTAL vs month-end MTD sales, guarded percentage."""
     return analysis.select(
         "report_year", "report_month",
-        F.col("monthly_total_sales").alias("kouseihi_monthly_total_sales"), "sokuho_mtd_sales",
-        F.round(guarded_pct_diff("monthly_total_sales", "sokuho_mtd_sales"), 6).alias("diff_pct"))
+        F.col("monthly_total_sales").alias("category_total_sales"), "report_mtd_sales",
+        F.round(guarded_pct_diff("monthly_total_sales", "report_mtd_sales"), 6).alias("diff_pct"))

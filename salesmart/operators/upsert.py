@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,15 +65,20 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
                     partition_cols: list[str], order_col: str | None = None) -> int:
     """Upsert ``batch`` into the Parquet table at ``path`` (created if absent).
 
-    Returns the number of batch rows applied.  Only touched partitions are
-    rewritten; the merged partitions are checkpointed (reliable checkpoint in
+    Returns the number of batch rows applied.  A batch with several rows for a
+    key needs ``order_col``.  Only touched partitions are rewritten; the merged partitions are checkpointed (reliable checkpoint in
     the shared checkpoint folder) before the overwrite."""
     checkpoint_dir(spark)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: no table yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":   # any other failure must not pass for a first load
+            raise
         current = None
+    batch = batch.checkpoint(eager=True)
+    if order_col is None and batch.groupBy(*keys).count().where("count > 1").head(1):
+        raise ValueError(f"rows of the batch share a key of {keys} and no order_col says which one wins")
     data_cols = [c for c in batch.columns if c != order_col] if order_col else batch.columns
     if current is None:
         merged = upsert(batch.limit(0).select(*data_cols), batch, keys, order_col)
@@ -82,7 +88,7 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
         merged = upsert(cur, batch, keys, order_col)
     merged = merged.checkpoint(eager=True)
     merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-    return batch.count()
+    return batch.count()   # of the checkpointed rows
 
 
 def append_log(spark: SparkSession, path: str, rows: DataFrame) -> None:

@@ -31,7 +31,7 @@ SELECT f.report_date, d.store_name, f.record_type,
        CAST(trunc(f.transfer_amount) AS BIGINT) AS transfer_amount,
        CAST(trunc(f.sales_incl_result) AS BIGINT) AS sales_incl_result,
        CAST(NULL AS DOUBLE) AS sales_incl_budget_pct, CAST(NULL AS DOUBLE) AS sales_incl_yoy_pct,
-       'SOKUHO ' || {_txt('f.report_date')} || ' b' || CAST(f.store_id // 40 AS VARCHAR) || '.pdf' AS source_file,
+       'DAYREPORT ' || {_txt('f.report_date')} || ' b' || CAST(f.store_id // 40 AS VARCHAR) || '.pdf' AS source_file,
        f.store_id
 FROM (SELECT *, 'DAILY' AS record_type FROM daily_all WHERE store_id >= 0
       UNION ALL SELECT *, 'MTD' FROM mtd_all WHERE store_id >= 0) f
@@ -51,6 +51,27 @@ def q_cells_to_records(spark, sf):
     return _records(spark, sf)
 
 
+@query("cells_damaged", with_ctes("SELECT " + ", ".join(RECORD_COLS) + " FROM expected_records",
+                                  "expected_records"))
+def q_cells_damaged(spark, sf):
+    """Missing labels, odd trailing lines and personnel values parse
+    to the same records."""
+    t = Tables(spark, sf)
+    return I.cells_to_records(R.damaged_cells(t), R.positions(t))
+
+
+@query("personnel_range", with_ctes("""
+SELECT record_type, COUNT(*) AS n_records,
+       COUNT(*) FILTER (WHERE record_type = 'DAILY' AND store_id % 20 % 4 = 2) AS n_negative
+FROM expected_records GROUP BY record_type""", "expected_records"))
+def q_personnel_range(spark, sf):
+    """The range check sees the personnel measures before they are blanked."""
+    t = Tables(spark, sf)
+    r = I.parsed_records(R.damaged_cells(t), R.positions(t))
+    return r.groupBy("record_type").agg(F.count(F.lit(1)).alias("n_records"),
+                                        F.count_if(F.col("ft_expense") < 0).alias("n_negative"))
+
+
 _LAYOUT_VALUES = ", ".join(f"({i}, '{lbl}', {a}, {b})" for i, (lbl, a, b) in enumerate(R.LAYOUTS))
 
 
@@ -61,7 +82,7 @@ FROM (SELECT p.*, l.*, abs(p1_rows / 2 - e1) + abs(p2_rows / 2 - e2) AS dist,
              ROW_NUMBER() OVER (PARTITION BY source_file ORDER BY abs(p1_rows / 2 - e1) + abs(p2_rows / 2 - e2), ord) AS rn
       FROM pages p, (VALUES {_LAYOUT_VALUES}) l(ord, label, e1, e2))
 WHERE rn = 1""", "store_daily", local={"pages": f"""
-SELECT 'SOKUHO ' || {_txt('report_date')} || ' b' || CAST(store_id // 40 AS VARCHAR) || '.pdf' AS source_file,
+SELECT 'DAYREPORT ' || {_txt('report_date')} || ' b' || CAST(store_id // 40 AS VARCHAR) || '.pdf' AS source_file,
        2 * COUNT(*) FILTER (WHERE store_id % 40 < 20) AS p1_rows,
        2 * COUNT(*) FILTER (WHERE store_id % 40 >= 20) AS p2_rows
 FROM store_daily GROUP BY 1"""}))
@@ -78,10 +99,10 @@ SELECT unnest(CASE WHEN k IN (1, 2, 8) THEN [main, 'archive/' || y || '/' || bas
                    WHEN k = 6 THEN [main, 'reports/' || y || '/' || old]
                    ELSE [main] END) AS path, report_date
 FROM (SELECT report_date, dayofyear(report_date) % 29 AS k, CAST(year(report_date) AS VARCHAR) AS y,
-             'SOKUHO ' || {_txt('report_date')} || '.pdf' AS base,
-             'SOKUHO ' || {_txt('report_date')} || ' rev.pdf' AS rev,
-             'sokuho ' || {_txt('report_date')} || ' (old).pdf' AS old,
-             'reports/' || CAST(year(report_date) AS VARCHAR) || '/SOKUHO ' || {_txt('report_date')} || '.pdf' AS main
+             'DAYREPORT ' || {_txt('report_date')} || '.pdf' AS base,
+             'DAYREPORT ' || {_txt('report_date')} || ' rev.pdf' AS rev,
+             'dayreport ' || {_txt('report_date')} || ' (old).pdf' AS old,
+             'reports/' || CAST(year(report_date) AS VARCHAR) || '/DAYREPORT ' || {_txt('report_date')} || '.pdf' AS main
       FROM report_dates)""")
 cte("override_rules", ["report_dates"], f"""
 SELECT report_date,
@@ -91,9 +112,9 @@ SELECT report_date,
        CASE WHEN k = 5 THEN [lower(base)] WHEN k = 6 THEN [old] ELSE CAST([] AS VARCHAR[]) END AS ignore_basenames,
        'rule ' || CAST(k AS VARCHAR) AS note
 FROM (SELECT report_date, dayofyear(report_date) % 29 AS k,
-             'SOKUHO ' || {_txt('report_date')} || '.pdf' AS base,
-             'SOKUHO ' || {_txt('report_date')} || ' rev.pdf' AS rev,
-             'SOKUHO ' || {_txt('report_date')} || ' (OLD).pdf' AS old
+             'DAYREPORT ' || {_txt('report_date')} || '.pdf' AS base,
+             'DAYREPORT ' || {_txt('report_date')} || ' rev.pdf' AS rev,
+             'DAYREPORT ' || {_txt('report_date')} || ' (OLD).pdf' AS old
       FROM report_dates) WHERE k IN (2, 4, 5, 6, 7, 8)""")
 cte("resolved", ["file_candidates", "override_rules"], """
 SELECT report_date, status,
@@ -181,13 +202,19 @@ def q_unknown_store_policy_row(spark, sf):
 
 
 @query("unknown_store_policy_day", with_ctes("""
-SELECT source_file, COUNT(*) AS records_parsed,
-       CASE WHEN COUNT(*) FILTER (WHERE store_id % 13 = 0) > 0 THEN 0 ELSE COUNT(*) END AS records_loaded,
-       CASE WHEN COUNT(*) FILTER (WHERE store_id % 13 = 0) > 0 THEN 'SKIPPED' ELSE 'SUCCESS' END AS status,
-       'skip_day' AS policy
-FROM expected_records GROUP BY source_file""", "expected_records"))
+SELECT source_file, n AS records_parsed, CASE WHEN u IS NULL THEN n ELSE 0 END AS records_loaded,
+       CASE WHEN u IS NULL THEN 0 ELSE n END AS records_skipped,
+       CASE WHEN u IS NULL THEN 'SUCCESS' ELSE 'SKIPPED' END AS status, 'skip_day' AS policy,
+       'unknown stores: ' || u AS note
+FROM (SELECT source_file, COUNT(*) AS n,
+             string_agg(DISTINCT store_name, '; ' ORDER BY store_name) FILTER (WHERE store_id % 13 = 0) AS u
+      FROM expected_records GROUP BY source_file)
+UNION ALL
+SELECT DISTINCT 'DAYREPORT ' || """ + _txt("report_date") + """ || ' empty.pdf', 0, 0, 0, 'FAILED', 'skip_day', 'no records parsed'
+FROM expected_records WHERE day(report_date) = 1""", "expected_records"))
 def q_unknown_store_policy_day(spark, sf):
     """J7 skip_day + J8: whole files with an unknown store are skipped; one
     outcome row per file."""
     t = Tables(spark, sf)
-    return I.load_outcomes(I.flag_store_policy(_records(spark, sf), _snapshot_dim(t), "skip_day"), "skip_day")
+    files = R.report_files(t)
+    return I.load_outcomes(I.flag_store_policy(_records(spark, sf), _snapshot_dim(t), "skip_day"), "skip_day", files)

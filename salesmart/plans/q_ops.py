@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import month_spine
 from salesmart.operators import features as FE
+from salesmart.operators import forecast as FC
 from salesmart.operators import ingest as I
 from salesmart.operators import marts as M
 from salesmart.operators import ops as OP
@@ -25,7 +26,7 @@ from salesmart.sources import reports as R
 from salesmart.sources.tables import Tables
 
 G = "canonical_group"
-TEST_YEAR = 2000
+TEST_YEAR = FC.TEST_YEAR
 # the latest gift threshold, for the normalised floor feature
 LATEST_THRESHOLD = 970
 

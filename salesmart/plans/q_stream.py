@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from salesmart.plans.registry import query
-from salesmart.streaming.daily_upsert import run_daily_upsert
+from salesmart.streaming.daily_upsert import day_totals, run_daily_upsert
 
 
 @query("stream_daily_upsert", """
@@ -12,5 +12,5 @@ SELECT CAST(CAST(ts AS DATE) AS DATE) AS day, event_type, COUNT(*) AS n_events,
 FROM events GROUP BY 1, 2""")
 def q_stream_daily_upsert(spark, sf):
     """Event files streamed once into per-(day, type) totals, upserted per batch."""
-    target = run_daily_upsert(spark, sf, glob="events.parquet")
-    return spark.read.parquet(target).select("day", "event_type", "n_events", "total_value", "last_ts")
+    target = run_daily_upsert(spark, f"{sf}/events.parquet")
+    return day_totals(spark.read.parquet(target)).select("day", "event_type", "n_events", "total_value", "last_ts")

@@ -22,11 +22,11 @@ def _dtext(d, pad=False):
 
 FILE_NAME_SQL = """
 SELECT d, CASE dayofyear(d) % 4
-  WHEN 0 THEN 'SOKUHO ' || strftime(d, '%Y') || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR) || '.pdf'
-  WHEN 1 THEN 'SOKUHO ' || strftime(d, '%Y.%m.%d') || ' copy.pdf'
+  WHEN 0 THEN 'DAYREPORT ' || strftime(d, '%Y') || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR) || '.pdf'
+  WHEN 1 THEN 'DAYREPORT ' || strftime(d, '%Y.%m.%d') || ' copy.pdf'
   WHEN 2 THEN 'old ' || CAST(year(d) - 1 AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR)
-              || ' SOKUHO ' || CAST(year(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR) || '.pdf'
-  ELSE 'SOKUHO ' || CAST(year(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR)
+              || ' DAYREPORT ' || CAST(year(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR) || '.pdf'
+  ELSE 'DAYREPORT ' || CAST(year(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.' || CAST(day(d) AS VARCHAR)
        || ' rev ' || CAST(year(d) AS VARCHAR) || '.13.45.pdf' END AS file_name
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
 
@@ -44,12 +44,12 @@ def q_filename_dates(spark, sf):
     d = t.orders.select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     k = F.dayofyear("d") % 4
     y = F.year("d").cast("string")
-    name = (F.when(k == 0, F.concat(F.lit("SOKUHO "), _dtext(F.col("d")), F.lit(".pdf")))
-            .when(k == 1, F.concat(F.lit("SOKUHO "), _dtext(F.col("d"), pad=True), F.lit(" copy.pdf")))
+    name = (F.when(k == 0, F.concat(F.lit("DAYREPORT "), _dtext(F.col("d")), F.lit(".pdf")))
+            .when(k == 1, F.concat(F.lit("DAYREPORT "), _dtext(F.col("d"), pad=True), F.lit(" copy.pdf")))
             .when(k == 2, F.concat(F.lit("old "), (F.year("d") - 1).cast("string"), F.lit("."),
                                    F.month("d").cast("string"), F.lit("."), F.dayofmonth("d").cast("string"),
-                                   F.lit(" SOKUHO "), _dtext(F.col("d")), F.lit(".pdf")))
-            .otherwise(F.concat(F.lit("SOKUHO "), _dtext(F.col("d")), F.lit(" rev "), y, F.lit(".13.45.pdf"))))
+                                   F.lit(" DAYREPORT "), _dtext(F.col("d")), F.lit(".pdf")))
+            .otherwise(F.concat(F.lit("DAYREPORT "), _dtext(F.col("d")), F.lit(" rev "), y, F.lit(".13.45.pdf"))))
     return d.select(F.col("d").alias("source_date"), name.alias("file_name")) \
         .withColumn("report_date", date_from_filename("file_name"))
 

@@ -26,26 +26,25 @@ LARGE_ORDER_PRICE = 400000.0
 TYPE_CATEGORY = {"PROMO": "GRAM_COOKIES", "SMALL": "FB", "ECONOMY": "DRY_CAKE", "MEDIUM": "OTHER"}
 # gift price threshold in force per year: <=1996 -> 930, 1997 -> 950, >=1998 -> 970
 THRESHOLD_CHANGES = [(1900, 930), (1997, 950), (1998, 970)]
+LARGE_GIFT = 5000
+# price bands: below and above each threshold there ever was, and large gifts
+_BANDS = [("DOWN", "GIFT_LOW", 1), ("UP", "GIFT_HIGH", 2)]
+_PERIODS = [(t, start, nxt - 1) for (start, t), (nxt, _) in
+            zip(THRESHOLD_CHANGES, [*THRESHOLD_CHANGES[1:], (10_000, None)])]
+
+
+def _band_rows(shift: int) -> list[tuple]:
+    """(category, group, floor, ceiling, order, first year, last year); thresholds move by ``shift``."""
+    rows = [(f"GIFT_{t}_{side}", group, *((0, t + shift) if side == "DOWN" else (t + shift, LARGE_GIFT + shift)), order, a, b)
+            for side, group, order in _BANDS for t, a, b in _PERIODS]
+    return rows + [(f"GIFT_{LARGE_GIFT}_UP", "GIFT_LARGE", LARGE_GIFT + shift, None, len(_BANDS) + 1,
+                    THRESHOLD_CHANGES[0][0], _PERIODS[-1][2])]
+
+
 # category -> (canonical group, floor, ceiling, sort order)
-GIFT_MAPPING = [
-    ("GIFT_930_DOWN", "GIFT_LOW", 0, 930, 1),
-    ("GIFT_950_DOWN", "GIFT_LOW", 0, 950, 1),
-    ("GIFT_970_DOWN", "GIFT_LOW", 0, 970, 1),
-    ("GIFT_930_UP", "GIFT_HIGH", 930, 5000, 2),
-    ("GIFT_950_UP", "GIFT_HIGH", 950, 5000, 2),
-    ("GIFT_970_UP", "GIFT_HIGH", 970, 5000, 2),
-    ("GIFT_5000_UP", "GIFT_LARGE", 5000, None, 3),
-]
+GIFT_MAPPING = [r[:5] for r in _band_rows(0)]
 # year-effective variant (C3): raw category, group, floor, ceiling, year_from, year_to
-GIFT_MAPPING_BY_YEAR = [
-    ("GIFT_930_DOWN", "GIFT_LOW", 0, 931, 1900, 1996),
-    ("GIFT_950_DOWN", "GIFT_LOW", 0, 951, 1997, 1997),
-    ("GIFT_970_DOWN", "GIFT_LOW", 0, 971, 1998, 9999),
-    ("GIFT_930_UP", "GIFT_HIGH", 931, 5001, 1900, 1996),
-    ("GIFT_950_UP", "GIFT_HIGH", 951, 5001, 1997, 1997),
-    ("GIFT_970_UP", "GIFT_HIGH", 971, 5001, 1998, 9999),
-    ("GIFT_5000_UP", "GIFT_LARGE", 5001, None, 1900, 9999),
-]
+GIFT_MAPPING_BY_YEAR = [(*r[:4], *r[5:]) for r in _band_rows(1)]
 # Lunar new year and mid-autumn festival dates (public calendar facts)
 LUNAR_NEW_YEAR = ["1995-01-31", "1996-02-19", "1997-02-07", "1998-01-28",
                   "1999-02-16", "2000-02-05", "2001-01-24", "2002-02-12"]
@@ -119,7 +118,7 @@ def _finish_daily(df: DataFrame) -> DataFrame:
         F.col("sales_result").cast(MONEY).alias("sales_result"),
         F.col("transfer_amount").cast(MONEY).alias("transfer_amount"),
         (F.col("sales_result") + F.col("transfer_amount")).cast(MONEY).alias("sales_incl_result"),
-        F.col("customer_count").cast("int").alias("customer_count"),
+        F.col("customer_count").cast("bigint").alias("customer_count"),
         half_up_ratio_2dp("sales_result", "customer_count", "decimal(12,2)").alias("unit_price"))
 
 
@@ -252,7 +251,7 @@ def kpi_fact(t: Tables) -> DataFrame:
 
 
 def _category_fact(t: Tables) -> DataFrame:
-    """fact_kouseihi_category: grain (report_year, report_month, period_type, category).
+    """Category fact: grain (report_year, report_month, period_type, category).
 
     MONTHLY rows per category plus TOTAL; H1/H2/ANNUAL rows (report_month NULL)
     summed from them.  YoY and composition via year-range windows (calendar
@@ -286,7 +285,7 @@ def _category_fact(t: Tables) -> DataFrame:
 
 
 def _kpi_fact(t: Tables) -> DataFrame:
-    """fact_kouseihi_kpi (MONTHLY and ANNUAL rows): customers = distinct
+    """KPI fact (MONTHLY and ANNUAL rows): customers = distinct
     ordering customers, unit price = TOTAL sales / customers, average daily
     sales = TOTAL / days in period."""
     o = t.orders.select(F.year("o_orderdate").alias("report_year"),
@@ -315,7 +314,7 @@ def _kpi_fact(t: Tables) -> DataFrame:
 
 
 def gift_mapping(spark) -> DataFrame:
-    """dim_gift_category_mapping (7 literal rows, A15)."""
+    """Category mapping."""
     return spark.createDataFrame(
         GIFT_MAPPING,
         "source_category string, canonical_group string, threshold_floor int, "

@@ -36,7 +36,7 @@ def _date_text(d):
 
 
 def report_file_name(d, block):
-    return F.concat(F.lit("SOKUHO "), _date_text(d), F.lit(" b"), block.cast("string"), F.lit(".pdf"))
+    return F.concat(F.lit("DAYREPORT "), _date_text(d), F.lit(" b"), block.cast("string"), F.lit(".pdf"))
 
 
 def report_cells(t: Tables) -> DataFrame:
@@ -95,6 +95,46 @@ def report_cells(t: Tables) -> DataFrame:
         "source_file", "page", "l.table_no", "l.pos", "l.cells")
 
 
+def report_files(t: Tables) -> DataFrame:
+    """The files that were delivered: a report for each (date, block), and on
+    the first of a month one that holds no table."""
+    day = F.col("l_shipdate").cast("date")
+    days = t.lineitem.select(day.alias("d"), (F.col("l_suppkey") / STORES_PER_BLOCK).cast("bigint").alias("block")).distinct()
+    empty = F.concat(F.lit("DAYREPORT "), _date_text(F.col("d")), F.lit(" empty.pdf"))
+    return days.select(report_file_name(F.col("d"), F.col("block")).alias("source_file")).union(
+        days.filter(F.dayofmonth("d") == 1).select(empty.alias("source_file")).distinct())
+
+
+def positions(t: Tables) -> DataFrame:
+    """(source_file, page, place, store_name): which store stands where, the
+    fallback for lines without a label."""
+    sid = F.col("store_id")
+    slot = sid % STORES_PER_BLOCK
+    present = (t.lineitem.select(F.col("l_shipdate").cast("date").alias("report_date"),
+                                 F.col("l_suppkey").alias("store_id")).distinct()
+               .join(B.dim_store(t).select("store_id", "store_name"), "store_id"))
+    named = present.select(report_file_name(F.col("report_date"), (sid / STORES_PER_BLOCK).cast("bigint")).alias("source_file"),
+                           F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"), "store_id", "store_name")
+    w = Window.partitionBy("source_file", "page").orderBy("store_id")
+    return named.withColumn("place", F.row_number().over(w) - 1)
+
+
+def damaged_cells(t: Tables) -> DataFrame:
+    """The report cells with faults that a parser must bear: DAILY lines
+    without a label, stray odd lines at the end of page 1, personnel values
+    (negative ones among them) in columns that the load blanks."""
+    c = report_cells(t)
+    line = (F.col("table_no") == 1) & (F.col("pos") >= 10) & (F.col("pos") % 2 == 0)
+    slot = F.expr("(pos - 10) div 2")
+    bare = F.concat(F.array(F.lit("")), F.slice("cells", 2, 100))
+    paid = F.concat(F.slice("cells", 1, 8), F.array(F.lit("(5)")), F.slice("cells", 10, 100))
+    c = c.withColumn("cells", F.when(line & (slot % 4 == 2), paid).otherwise(F.col("cells")))
+    c = c.withColumn("cells", F.when(line & (slot % 3 == 1), bare).otherwise(F.col("cells")))
+    stray = F.array(*[F.lit(x) for x in ("Stray", "1", "2", "3", "4", "5")])
+    odd = c.filter((F.col("page") == 1) & (F.col("table_no") == 1) & (F.col("pos") == 0))
+    return c.unionByName(odd.select("source_file", "page", "table_no", F.lit(1000).alias("pos"), stray.alias("cells")))
+
+
 # ---------------------------------------------------------------------------
 # Files per date and override rules
 # ---------------------------------------------------------------------------
@@ -114,9 +154,9 @@ def file_candidates(t: Tables) -> DataFrame:
     d = _report_dates(t)
     k = _case_key(F.col("report_date"))
     y = F.year("report_date").cast("string")
-    base = F.concat(F.lit("SOKUHO "), _date_text(F.col("report_date")), F.lit(".pdf"))
-    rev = F.concat(F.lit("SOKUHO "), _date_text(F.col("report_date")), F.lit(" rev.pdf"))
-    old = F.concat(F.lit("sokuho "), _date_text(F.col("report_date")), F.lit(" (old).pdf"))
+    base = F.concat(F.lit("DAYREPORT "), _date_text(F.col("report_date")), F.lit(".pdf"))
+    rev = F.concat(F.lit("DAYREPORT "), _date_text(F.col("report_date")), F.lit(" rev.pdf"))
+    old = F.concat(F.lit("dayreport "), _date_text(F.col("report_date")), F.lit(" (old).pdf"))
     main = F.concat(F.lit("reports/"), y, F.lit("/"), base)
     paths = F.array(main)
     paths = F.when(k.isin(1, 2, 8), F.array(main, F.concat(F.lit("archive/"), y, F.lit("/"), base))) \
@@ -135,9 +175,9 @@ def override_rules(t: Tables) -> DataFrame:
     d = _report_dates(t)
     k = _case_key(F.col("report_date"))
     txt = _date_text(F.col("report_date"))
-    base = F.concat(F.lit("SOKUHO "), txt, F.lit(".pdf"))
-    rev = F.concat(F.lit("SOKUHO "), txt, F.lit(" rev.pdf"))
-    old = F.concat(F.lit("SOKUHO "), txt, F.lit(" (OLD).pdf"))
+    base = F.concat(F.lit("DAYREPORT "), txt, F.lit(".pdf"))
+    rev = F.concat(F.lit("DAYREPORT "), txt, F.lit(" rev.pdf"))
+    old = F.concat(F.lit("DAYREPORT "), txt, F.lit(" (OLD).pdf"))
     nul = F.lit(None).cast("string")
     return d.filter(k.isin(2, 4, 5, 6, 7, 8)).select(
         "report_date",

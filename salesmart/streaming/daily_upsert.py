@@ -1,9 +1,11 @@
-"""J6 as Structured Streaming: new event files -> day totals -> keyed upsert.
+"""J6 as Structured Streaming: new event files -> day totals -> stored partials.
 
-The file source plus checkpoint gives load-once per file; a day-window
-aggregation with a watermark keeps bounded state; ``foreachBatch`` applies
-each micro-batch's updated totals with the idempotent keyed upsert, so a
-replayed batch (after an executor or driver loss) rewrites the same rows.
+The file source plus checkpoint gives load-once per file.  ``foreachBatch``
+aggregates the rows of a micro-batch's files only and writes the partial totals
+as the batch's own folder, so a batch replayed after a lost executor or driver
+rewrites the same rows.  The table's totals are the sum of the partials: files
+may come in any order and events may be late by any time, nothing is dropped.
+No state store, watermark or session setting is needed.
 """
 
 from __future__ import annotations
@@ -13,60 +15,62 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.upsert import merge_into_path
 from salesmart.session import checkpoint_dir
 
 EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                 "value double, props string")
 KEYS = ["day", "event_type"]
+MONEY = "decimal(38,2)"
 
 
-def day_totals_stream(spark: SparkSession, events_dir: str, glob: str = "*.parquet",
-                      watermark: str = "2 days", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming day totals over the event files of ``events_dir`` matching ``glob``."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
+def event_stream(spark: SparkSession, source: str, glob: str | None = None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """The event files at ``source``: a folder of part files (optionally only
+    those whose names match ``glob``) or a single file."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    parent, _, name = source.rstrip("/").rpartition("/")
+    if not glob:   # a file is streamed as its folder's only file of that name
+        files = spark.read.schema(EVENT_SCHEMA).parquet(source).inputFiles()
+        if len(files) == 1 and files[0].endswith(f"/{parent.rpartition('/')[2]}/{name}"):
+            source, glob = parent, name
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = reader.parquet(events_dir)
-    # event time as an instant whose UTC wall clock equals the recorded local
-    # wall clock: day windows then align with calendar days whatever the
-    # session time zone is
-    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    ev = ev.withColumn("event_time", F.timestamp_micros(micros))
-    return (ev.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", "1 day"), "event_type")
+    return reader.parquet(source)
+
+
+def day_partials(events: DataFrame) -> DataFrame:
+    """Totals of some events per (day, type); sums of such rows are totals again."""
+    return (events.groupBy(F.to_date("ts").alias("day"), "event_type")
             .agg(F.count(F.lit(1)).alias("n_events"),
-                 F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total_value"),
-                 F.max("ts").alias("last_ts"))
-            .select(F.date_from_unix_date((F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
-                    .alias("day"), "event_type",
-                    "n_events", "total_value", "last_ts"))
-
-
-def run_daily_upsert(spark: SparkSession, events_dir: str, glob: str = "*.parquet",
-                     target_path: str | None = None, checkpoint_path: str | None = None) -> str:
-    """Process every available event file once (availableNow) into the target
-    table; returns the target path.  Re-running with the same checkpoint
-    processes only new files."""
+                 F.sum(F.col("value").cast("decimal(18,2)")).cast(MONEY).alias("total_value"),
+                 F.max("ts").alias("last_ts")))
+
+
+def day_totals(partials: DataFrame) -> DataFrame:
+    """The table's state: one row per key over all batches."""
+    return (partials.groupBy(*KEYS)
+            .agg(F.sum("n_events").alias("n_events"), F.sum("total_value").cast("decimal(18,2)").alias("total_value"),
+                 F.max("last_ts").alias("last_ts")))
+
+
+def run_daily_upsert(spark: SparkSession, source: str, glob: str | None = None,
+                     target_path: str | None = None, checkpoint_path: str | None = None,
+                     max_files_per_trigger: int | None = None) -> str:
+    """Process every available event file once (availableNow) into the table of
+    partials; returns its path.  Re-running with the same checkpoint processes
+    only new files."""
     base = checkpoint_dir(spark).rstrip("/")
     run = uuid.uuid4().hex
     target_path = target_path or f"{base}/salesmart-stream/{run}/target"
     checkpoint_path = checkpoint_path or f"{base}/salesmart-stream/{run}/checkpoint"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_into_path(batch.sparkSession, target_path, batch, KEYS, ["day"])
-
-    # state-store partitions are fixed by the first run of a checkpoint and AQE
-    # does not coalesce them: size them to the cluster, not to the batch default
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    parts = max(1, min(int(before), 2 * spark.sparkContext.defaultParallelism))
-    spark.conf.set(key, str(parts))
-    try:
-        q = (day_totals_stream(spark, events_dir, glob).writeStream.outputMode("update")
-             .foreachBatch(apply).option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, before)
+        day_partials(batch).write.mode("overwrite").parquet(f"{target_path}/batch_id={batch_id}")
+
+    q = (event_stream(spark, source, glob, max_files_per_trigger).writeStream
+         .foreachBatch(apply).option("checkpointLocation", checkpoint_path)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return target_path

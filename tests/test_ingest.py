@@ -23,8 +23,8 @@ def rule(use=None, instead=None, contains=None, ignore=(), note="n"):
 
 
 def test_resolution_cases(spark):
-    r = resolve(spark, ["a/SOKUHO 2024.3.5.pdf"])
-    assert (r.status, r.chosen_path) == ("chosen", "a/SOKUHO 2024.3.5.pdf")
+    r = resolve(spark, ["a/DAYREPORT 2024.3.5.pdf"])
+    assert (r.status, r.chosen_path) == ("chosen", "a/DAYREPORT 2024.3.5.pdf")
     r = resolve(spark, ["a/x.pdf", "a/old.pdf"], rule(ignore=["OLD.pdf"]))
     assert (r.status, r.chosen_path, r.ignored_files_note) == ("chosen", "a/x.pdf", "old.pdf")
     r = resolve(spark, ["a/x.pdf", "a/y.pdf"], rule(use="y.pdf", instead="x.pdf"))
@@ -54,12 +54,12 @@ def test_job_list(spark):
 
 def cells_frame(spark):
     rows = [
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 1, 0, ["STORE", "SALES", "BUDGET %", "YOY %", "CUSTOMERS", "YOY %"]),
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 1, 10, ["Ban–Ciao", "1,234.50", "N/A", "-", "10", "#N/A", "123.45"]),
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 1, 11, ["", "(5,000)", "N/A", "-", "20"]),
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 1, 12, ["New Store\nALL 19 STORES", "0", "0", "0", "0"]),
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 1, 13, ["7", "8", "9", "10"]),          # offset 0, inherits label
-        ("SOKUHO 2024.3.5 b0.pdf", 1, 2, 0, ["Note", "1", "x"]),               # shorter table: ignored
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 0, ["STORE", "SALES", "BUDGET %", "YOY %", "CUSTOMERS", "YOY %"]),
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 10, ["Ban–Ciao", "1,234.50", "N/A", "-", "10", "#N/A", "123.45"]),
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 11, ["", "(5,000)", "N/A", "-", "20"]),
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 12, ["New Store\nALL 19 STORES", "0", "0", "0", "0"]),
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 13, ["7", "8", "9", "10"]),          # offset 0, inherits label
+        ("DAYREPORT 2024.3.5 b0.pdf", 1, 2, 0, ["Note", "1", "x"]),               # shorter table: ignored
     ]
     return spark.createDataFrame(rows, "source_file string, page int, table_no int, pos int, cells array<string>")
 
@@ -90,13 +90,13 @@ def test_store_policies(spark):
 
 
 def test_list_report_files(spark, scratch):
-    for rel in ["2024/SOKUHO 2024.3.5.pdf", "2024/sub/SOKUHO 2024.3.6.pdf", "2024/notes.pdf", "x.txt"]:
+    for rel in ["2024/DAYREPORT 2024.3.5.pdf", "2024/sub/DAYREPORT 2024.3.6.pdf", "2024/notes.pdf", "x.txt"]:
         p = os.path.join(scratch, rel)
         os.makedirs(os.path.dirname(p), exist_ok=True)
         with open(p, "wb") as fh:
             fh.write(b"%PDF")
     got = sorted((os.path.basename(r.path), r.report_date) for r in I.list_report_files(spark, scratch).collect())
-    assert got == [("SOKUHO 2024.3.5.pdf", dt.date(2024, 3, 5)), ("SOKUHO 2024.3.6.pdf", dt.date(2024, 3, 6))]
+    assert got == [("DAYREPORT 2024.3.5.pdf", dt.date(2024, 3, 5)), ("DAYREPORT 2024.3.6.pdf", dt.date(2024, 3, 6))]
 
 
 def test_bindings_report_cells_have_headers(spark):

@@ -16,11 +16,11 @@ def one(spark, expr, value, schema="v string"):
 
 def test_date_from_filename_last_valid(spark):
     cases = {
-        "SOKUHO 2020.10.01.pdf": dt.date(2020, 10, 1),
-        "SOKUHO 2025.6.04.pdf": dt.date(2025, 6, 4),
-        "old 2019.1.5 SOKUHO 2020.2.3.pdf": dt.date(2020, 2, 3),
-        "SOKUHO 2020.2.3 rev 2020.13.45.pdf": dt.date(2020, 2, 3),   # invalid later match skipped
-        "SOKUHO 2021.2.29.pdf": None,                                  # not a date
+        "DAYREPORT 2020.10.01.pdf": dt.date(2020, 10, 1),
+        "DAYREPORT 2025.6.04.pdf": dt.date(2025, 6, 4),
+        "old 2019.1.5 DAYREPORT 2020.2.3.pdf": dt.date(2020, 2, 3),
+        "DAYREPORT 2020.2.3 rev 2020.13.45.pdf": dt.date(2020, 2, 3),   # invalid later match skipped
+        "DAYREPORT 2021.2.29.pdf": None,                                  # not a date
         "README.pdf": None,
     }
     rows = spark.createDataFrame([(k,) for k in cases], "v string").select(

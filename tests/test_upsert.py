@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import upsert as U
@@ -55,10 +56,10 @@ def test_evolve_schema(spark):
 
 
 def test_stream_daily_upsert_matches_batch(spark):
-    from salesmart.streaming.daily_upsert import run_daily_upsert
+    from salesmart.streaming.daily_upsert import day_totals, run_daily_upsert
     sf = "/root/testdata/sf0.001"
     target = run_daily_upsert(spark, sf, glob="events.parquet")
-    got = {(r.day, r.event_type): (r.n_events, r.total_value) for r in spark.read.parquet(target).collect()}
+    got = {(r.day, r.event_type): (r.n_events, r.total_value) for r in day_totals(spark.read.parquet(target)).collect()}
     ev = spark.read.parquet(f"{sf}/events.parquet")
     exp = {(r.day, r.event_type): (r.n, r.v) for r in ev.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v"))
@@ -66,6 +67,30 @@ def test_stream_daily_upsert_matches_batch(spark):
     assert got == exp
 
 
+def test_stream_keeps_late_events_of_a_folder_table(spark, scratch):
+    """Newer half first, the older half as a later file: nothing is lost, and a re-run changes nothing."""
+    from salesmart.streaming.daily_upsert import day_totals, run_daily_upsert
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    mid = ev.approxQuantile("event_id", [0.5], 0.0)[0]
+    source, target, state = (f"{scratch}/{x}" for x in ("events.parquet", "target", "state"))
+    ev.filter(F.col("event_id") > mid).coalesce(1).write.parquet(source)
+    run_daily_upsert(spark, source, target_path=target, checkpoint_path=state)
+    ev.filter(F.col("event_id") <= mid).repartition(3).write.mode("append").parquet(source)
+    for _ in range(2):
+        run_daily_upsert(spark, source, target_path=target, checkpoint_path=state, max_files_per_trigger=1)
+        got = day_totals(spark.read.parquet(target))
+        assert got.agg(F.sum("n_events")).first()[0] == ev.count()
+
+
+def test_merge_into_path_refuses_doubtful_batches(spark, scratch):
+    rows = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, v double")
+    with pytest.raises(ValueError):
+        U.merge_into_path(spark, f"{scratch}/t", rows, ["k"], ["k"])
+    open(f"{scratch}/no_table", "w").write("not a table")
+    with pytest.raises(Exception, match="(?i)parquet|schema|infer"):
+        U.merge_into_path(spark, f"{scratch}/no_table", rows.limit(1), ["k"], ["k"])
+
+
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
