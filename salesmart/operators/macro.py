@@ -119,11 +119,44 @@ def write_metric_split(long: DataFrame, path: str, fmt: str = "csv") -> None:
         w.parquet(path)
 
 
+METRIC_COLUMNS = ("year", "month", "value")
+
+
+def _metric_files(spark, path: str) -> DataFrame:
+    """One row per metric file (a few lines per month, so a file is small):
+    metric, its lines, its normalised header (no BOM, blanks or quotes, lower
+    case) and the place of each needed column in it (0: missing)."""
+    files = spark.read.text(path, wholetext=True)
+    clean = F.regexp_replace("value", "^\ufeff", "")
+    lines = F.filter(F.split(clean, "\r?\n"), lambda x: F.trim(x) != "")
+    files = files.select(F.lower(F.trim("metric")).alias("metric"), lines.alias("lines"))
+    header = F.transform(F.split(F.coalesce(F.get("lines", F.lit(0)), F.lit("")), ","),
+                         lambda x: F.lower(F.trim(F.regexp_replace(x, '"', ""))))
+    return files.withColumn("header", header).withColumns(
+        {f"at_{c}": F.array_position("header", c).cast("int") for c in METRIC_COLUMNS})
+
+
+def _whole_header() -> F.Column:
+    return (F.col("at_year") > 0) & (F.col("at_month") > 0) & (F.col("at_value") > 0)
+
+
 def read_metric_dir(spark, path: str) -> DataFrame:
-    """A4: a directory of metric CSVs -> long frame.  Explicit schema, header
-    normalised, metric name from the partition folder or the file name."""
-    df = (spark.read.option("header", True).option("recursiveFileLookup", False)
-          .schema("year int, month int, value string, metric string").csv(path))
-    # a CSV cell cannot tell an empty payload from a missing one: both read as ''
-    return df.select(F.lower(F.trim("metric")).alias("metric"), F.col("year").alias("report_year"),
-                     F.col("month").alias("report_month"), F.coalesce("value", F.lit("")).alias("value"))
+    """A directory of metric CSVs (one folder per metric) -> long frame.
+    Columns are found by the name in each file's own header; files without the
+    three columns are skipped (G4: ``metric_rejects`` lists them), lines whose
+    year or month is no number are too."""
+    rows = (_metric_files(spark, path).filter(_whole_header())
+            .select("metric", "at_year", "at_month", "at_value", F.explode(F.slice("lines", 2, 1_000_000)).alias("line")))
+    cells = F.split("line", ",", -1)
+
+    def cell(c):
+        return F.trim(F.regexp_replace(F.coalesce(F.get(cells, F.col(f"at_{c}") - 1), F.lit("")), '"', ""))
+    out = rows.select("metric", cell("year").try_cast("int").alias("report_year"),
+                      cell("month").try_cast("int").alias("report_month"), cell("value").alias("value"))
+    return out.filter(F.col("report_year").isNotNull() & F.col("report_month").isNotNull())
+
+
+def metric_rejects(spark, path: str) -> DataFrame:
+    """Metric files that lack a needed column, with what their header has."""
+    return _metric_files(spark, path).filter(~_whole_header()).select(
+        "metric", F.array_join("header", ",").alias("header"))

@@ -38,6 +38,37 @@ def q_metric_split(spark, sf):
     return MA.read_metric_dir(spark, path).select("metric", "report_year", "report_month", "value")
 
 
+def _odd_metric_files(spark, sf) -> str:
+    """Metric files as people send them: columns in another order and case, a
+    byte order mark, or (by the length of the metric's name) no value column."""
+    long = MA.macro_long(Tables(spark, sf)).select(
+        "metric", "report_year", "report_month", F.coalesce("value", F.lit("")).alias("value"))
+    kind = F.length("metric") % 3
+    y, m, v = F.col("report_year").cast("string"), F.col("report_month").cast("string"), F.col("value")
+    line = F.when(kind == 0, F.concat_ws(",", m, y, v)).when(kind == 1, F.concat_ws(",", y, v, m)).otherwise(F.concat_ws(",", y, m))
+    head = F.when(kind == 0, "Month,YEAR,Value").when(kind == 1, "\ufeffyear, value ,month").otherwise("year,month")
+    content = (long.groupBy("metric", head.alias("head")).agg(F.array_sort(F.collect_list(line)).alias("body"))
+               .select("metric", F.concat(F.col("head"), F.lit("\r\n"), F.array_join("body", "\r\n")).alias("value")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/salesmart-metrics/{uuid.uuid4().hex}"
+    content.write.partitionBy("metric").text(path)
+    return path
+
+
+@query("metric_headers", with_ctes("""
+SELECT metric, report_year, report_month, COALESCE(value, '') AS value FROM macro_long WHERE length(metric) % 3 <> 2""",
+    "macro_long"))
+def q_metric_headers(spark, sf):
+    """Columns found by header name; files without the three are skipped."""
+    return MA.read_metric_dir(spark, _odd_metric_files(spark, sf))
+
+
+@query("metric_rejects", with_ctes("""
+SELECT DISTINCT metric, 'year,month' AS header FROM macro_long WHERE length(metric) % 3 = 2""", "macro_long"))
+def q_metric_rejects(spark, sf):
+    """The skipped metric files."""
+    return MA.metric_rejects(spark, _odd_metric_files(spark, sf))
+
+
 @query("working_days", with_ctes("""
 SELECT report_year, report_month, calendar_days, weekday_count,
        CAST(CASE WHEN report_month % 4 = 0 THEN (calendar_days * 5) // 7 ELSE weekday_count END AS INTEGER) AS working_days,

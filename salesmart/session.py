@@ -44,10 +44,8 @@ def get_spark(app: str = "salesmart", cpus: int | str | None = None,
 def apply_session_conf(spark: SparkSession) -> None:
     """Runtime-settable SQL confs for a session created elsewhere (the driver)."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - static conf on a foreign session
-            pass
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)   # all are runtime settings: a failure is worth knowing
 
 
 _SHIPPED: set[int] = set()
@@ -80,12 +78,15 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared lineage-cut folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (unit tests) do we create a private scratch folder.
+    The cluster names it in ``spark.checkpoint.dir`` or on the context; only in
+    local mode (unit tests) may it be missing, and a private folder is made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = d or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="salesmart-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
