@@ -80,7 +80,8 @@ def _folded(spark, sf):
 
 def _naive(spark, sf):
     folded = _folded(spark, sf)
-    preds = K.naive_predictions(folded)
+    checkpoint_dir(spark)
+    preds = K.naive_predictions(folded).checkpoint(eager=True)   # choice, members and total all read it
     scores = K.fold_scores(preds)
     cands = K.candidate_table(scores, NAIVE_ORDER)
     return folded, preds, scores, cands
@@ -330,3 +331,115 @@ def q_importance(spark, sf):
     w = Window.partitionBy(G, "fold").orderBy(F.col("importance").desc(), "feature")
     return imp.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 10).select(
         G, "fold", "feature", F.round("importance", 6).alias("importance"), "rank")
+
+
+# --- all candidates together -------------------------------------------------------
+PRED_COLS = [G, "fold", "fold_kind", "report_year", "report_month", "y", "candidate", "pred"]
+
+
+def _all_predictions(spark, sf):
+    """Every model's predictions in one frame, written once: naive, the linear
+    grid (target modes x regime weights x ridge), elastic net, Holt-Winters, trees."""
+    feats = K.LEAK_SAFE_FEATURES
+    checkpoint_dir(spark)
+    folded = _folded(spark, sf).checkpoint(eager=True)
+    parts = [K.naive_predictions(folded), K.holt_winters(folded), K.tree_predictions(folded, feats)[0]]
+    for mode in ("raw", "log1p", "yoy_ratio"):
+        for weighted in (False, True):
+            des = K.design(folded, feats, mode, weighted)
+            parts.append(K.predict_linear(des, K.fit_linear(des, len(feats)), len(feats), mode, "rw_" if weighted else ""))
+    des = K.design(folded, feats)
+    parts.append(K.predict_with(des, K.fit_elastic_net(des, len(feats)), len(feats), "raw", "elastic_net"))
+    out = parts[0].select(*PRED_COLS)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*PRED_COLS))
+    return out.checkpoint(eager=True)
+
+
+def _ranked(preds):
+    """Candidate table over all models; names break ties."""
+    scores = K.fold_scores(preds)
+    cands = (scores.groupBy(G, "candidate").agg(
+        F.avg(F.when(F.col("fold_kind") == "validation", F.col("mape"))).alias("val_mape"),
+        F.max(F.when(F.col("fold_kind") == "test", F.col("mape"))).alias("test_mape")))
+    return cands.withColumn("cand_order", F.col("candidate"))
+
+
+@query("all_candidates")
+def q_all_candidates(spark, sf):
+    """One comparison table of all models, naive ones included."""
+    return _ranked(_all_predictions(spark, sf)).select(G, "candidate", _r6("val_mape"), _r6("test_mape"))
+
+
+@query("model_selection")
+def q_model_selection(spark, sf):
+    """The best of all models by validation error, the top-3
+    ensemble without baselines, the calibrated best, and for the total the
+    hierarchy (direct or bottom-up) that validation prefers.  The test year is
+    scored after every choice."""
+    preds = _all_predictions(spark, sf)
+    cands = _ranked(preds)
+    best = K.choose_best(cands)
+    chosen = preds.join(best.select(G, F.col("best_candidate").alias("candidate")), [G, "candidate"], "left_semi")
+    last = f"val_{K.VALIDATION_YEARS[-1]}"
+    calibrated = K.apply_bias(chosen, K.month_bias(chosen, last)).withColumn("candidate", F.lit("calibrated"))
+    ens = K.ensemble(preds, K.top_k(cands, 3, exclude=tuple(NAIVE_ORDER)))
+    bu = K.bottom_up(chosen)
+    rest = calibrated.select(*PRED_COLS).unionByName(ens.select(*PRED_COLS)).unionByName(bu.select(*PRED_COLS))
+    more = _ranked(rest).groupBy(G).agg(*[
+        F.max(F.when(F.col("candidate") == c, F.col(m))).alias(f"{c}_{m}")
+        for c in ("calibrated", "ensemble_top3", "bottom_up") for m in ("val_mape", "test_mape")])
+    out = best.join(more, G, "left")
+    return out.select(
+        G, "best_candidate", _r6("val_mape"), _r6("test_mape"),
+        *[_r6(f"{c}_{m}") for c in ("calibrated", "ensemble_top3", "bottom_up") for m in ("val_mape", "test_mape")],
+        F.when(F.col("bottom_up_val_mape") < F.col("val_mape"), "bottom_up").otherwise("direct").alias("hierarchy"))
+
+
+# --- facts that a right fit must show ------------------------------------------------
+@query("linear_normal_equations", _sql(f"""
+SELECT DISTINCT {G}, fold, CAST(alpha AS DOUBLE) AS alpha, TRUE AS intercept_ok, TRUE AS slopes_ok
+FROM folded CROSS JOIN (VALUES (1.0), (10.0), (100.0)) a(alpha)
+WHERE role = 'train'"""))
+def q_linear_normal_equations(spark, sf):
+    """K2 K6: residuals of every ridge fit sum to zero, and their product with
+    each feature is alpha times its coefficient."""
+    feats = K.LEAK_SAFE_FEATURES
+    checkpoint_dir(spark)
+    des = _design(spark, sf, feats).checkpoint(eager=True)
+    coefs = K.fit_linear(des, len(feats), alphas=(1.0, 10.0, 100.0))
+    j = des.filter((F.col("role") == "train") & F.col("t").isNotNull()).join(coefs, [G, "fold"])
+    fit = F.col("intercept")
+    for i in range(len(feats)):
+        fit = fit + F.col("coef")[i] * F.col(f"x{i}")
+    j = j.withColumn("r", F.col("t") - fit)
+    g = j.groupBy(G, "fold", "alpha").agg(
+        F.sum("r").alias("sum_r"), F.sum(F.abs("t")).alias("size"), F.first("coef").alias("coef"),
+        *[F.sum(F.col("r") * F.col(f"x{i}")).alias(f"rx{i}") for i in range(len(feats))],
+        *[F.sum(F.abs(F.col("t") * F.col(f"x{i}"))).alias(f"tx{i}") for i in range(len(feats))])
+    near = F.lit(True)
+    for i in range(len(feats)):
+        near = near & (F.abs(F.col(f"rx{i}") - F.col("alpha") * F.col("coef")[i]) <= 1e-6 * (F.col(f"tx{i}") + 1))
+    return g.select(G, "fold", "alpha", (F.abs("sum_r") <= 1e-6 * F.col("size")).alias("intercept_ok"), near.alias("slopes_ok"))
+
+
+@query("importance_total", _sql(f"""
+SELECT DISTINCT {G}, fold, TRUE AS sums_to_one FROM folded WHERE role = 'train'"""))
+def q_importance_total(spark, sf):
+    """The features' importances of a fit sum to 1."""
+    feats = K.LEAK_SAFE_FEATURES
+    imp = K.linear_importance(K.fit_linear(_design(spark, sf, feats), len(feats), alphas=(10.0,)), feats)
+    return imp.groupBy(G, "fold").agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("forest_range", _sql(f"""
+SELECT DISTINCT fold, candidate, TRUE AS in_range
+FROM folded CROSS JOIN (VALUES {", ".join(f"('{k}')" for k in K.TREE_CONFIGS if k.startswith("rf"))}) c(candidate)
+WHERE role = 'eval'"""))
+def q_forest_range(spark, sf):
+    """K4: a forest's predictions stay within its training targets."""
+    names = [k for k in K.TREE_CONFIGS if k.startswith("rf")]
+    p, _ = _trees(spark, sf, names)
+    t = _folded(spark, sf).filter(F.col("role") == "train").groupBy("fold").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    return (p.join(F.broadcast(t), "fold").groupBy("fold", "candidate")   # one row for each fold
+            .agg(F.min((F.col("pred") >= F.col("lo") - 1e-6) & (F.col("pred") <= F.col("hi") + 1e-6)).alias("in_range")))
