@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from salesmart.functions.numeric import col_
 
 
-def first_of_month(year, month) -> Column:
-    """make_date(y, m, 1)."""
-    return F.make_date(col_(year), col_(month), F.lit(1))
-
-
 def days_in_month(d) -> Column:
     """H13."""
     return F.dayofmonth(F.last_day(col_(d)))
@@ -35,12 +30,6 @@ def weekend_days(cd, wd) -> Column:
     return F.coalesce(col_(cd), F.lit(0)) - F.coalesce(col_(wd), F.lit(0))
 
 
-def week_num_sunday(d) -> Column:
-    """BI-style week number: weeks start Sunday, 1 January is in week 1."""
-    d = col_(d)
-    return ((F.dayofyear(d) + F.dayofweek(F.trunc(d, "year")) - 2) / 7).cast("int") + 1
-
-
 def month_spine(df: DataFrame, c: str) -> DataFrame:
     """Every (report_year, report_month) from min(c) to max(c).
 

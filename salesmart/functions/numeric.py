@@ -16,11 +16,6 @@ def clip(x, lo: float, hi: float) -> Column:
     return F.when(x.isNotNull(), F.greatest(F.lit(lo), F.least(x, F.lit(hi))))
 
 
-def safe_div(a, b) -> Column:
-    """a / b, NULL when b is 0 or NULL (never raises under ANSI)."""
-    return F.try_divide(col_(a), col_(b))
-
-
 def guarded_pct_diff(total, other) -> Column:
     """|t - s| * 100 / t, NULL when t is NULL or 0."""
     t, s = col_(total), col_(other)
@@ -58,10 +53,6 @@ def coerce_double(x) -> Column:
     return finite_or_null(col_(x).try_cast("double"))
 
 
-def zero_if_null(x) -> Column:
-    return F.coalesce(col_(x), F.lit(0))
-
-
 def interaction(a, b) -> Column:
     """coalesce(a,0) * coalesce(b,0)."""
     return F.coalesce(col_(a).cast("double"), F.lit(0.0)) * F.coalesce(col_(b).cast("double"), F.lit(0.0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.calendar import (days_in_month, month_spine, weekdays_in_month,
                                           working_days_fallback, weekend_days)
+from salesmart.functions.text import payload_int
 from salesmart.sources.bindings import LUNAR_NEW_YEAR, MID_AUTUMN
 from salesmart.sources.tables import Tables
 
@@ -78,11 +79,6 @@ def macro_long(t: Tables) -> DataFrame:
     return numeric.select(*cols).unionByName(lunar.select(*cols)).unionByName(wd.select(*cols))
 
 
-def _payload_int(payload, tag: str):
-    """H5: ``TAG:(\\d+)`` -> int; no match is '' in Spark, so nullif first."""
-    return F.nullif(F.regexp_extract(payload, tag + r":(\d+)", 1), F.lit("")).try_cast("int")
-
-
 def macro_wide(long: DataFrame, spine: DataFrame) -> DataFrame:
     """I3 + C6 + H5/H6 + H15/H16: pivot the fixed metric list, parse payloads,
     left-join onto the month spine.  Pivot values are listed so no extra job
@@ -90,15 +86,15 @@ def macro_wide(long: DataFrame, spine: DataFrame) -> DataFrame:
     wide = long.groupBy("report_year", "report_month").pivot("metric", ALL_METRICS).agg(F.max("value"))
     j = spine.select("report_year", "report_month", "month_start").join(wide, ["report_year", "report_month"], "left")
     lunar = F.coalesce(F.col("lunar_calendar"), F.lit(""))
-    cd = F.coalesce(_payload_int(F.col("working_days"), "CD"), days_in_month("month_start"))
-    wdv = working_days_fallback(_payload_int(F.col("working_days"), "WD"), cd)
+    cd = F.coalesce(payload_int(F.col("working_days"), "CD"), days_in_month("month_start"))
+    wdv = working_days_fallback(payload_int(F.col("working_days"), "WD"), cd)
     return j.select(
         "report_year", "report_month",
         *[F.col(c).try_cast(ty).alias(c) for c, ty in NUMERIC_METRICS.items()],
         lunar.contains("LNY").alias("has_lunar_new_year"),
-        _payload_int(lunar, "LNY").alias("lunar_new_year_day"),
+        payload_int(lunar, "LNY").alias("lunar_new_year_day"),
         lunar.contains("MA").alias("has_mid_autumn"),
-        _payload_int(lunar, "MA").alias("mid_autumn_day"),
+        payload_int(lunar, "MA").alias("mid_autumn_day"),
         wdv.cast("int").alias("working_days"),
         cd.cast("int").alias("calendar_days"),
         weekend_days(cd, wdv).cast("int").alias("weekend_days"))

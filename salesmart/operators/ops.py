@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions.numeric import coerce_double
 from salesmart.sources.reports import RULE_SCHEMA
 
 
@@ -29,9 +30,12 @@ def read_csv_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).option("encoding", "UTF-8").schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, order_by=()) -> None:
-    """A8 + F1: CSV sink with header, rows ordered at the sink."""
+def write_csv(df: DataFrame, path: str, order_by=(), bom: bool = False) -> None:
+    """A8 + F1: CSV sink with header, rows ordered at the sink; ``bom`` puts a
+    byte order mark before each file's header, as spreadsheets want it."""
     out = df.orderBy(*order_by) if order_by else df
+    if bom:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -69,6 +73,16 @@ def set_difference_report(actual: DataFrame, expected: DataFrame, cols) -> DataF
             .unionByName(e.exceptAll(a).withColumn("side", F.lit("missing"))))
 
 
+def read_amounts(rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose text is a finite number, as ``amount``; rejected
+    rows with the reason).  Nothing raises on bad text."""
+    own = rows.withColumn("_number", F.col(column).try_cast("double")).withColumn("amount", coerce_double(column))
+    why = (F.when(F.col(column).isNull(), "missing").when(F.col("_number").isNull(), "not a number")
+           .otherwise("not finite"))
+    return (own.filter(F.col("amount").isNotNull()).drop("_number"),
+            own.filter(F.col("amount").isNull()).withColumn("reason", why).drop("_number", "amount"))
+
+
 def save_model_table(coefs: DataFrame, path: str) -> None:
     """Fitted coefficients as a Parquet table (one row per series x fold x alpha)."""
     coefs.write.mode("overwrite").parquet(path)

@@ -26,10 +26,6 @@ CATEGORY_ORDER = ["TOTAL", "GIFT_5000_UP", "GIFT_930_UP", "GIFT_950_UP", "GIFT_9
 METRICS = ["sales_result", "sales_yoy_pct", "composition_curr_pct", "composition_prev_pct"]
 
 
-def _label_of(cat: Column) -> Column:
-    return F.when(cat == "MONTHLY", F.lit("MONTHLY"))
-
-
 def period_label(period_type: Column, month: Column) -> Column:
     return F.when(period_type == "MONTHLY", F.concat(F.lit("M"), F.lpad(month.cast("string"), 2, "0"))) \
         .otherwise(period_type)

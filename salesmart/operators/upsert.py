@@ -91,6 +91,9 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
     return batch.count()   # of the checkpointed rows
 
 
-def append_log(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """A10: append-only audit log (written after the data it describes)."""
-    rows.withColumn("run_id", F.lit(str(uuid.uuid4()))).write.mode("append").parquet(path)
+def append_log(path: str, rows: DataFrame) -> str:
+    """Append-only audit log (written after the data it describes),
+    each row with its run's id and the time of the load; returns the id."""
+    run_id = str(uuid.uuid4())
+    rows.withColumns({"run_id": F.lit(run_id), "loaded_at": F.current_timestamp()}).write.mode("append").parquet(path)
+    return run_id
