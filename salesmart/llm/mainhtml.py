@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import text_slices
+from salesmart.llm.common import hashed_sample, text_slices
 
 #: Bound of the sample of pages that the model learns from.
 TRAIN_PAGES = 400
@@ -301,9 +301,9 @@ def _extract(model: Model):
 
 
 def learn(pages: DataFrame, bound: int = TRAIN_PAGES) -> Model:
-    """A model of at most `bound` pages, those with the smallest hash of their id."""
-    sample = pages.where(F.col("html").isNotNull()).select("page_id", F.col("html").cast("string").alias("html"))
-    rows = sample.orderBy(F.xxhash64("page_id"), "page_id").limit(bound).collect()
+    """A model of about `bound` pages, chosen by a hash of their id."""
+    own = pages.where(F.col("html").isNotNull()).select("page_id", F.col("html").cast("string").alias("html"))
+    rows = hashed_sample(own, ["page_id"], bound, own.select("page_id").count()).collect()
     return train([r["html"] for r in rows])
 
 
