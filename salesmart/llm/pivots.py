@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import components, local_roots, stash
+from salesmart.llm.common import components, hashed_sample, local_roots, stash
 from salesmart.llm.topk import valid
 
 #: Bounds of the number of pivots (about 2 * sqrt(rows) between them), the
@@ -114,7 +114,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     classes = stash(classes, "vec-classes")
     total = classes.count()
     size = int(min(MOST, max(LEAST, 2 * total ** 0.5)))
-    sample = classes.orderBy(F.xxhash64("h1", F.lit("pivot")), "h2").limit(size).select("v").collect()
+    sample = hashed_sample(classes, ["h1", "h2"], size, total).select("v").collect()
     pivots: dict[int, list] = {}
     for r in sample:
         pivots.setdefault(len(r["v"]), []).append(r["v"])
