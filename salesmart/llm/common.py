@@ -39,8 +39,8 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 def hashed_sample(df: DataFrame, keys: list[str], bound: int, total: int) -> DataFrame:
     """About `bound` of the `total` rows, chosen by a hash of `keys`; all if
     there are no more.  The limit only holds where rows repeat a chosen key."""
-    part = F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30))
-    return df.where(part * F.lit(total) <= F.lit(bound) * F.lit(1 << 30)).limit(4 * bound)
+    part = F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 40))
+    return df.where(part <= F.lit(int((1 << 40) * min(1.0, bound / max(total, 1))))).limit(4 * bound)
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text",
