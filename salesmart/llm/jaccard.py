@@ -296,8 +296,8 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     those with an empty set and those without an id stay as they are."""
     found = link(docs, width, percent)
     stay = found.where((F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull())
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_h": F.xxhash64(F.col("text").cast("string"))})
-    same = marked["_id"].eqNullSafe(stay["_id"]) & (marked["_h"] == stay["_h"])
-    kept = marked.join(stay, same, "left_semi")
-    return kept.dropDuplicates(["_id", "_h"]).drop("_id", "_h")
+    # a hash of the id is never null, so the join and the removal of repeated rows share one shuffle
+    key = {"_id": F.xxhash64(F.col("doc_id").cast("long")), "_h": F.xxhash64(F.col("text").cast("string"))}
+    stay = stay.select(key["_id"].alias("_id"), F.col("h").alias("_h")).distinct()
+    kept = docs.withColumns(key).join(stay, ["_id", "_h"], "left_semi")
+    return kept.dropDuplicates(["_id", "_h"]).select(*docs.columns)

@@ -193,10 +193,10 @@ def viterbi(scores: np.ndarray, word: np.ndarray, offs: np.ndarray, switch: floa
     order = np.argsort(-sizes, kind="stable")
     start, sizes = offs[:-1][order], sizes[order]
     n_lang = scores.shape[1]
-    kept = np.zeros((len(word), n_lang), np.int8)   # previous language of the best way to each
+    kept = np.zeros((len(word), n_lang), np.int16)   # previous language of the best way to each
     longest = int(sizes[0]) if len(sizes) else 0
     live = np.searchsorted(-sizes, -np.arange(longest), "left")   # texts with more than t words
-    own = np.arange(n_lang, dtype=np.int8)
+    own = np.arange(n_lang, dtype=np.int16)
     v = np.zeros((len(sizes), n_lang))
     for t in range(longest):
         n = live[t]
@@ -208,8 +208,8 @@ def viterbi(scores: np.ndarray, word: np.ndarray, offs: np.ndarray, switch: floa
             kept[at] = np.where(stay, own, top[:, None])
             v[:n] = np.where(stay, v[:n], jump)
         v[:n] += scores[word[at]]
-    path = np.zeros(len(word), np.int8)
-    state = v.argmax(1).astype(np.int8)
+    path = np.zeros(len(word), np.int16)
+    state = v.argmax(1).astype(np.int16)
     for t in range(longest - 1, -1, -1):
         n = live[t]
         at = start[:n] + t
