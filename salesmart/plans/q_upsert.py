@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from salesmart.operators import upsert as U
 from salesmart.plans.oracle_base import with_ctes
 from salesmart.plans.q_ingest import _resolved
 from salesmart.plans.registry import query
+from salesmart.session import checkpoint_dir
 from salesmart.sources import bindings as B
 from salesmart.sources.tables import Tables
 
@@ -27,10 +29,11 @@ FROM (SELECT *, 'DAILY' AS record_type FROM daily_all)""", "daily_all"))
 def q_upsert_fact(spark, sf):
     """Initial load = DAILY rows of days 1-20; a re-load batch restates
     days 15-31 (whole units) and, for days 25-31, carries a later second
-    version (+1.00) that must win.  Result: the merged table."""
+    version (+1.00) that must win.  Both go into a Parquet table by month in
+    the shared folder; the daily fact is built once."""
     t = Tables(spark, sf)
-    daily = B.fact_sales(t, stores_mtd=False, grand_mtd=False).select(
-        "report_date", "store_id", "record_type", *FACT_VALUE_COLS)
+    daily = t.memo("daily_rows", lambda: B.fact_sales(t, stores_mtd=False, grand_mtd=False).select(
+        "report_date", "store_id", "record_type", *FACT_VALUE_COLS, F.date_format("report_date", "yyyyMM").alias("ym")))
     dom = F.dayofmonth("report_date")
     initial = daily.filter(dom <= 20)
     restated = daily.filter(dom >= 15).withColumn(
@@ -38,7 +41,10 @@ def q_upsert_fact(spark, sf):
     later = daily.filter(dom >= 25).withColumn(
         "sales_result", (F.col("sales_result") + 1).cast(MONEY)).withColumn("seq", F.lit(2))
     batch = restated.unionByName(later)
-    return U.upsert(initial, batch, ["report_date", "store_id", "record_type"], order_col="seq")
+    path, keys = f"{checkpoint_dir(spark).rstrip('/')}/salesmart-fact/{uuid.uuid4().hex}", ["report_date", "store_id", "record_type"]
+    U.merge_into_path(spark, path, initial, keys, ["ym"])
+    U.merge_into_path(spark, path, batch, keys, ["ym"], order_col="seq")
+    return spark.read.schema(daily.schema).parquet(path).drop("ym")
 
 
 NOW0 = dt.datetime(2024, 1, 1)
