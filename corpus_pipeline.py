@@ -15,8 +15,8 @@ from salesmart.llm.common import stash
 from salesmart.llm.queries import DOMAIN, DOMAIN_WEIGHTS, LANG_WEIGHTS, WORD_BPE
 from salesmart.session import ship_package
 
-#: Share of the letters that a document's main language must have.
-LANG_SHARE = 0.5
+#: Share of the letters that a document's main language must have: mixed texts stay, jumbles of all go.
+LANG_SHARE = 0.35
 #: Words of a shingle, per cent of common shingles, bytes of a repeated passage.
 SHINGLE, SIMILAR, PASSAGE = 5, 75, 400
 #: Share of the tokens to keep in the mixture, epochs of a source at most, seed.
