@@ -320,6 +320,77 @@ def linear_importance(coefs: DataFrame, features) -> DataFrame:
 # ---------------------------------------------------------------------------
 # OLS with inference (K6)
 # ---------------------------------------------------------------------------
+def _beta_tail(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (Lentz)."""
+    if x <= 0.0 or x >= 1.0:
+        return 0.0 if x <= 0.0 else 1.0
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - _beta_tail(1.0 - x, b, a)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d, f = 1.0, 0.0, 1.0
+    for i in range(400):
+        m = i // 2
+        if i == 0:
+            num = 1.0
+        elif i % 2 == 0:
+            num = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            num = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1.0 / max(1.0 + num * d, 1e-300) if 1.0 + num * d > 0 else 1.0 / min(1.0 + num * d, -1e-300)
+        c = 1.0 + num / c
+        f *= c * d
+        if abs(1.0 - c * d) < 1e-14:
+            break
+    return front * (f - 1.0)
+
+
+def t_two_sided(t: float, df: float) -> float:
+    """P(|T| >= |t|) of Student's distribution."""
+    return _beta_tail(df / (df + t * t), df / 2, 0.5)
+
+
+def t_quantile(p: float, df: float) -> float:
+    """The value that |T| exceeds with probability p, by bisection."""
+    lo, hi = 0.0, 1e4
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if t_two_sided(mid, df) > p else (lo, mid)
+    return hi
+
+
+def ols_table(des: DataFrame, features) -> DataFrame:
+    """One row per (series, fold, term): coefficient, standard error, t,
+    p, 95 % interval, and the condition number of the scaled design.  Terms of a
+    singular design have no error (NULL)."""
+    k, names = len(features), ["intercept", *features]
+
+    def run(it):
+        for pdf in it:
+            out = []
+            for _, r in pdf.iterrows():
+                n, df = r["sw"], r["sw"] - k - 1
+                mx, mt = np.array([r[f"sx{i}"] for i in range(k)]) / n, r["st"] / n
+                c = np.array([[r[f"sxx{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) - n * np.outer(mx, mx)
+                cxt = np.array([r[f"sxt{i}"] for i in range(k)]) - n * mx * mt
+                scale = np.sqrt(np.maximum(np.diag(c), 1e-300))
+                z = c / np.outer(scale, scale)
+                cond = float(np.sqrt(np.linalg.cond(z)))
+                inv = np.linalg.pinv(z, rcond=1e-10) / np.outer(scale, scale)
+                beta = inv @ cxt
+                s2 = (r["stt"] - n * mt * mt - beta @ cxt) / df if df > 0 else np.nan
+                var = np.concatenate([[s2 * (1 / n + mx @ inv @ mx)], s2 * np.diag(inv)])
+                sound = df > 0 and np.linalg.matrix_rank(z, tol=1e-10) == k
+                crit = t_quantile(0.05, df) if sound else None
+                for name, b, v in zip(names, [mt - mx @ beta, *beta], var):
+                    se = float(np.sqrt(v)) if sound and v > 0 else None
+                    out.append((r[SERIES], r["fold"], name, float(b), se, b / se if se else None,
+                                t_two_sided(b / se, df) if se else None, b - crit * se if se else None,
+                                b + crit * se if se else None, cond))
+            yield pd.DataFrame(out, columns=[SERIES, "fold", "term", "coef", "se", "t", "p", "ci_low", "ci_high", "condition"])
+    return gram(des, k).mapInPandas(run, f"{SERIES} string, fold string, term string, coef double, se double, t double, "
+                                         "p double, ci_low double, ci_high double, condition double")
+
+
 def ols_inference(des: DataFrame, coefs: DataFrame, k: int) -> DataFrame:
     """Fit statistics of the alpha = 0 fit on training rows: R2, adj R2, F, AIC,
     BIC (Gaussian log-likelihood), Durbin-Watson (residual order by month) and

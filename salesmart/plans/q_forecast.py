@@ -443,3 +443,21 @@ def q_forest_range(spark, sf):
     t = _folded(spark, sf).filter(F.col("role") == "train").groupBy("fold").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     return (p.join(F.broadcast(t), "fold").groupBy("fold", "candidate")   # one row for each fold
             .agg(F.min((F.col("pred") >= F.col("lo") - 1e-6) & (F.col("pred") <= F.col("hi") + 1e-6)).alias("in_range")))
+
+
+@query("ols_simple_table", _sql(f"""
+SELECT {G}, fold, ROUND(slope, 6) AS coef, ROUND(se, 6) AS se, ROUND(slope / se, 5) AS t
+FROM (SELECT {G}, fold, regr_slope(y, x) AS slope,
+             sqrt((regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x)) / (COUNT(*) - 2) / regr_sxx(y, x)) AS se
+      FROM (SELECT {G}, fold, y, COALESCE(sales_lag_12m, 0) AS x FROM folded WHERE role = 'train') GROUP BY 1, 2)"""))
+def q_ols_simple_table(spark, sf):
+    """Standard errors and t values of the one-regressor fit."""
+    out = K.ols_table(_design(spark, sf, ["sales_lag_12m"]), ["sales_lag_12m"]).filter(F.col("term") != "intercept")
+    return out.select(G, "fold", _r6("coef"), _r6("se"), F.round("t", 5).alias("t"))
+
+
+@query("ols_table")
+def q_ols_table(spark, sf):
+    """The full inference table over the leak-safe features."""
+    feats = K.LEAK_SAFE_FEATURES
+    return K.ols_table(_design(spark, sf, feats), feats)

@@ -84,3 +84,11 @@ def test_holt_winters_continues_exact_pattern():
     y = np.array([100 + 0.5 * t + season[t % 12] for t in range(48)])
     fc = K._hw_fit_forecast(y[:36], 12)
     assert np.allclose(fc, y[36:], atol=0.5)
+
+
+def test_t_distribution_against_known_values():
+    """Two-sided tails and quantiles of Student's distribution (printed tables)."""
+    from salesmart.operators.forecast import t_quantile, t_two_sided
+    assert abs(t_two_sided(2.228139, 10) - 0.05) < 1e-6 and abs(t_two_sided(1.0, 1) - 0.5) < 1e-12
+    assert abs(t_two_sided(-3.169273, 10) - 0.01) < 1e-6 and abs(t_two_sided(1.959964, 1e7) - 0.05) < 1e-5
+    assert abs(t_quantile(0.05, 4) - 2.776445) < 1e-5 and t_two_sided(0.0, 5) == 1.0
