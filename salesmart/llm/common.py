@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from salesmart.session import checkpoint_dir, ship_package
 
 #: Bytes of text that a task turns into numpy arrays at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Fixed odd multipliers of the hashes below.
 B1 = np.uint64(0x9E3779B97F4A7C15)

@@ -41,7 +41,7 @@ from pyspark.sql.types import StructType
 from salesmart.llm.common import powers, mix, stash, text_slices
 
 #: Bytes of an anchor; windows cut from one text at once; classes of one anchor that a task holds.
-GRAM, STARTS, TASK_CLASSES = 100, 1 << 20, 4_000
+GRAM, STARTS, TASK_CLASSES = 100, 1 << 20, 2_000
 
 RUNS = "doc_id long, h long, lo long, hi long, gram long, c1 long, c2 long"
 MATCHES = "doc_id long, h long, lo long, a long, b long, w1 long, w2 long, place long"
