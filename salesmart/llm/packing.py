@@ -246,7 +246,7 @@ def _places(columns: list[tuple[dict[int, int], int]]):
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         with_ids: bool = False, bucket_rows: int = 100_000) -> DataFrame:
+         with_ids: bool = False, bucket_rows: int = 5_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset of every piece."""
     pieces = stash(cut_pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in   # at most `capacity` rows
