@@ -17,6 +17,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # texts vary from a few bytes to megabytes: bound what a Python worker gets at once
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
