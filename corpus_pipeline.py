@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from salesmart.llm import jaccard, langid, mixing, packing, suffixes
 from salesmart.llm.common import stash
 from salesmart.llm.queries import DOMAIN, DOMAIN_WEIGHTS, LANG_WEIGHTS, WORD_BPE
-from salesmart.session import ship_package
+from salesmart.session import apply_session_conf, ship_package
 
 #: Share of the letters that a document's main language must have: mixed texts stay, jumbles of all go.
 LANG_SHARE = 0.35
@@ -23,27 +23,32 @@ SHINGLE, SIMILAR, PASSAGE = 5, 75, 400
 SHARE, EPOCHS, SEED = 0.8, 2, 7
 
 
+def _ready(spark: SparkSession) -> None:
+    apply_session_conf(spark)
+    ship_package(spark)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without letters and those without a main language."""
-    ship_package(spark)
+    _ready(spark)
     return langid.keep(docs, langid.train(docs), LANG_SHARE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that of the smallest id, of each linked group."""
-    ship_package(spark)
+    _ready(spark)
     return jaccard.keep_first(docs, SHINGLE, SIMILAR)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages but for their first place; all documents stay."""
-    ship_package(spark)
+    _ready(spark)
     return suffixes.cut_repeats(docs, PASSAGE, keep="first")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each source's documents to its weight; those wanted twice come twice."""
-    ship_package(spark)
+    _ready(spark)
     weights = [mixing.weight_of("_domain", DOMAIN_WEIGHTS), mixing.weight_of("_lang", LANG_WEIGHTS), F.lit(1)]
     levels = {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
     return mixing.mixed(docs, levels, weights, SHARE, EPOCHS, SEED)
@@ -51,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 2048 tokens."""
-    ship_package(spark)
+    _ready(spark)
     return packing.pack(docs, WORD_BPE).drop("ids")
 
 

@@ -37,9 +37,9 @@ BUCKETS, GRAMS, SWITCH = 1 << 15, (1, 2, 3, 4), 6.0
 SCRIPT_SHARE = 0.02
 UNKNOWN = "und"
 #: Bytes of text whose words are labelled together.
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: Distinct words whose scores or counts a task keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 # First code point of each range and the script that holds there.
 SCRIPT_RANGES = [
