@@ -17,8 +17,8 @@ from salesmart.session import apply_session_conf, ship_package
 
 #: Share of the letters that a document's main language must have: mixed texts stay, jumbles of all go.
 LANG_SHARE = 0.35
-#: Words of a shingle, per cent of common shingles, bytes of a repeated passage.
-SHINGLE, SIMILAR, PASSAGE = 5, 75, 400
+#: Words of a shingle, per cent of common shingles, bytes of a repeated passage (some 50 words).
+SHINGLE, SIMILAR, PASSAGE = 5, 75, 300
 #: Share of the tokens to keep in the mixture, epochs of a source at most, seed.
 SHARE, EPOCHS, SEED = 0.8, 2, 7
 
