@@ -71,7 +71,7 @@ SELECT CAST(-1 AS BIGINT), 'GRAND', 'GRAND TOTAL', CAST(NULL AS VARCHAR), 'grand
 cte("store_daily", [], f"""
 SELECT report_date, store_id, sales_result, transfer_amount,
        CAST(sales_result + transfer_amount AS DECIMAL(18,2)) AS sales_incl_result,
-       CAST(customer_count AS INTEGER) AS customer_count,
+       CAST(customer_count AS BIGINT) AS customer_count,
        {hu2('sales_result', 'customer_count', 'DECIMAL(12,2)')} AS unit_price
 FROM (SELECT CAST(l_shipdate AS DATE) AS report_date, l_suppkey AS store_id,
              CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS sales_result,
@@ -83,7 +83,7 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS report_date, l_suppkey AS store_id,
 cte("grand_daily", ["store_daily"], f"""
 SELECT g.report_date, CAST(-1 AS BIGINT) AS store_id, g.sales_result, g.transfer_amount,
        CAST(g.sales_result + g.transfer_amount AS DECIMAL(18,2)) AS sales_incl_result,
-       CAST(c.customer_count AS INTEGER) AS customer_count,
+       CAST(c.customer_count AS BIGINT) AS customer_count,
        {hu2('g.sales_result', 'c.customer_count', 'DECIMAL(12,2)')} AS unit_price
 FROM (SELECT report_date, CAST(SUM(sales_result) AS DECIMAL(18,2)) AS sales_result,
              CAST(SUM(transfer_amount) AS DECIMAL(18,2)) AS transfer_amount
@@ -101,7 +101,7 @@ FROM (SELECT report_date, store_id,
              CAST(SUM(sales_result) OVER w AS DECIMAL(18,2)) AS sales_result,
              CAST(SUM(transfer_amount) OVER w AS DECIMAL(18,2)) AS transfer_amount,
              CAST(SUM(sales_incl_result) OVER w AS DECIMAL(18,2)) AS sales_incl_result,
-             CAST(SUM(customer_count) OVER w AS INTEGER) AS customer_count
+             CAST(SUM(customer_count) OVER w AS BIGINT) AS customer_count
       FROM daily_all
       WINDOW w AS (PARTITION BY store_id, date_trunc('month', report_date) ORDER BY report_date
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")

@@ -144,13 +144,14 @@ def store_daily(t: Tables, with_customers: bool = True) -> DataFrame:
     return _finish_daily(agg)
 
 
-def grand_daily(t: Tables, with_customers: bool = True) -> DataFrame:
+def grand_daily(t: Tables, with_customers: bool = True, stores: DataFrame | None = None) -> DataFrame:
     """DAILY rows of the GRAND TOTAL store: one row per date over all suppliers.
 
-    Money is re-aggregated from the per-store aggregate (tiny), the distinct
-    order count must come from the line level and is only computed on demand.
+    Money is re-aggregated from the per-store aggregate (``stores``, so that a
+    plan that has both shares its shuffle), the distinct order count must come
+    from the line level and is only computed on demand.
     """
-    s = store_daily(t, with_customers=False)   # money only; customers counted below
+    s = store_daily(t, with_customers=False) if stores is None else stores
     money = s.groupBy("report_date").agg(
         F.sum("sales_result").alias("sales_result"),
         F.sum("transfer_amount").alias("transfer_amount"))
@@ -160,7 +161,7 @@ def grand_daily(t: Tables, with_customers: bool = True) -> DataFrame:
                 .groupBy("report_date").agg(F.count(F.lit(1)).alias("customer_count")))
         money = money.join(cust, "report_date", "left")
     else:
-        money = money.withColumn("customer_count", F.lit(None).cast("int"))
+        money = money.withColumn("customer_count", F.lit(None).cast("bigint"))
     return _finish_daily(money.withColumn("store_id", F.lit(GRAND_TOTAL_ID).cast("bigint")))
 
 
@@ -177,7 +178,7 @@ def month_to_date(daily: DataFrame) -> DataFrame:
         F.sum("sales_result").over(w).cast(MONEY).alias("sales_result"),
         F.sum("transfer_amount").over(w).cast(MONEY).alias("transfer_amount"),
         F.sum("sales_incl_result").over(w).cast(MONEY).alias("sales_incl_result"),
-        F.sum("customer_count").over(w).cast("int").alias("customer_count"))
+        F.sum("customer_count").over(w).cast("bigint").alias("customer_count"))
     return run.withColumn("unit_price", half_up_ratio_2dp("sales_result", "customer_count", "decimal(12,2)"))
 
 
@@ -195,7 +196,7 @@ def fact_sales(t: Tables, stores_daily: bool = True, stores_mtd: bool = True,
     """
     parts = []
     sd = store_daily(t, with_customers)
-    gd = grand_daily(t, with_customers)
+    gd = grand_daily(t, with_customers, sd if stores_daily or stores_mtd else None)
     if stores_daily:
         parts.append(sd.withColumn("record_type", F.lit("DAILY")))
     if grand_daily_rows:

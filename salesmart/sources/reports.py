@@ -53,7 +53,7 @@ def report_cells(t: Tables) -> DataFrame:
         "report_date", "store_id", "sales_result", "customer_count", "unit_price", "transfer_amount",
         "sales_incl_result",
         F.sum("sales_result").over(w_mtd).cast(B.MONEY).alias("m_sales_result"),
-        F.sum("customer_count").over(w_mtd).cast("int").alias("m_customer_count"),
+        F.sum("customer_count").over(w_mtd).cast("bigint").alias("m_customer_count"),
         F.sum("transfer_amount").over(w_mtd).cast(B.MONEY).alias("m_transfer_amount"),
         F.sum("sales_incl_result").over(w_mtd).cast(B.MONEY).alias("m_sales_incl_result"))
     both = both.withColumn("m_unit_price", half_up_ratio_2dp("m_sales_result", "m_customer_count", "decimal(12,2)"))
