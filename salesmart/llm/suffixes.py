@@ -13,8 +13,8 @@ that stand next to each other and have the same anchor are one run.
    of `length` are the same window; the previous and the next smaller position
    among them say whether an earlier copy exists, so a longest-previous-factor
    of at least `length` is read off without comparing pairs.  An anchor with
-   very many classes is dealt to several tasks, whose windows are then matched
-   by a 128-bit hash.
+   very many classes is dealt to several tasks, of whose windows one each is then
+   matched by a 128-bit hash.
 3. Each document's repeated windows are cut out: with keep="none" all of them,
    with keep="first" all but those at the first (document, place).
 
@@ -155,7 +155,8 @@ def _extract(length: int):
 
 def _match(length: int, keep_first: bool):
     """The windows of a bucket's runs to remove, as stretches a..b of starts
-    counted in the run; of split anchors every window with its hash."""
+    counted in the run; of split anchors also the first place of each window
+    here, with its hash, for the anchor's other tasks."""
     def run(t):
         doc, h, lo = (t.column(c).combine_chunks().fill_null(-2**63).to_numpy() for c in ("doc_id", "h", "lo"))
         by = np.lexsort((lo, h, doc))          # rows that repeat id and text bring a run twice
@@ -182,13 +183,13 @@ def _match(length: int, keep_first: bool):
         lead[1:] = group[by][1:] != group[by][:-1]
         earlier = np.ones(len(by), bool)      # longest previous factor of at least `length`
         earlier[by[lead]] = False
-        drop = (earlier if keep_first else np.bincount(group)[group] > 1) & ~split[of]
+        drop = earlier if keep_first else np.bincount(group)[group] > 1
         new = np.ones(len(drop), bool)        # neighbouring starts of a run are one stretch
         new[1:] = ~(drop[1:] & drop[:-1] & (of[1:] == of[:-1]))
         head = np.flatnonzero(new & drop)
         last = np.append(np.flatnonzero(new)[1:], len(drop)) - 1
         tail = last[np.searchsorted(last, head)] if len(head) else head
-        more = np.flatnonzero(split[of])
+        more = np.flatnonzero(split[of] & ~earlier)
         raw = data.tobytes()
         begin = (offs[of] + at)[more].tolist()
         w = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[s:s + length]) for s in begin]), np.int64).reshape(-1, 2)

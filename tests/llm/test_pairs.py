@@ -106,6 +106,23 @@ def test_suffixes_split_anchors_and_cut_texts(docs, corpus, monkeypatch):
     assert Counter(tuple(r) for r in got) == brute_removed(corpus, 100)
 
 
+def test_suffixes_keep_first_matches_brute_force(docs, corpus, monkeypatch):
+    rows = [r for r in corpus if r[0] is not None and r[0] != 3]
+    seen, want = set(), {}
+    for i, text, *_ in sorted(rows, key=lambda r: r[0]):
+        b = (text or "").encode()
+        gone = bytearray(len(b))
+        for s in range(len(b) - 99):
+            if b[s:s + 100] in seen:
+                gone[s:s + 100] = b"\x01" * 100
+            seen.add(b[s:s + 100])
+        want[i] = sum(gone)
+    for limit in (4_000, 2):
+        monkeypatch.setattr(suffixes, "TASK_CLASSES", limit)
+        got = {r.doc_id: r.n_removed for r in suffixes.removed(docs(rows), 100, keep="first").collect()}
+        assert got == want
+
+
 def test_suffixes_keep_the_first_copy(docs):
     a, b = "x".join(str(i) for i in range(300)), "y".join(str(i) for i in range(300, 500))
     rows = [(5, "start " + a + " end", "en", "s", 0), (2, a, "en", "s", 0), (9, b + a, "en", "s", 0), (11, None, "en", "s", None)]
