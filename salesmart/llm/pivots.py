@@ -1,10 +1,11 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-A bounded sample gives the pivots.  A vector is described by its nearest
-pivots, nearest first; it stands in the inverted lists of the first few.  Two
-vectors of one list are compared if they share enough of their pivots, and link
-if their cosine reaches the threshold.  A pair that meets in several lists
-counts in the first only.
+A bounded sample gives the pivots; of sampled vectors that are near each other
+one is a pivot, so that a family of near vectors, however large, meets in one
+list instead of being dealt over as many equally near pivots as its share of the
+rows.  A vector stands in the inverted lists of its nearest pivots.  All vectors
+of one list are compared, and link if their cosine reaches the threshold.  A pair
+that meets in several lists counts in the first only.
 
 Equal vectors are one class before anything is compared.  Long lists are cut
 into blocks, and a task gets one pair of blocks, so that no task holds a whole
@@ -28,10 +29,24 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import components, hashed_sample, local_roots, stash
 from salesmart.llm.topk import valid
 
-#: Bounds of the number of pivots (about 2 * sqrt(rows) between them), the
-#: pivots that describe a vector, the lists it stands in, the pivots a pair must
-#: share, and the rows of a block.
-LEAST, MOST, DESCRIBE, LISTS, SHARED, BLOCK = 16, 8_192, 8, 4, 3, 1_024
+#: Bounds of the number of sampled pivots (about 2 * sqrt(rows) between them), the
+#: largest cosine of two pivots, the lists a vector stands in, and the rows of a block.
+LEAST, MOST, APART, LISTS, BLOCK = 16, 8_192, 0.8, 4, 1_024
+
+
+def spread(x: np.ndarray, apart: float = APART) -> np.ndarray:
+    """The unit vectors among `x` that have at most cosine `apart` with each one taken before."""
+    kept = np.zeros((0, x.shape[1]))
+    for s in range(0, len(x), 256):
+        part = x[s:s + 256]
+        part = part[(part @ kept.T <= apart).all(1)]
+        near = part @ part.T > apart
+        taken: list[int] = []
+        for i in range(len(part)):
+            if not near[i, taken].any():
+                taken.append(i)
+        kept = np.concatenate([kept, part[taken]])
+    return kept
 
 
 def _describe(pivots: dict[int, np.ndarray]):
@@ -50,7 +65,7 @@ def _describe(pivots: dict[int, np.ndarray]):
                     for i in at:
                         near[i] = [-1]
                     continue
-                k = min(DESCRIBE, len(own))
+                k = min(LISTS, len(own))
                 for s in range(0, len(at), 1024):
                     sim = (x[s:s + 1024] / np.linalg.norm(x[s:s + 1024], axis=1)[:, None]) @ own.T
                     top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
@@ -69,25 +84,21 @@ def _compare(least: float):
         v = t.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dims)
         v = v / np.linalg.norm(v, axis=1)[:, None]
         near = np.array(t.column("near").combine_chunks().flatten().to_numpy()).reshape(len(cls), -1)
-        sets = np.zeros((len(cls), int(near.max(initial=0)) + 2), np.float32)
-        np.put_along_axis(sets, near + 1, 1, 1)
-        sets = sets[:, sets.sum(0) > 1]
-        need = min(SHARED, near.shape[1])
         links = np.zeros(len(cls), np.int64)
         left, right = (np.flatnonzero(block == x) for x in (a, b))
         ii, jj = [], []
         for s in range(0, len(left), 512):
             l = left[s:s + 512]
-            ok = sets[l] @ sets[right].T >= need            # enough shared pivots
+            ok = v[l] @ v[right].T >= least - 1e-9           # one product for all, its last bits depend on the block
             if a == b:
                 ok &= l[:, None] < right[None, :]
             i, j = np.nonzero(ok)
             i, j = l[i], right[j]
-            for c in range(0, len(i), 1 << 17):              # then the cosine in double precision
+            for c in range(0, len(i), 1 << 17):              # then the cosine of each pair
                 x, y = i[c:c + (1 << 17)], j[c:c + (1 << 17)]
                 hit = np.einsum("ij,ij->i", v[x], v[y]) >= least
                 x, y = x[hit], y[hit]
-                p, q = near[x][:, :LISTS], near[y][:, :LISTS]
+                p, q = near[x], near[y]
                 both = (p[:, :, None] == q[:, None, :]).any(2)
                 first = np.where(both, p, np.iinfo(np.int32).max).min(1) == pivot   # count a pair in one list only
                 x, y = x[first], y[first]
@@ -114,15 +125,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     classes = stash(classes, "vec-classes")
     total = classes.count()
     size = int(min(MOST, max(LEAST, 2 * total ** 0.5)))
-    sample = hashed_sample(classes, ["h1", "h2"], size, total).select("v").collect()
+    sample = hashed_sample(classes, ["h1", "h2"], size, total).select("h1", "h2", "v").collect()
     pivots: dict[int, list] = {}
-    for r in sample:
+    for r in sorted(sample, key=lambda r: (r["h1"], r["h2"])):
         pivots.setdefault(len(r["v"]), []).append(r["v"])
-    table = {d: (p := np.array(x)) / np.linalg.norm(p, axis=1)[:, None] for d, x in pivots.items()}
+    table = {d: spread((p := np.array(x)) / np.linalg.norm(p, axis=1)[:, None]) for d, x in pivots.items()}
 
     described = stash(classes.select("cls", "n", "v", "dims").mapInArrow(
         _describe(table), "cls long, n long, v array<double>, dims int, near array<int>"), "vec-near")
-    listed = described.withColumn("pivot", F.explode(F.slice("near", 1, LISTS)))
+    listed = described.withColumn("pivot", F.explode("near"))
     sizes = listed.groupBy("dims", "pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # a list's rows go to every pair of blocks that has their own
     cut = (listed.join(F.broadcast(sizes), ["dims", "pivot"])   # one row for each pivot, at most MOST a length

@@ -97,3 +97,26 @@ def test_pivots_recall_on_the_table(spark):
     links = (x @ x.T >= 0.95).sum() - len(x)
     found = sum(r.n_links for r in pivots.near_duplicates(frame).collect())
     assert 0.97 * links <= found <= links
+
+
+def test_pivots_of_a_large_family(spark):
+    rnd = np.random.default_rng(6)
+    n, m, dims = 12_000, 4_000, 32
+
+    def jitter(c, cos):
+        e = rnd.normal(size=(len(cos), dims))
+        e -= (e * c).sum(1, keepdims=True) * c
+        return c * cos[:, None] + e / np.linalg.norm(e, axis=1)[:, None] * np.sqrt(1 - cos**2)[:, None]
+    x = rnd.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:m] = jitter(x[:1], rnd.uniform(0.98, 0.995, m))             # a third: one family
+    x[m:m + 500] = jitter(x[m + 500:m + 1000], rnd.uniform(0.96, 0.99, 500))
+    x = x.astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = {r.vec_id: r for r in pivots.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(8)).collect()}
+    links = np.array([got[i].n_links for i in range(n)])
+    assert want[:m].sum() > m * m // 2 and want[m:].sum() >= 1000 and (links <= want).all()
+    assert links[:m].sum() >= 0.99 * want[:m].sum() and links[m:].sum() >= 0.97 * want[m:].sum()
+    assert len({got[i].component_id for i in range(m)}) == 1
