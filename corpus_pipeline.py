@@ -17,8 +17,8 @@ from salesmart.session import apply_session_conf, ship_package
 
 #: Share of the letters that a document's main language must have: mixed texts stay, jumbles of all go.
 LANG_SHARE = 0.35
-#: Words of a shingle, per cent of common shingles, bytes of a repeated passage (some 50 words).
-SHINGLE, SIMILAR, PASSAGE = 5, 75, 300
+#: Words of a shingle, per cent of common shingles, words of a repeated passage (more than 50).
+SHINGLE, SIMILAR, PASSAGE = 5, 75, 51
 #: Share of the tokens to keep in the mixture, epochs of a source at most, seed.
 SHARE, EPOCHS, SEED = 0.8, 2, 7
 
@@ -43,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages but for their first place; all documents stay."""
     _ready(spark)
-    return suffixes.cut_repeats(docs, PASSAGE, keep="first")
+    return suffixes.cut_repeats(docs, PASSAGE, keep="first", words=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

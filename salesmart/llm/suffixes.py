@@ -20,6 +20,12 @@ that stand next to each other and have the same anchor are one run.
 
 Positions are judged on the input.  Matches never cross documents.
 
+With words=True all of this is done on words instead of bytes: a text is the
+sequence of its words' 64-bit hashes, `length` counts words, and what is cut goes
+from the first byte of a stretch's first word to the last byte of its last.
+What stands between words is not compared.  Letters of scripts written without
+spaces are a word each; a longer word counts as one for each LONG bytes.
+
 Defined results: null text is empty and loses nothing; texts shorter than
 `length` lose nothing; repeated rows are separate documents that repeat each
 other (with keep="first", rows with equal id and text keep the same bytes); an
@@ -38,10 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from salesmart.llm.common import powers, mix, stash, text_slices
+from salesmart.llm.common import powers, mix, range_hashes, stash, text_slices
 
 #: Bytes of an anchor; windows cut from one text at once; classes of one anchor that a task holds.
 GRAM, STARTS, TASK_CLASSES = 100, 1 << 20, 4_000
+#: Bytes of a word, or of a piece of a longer one.
+LONG = 32
+
+#: Bytes that words consist of; those of multi-byte characters but for the punctuation in words_of().
+_IN_WORD = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 RUNS = "doc_id long, h long, lo long, hi long, gram long, c1 long, c2 long"
 MATCHES = "doc_id long, h long, lo long, a long, b long, w1 long, w2 long, place long"
@@ -92,6 +103,54 @@ def runs_of(data: np.ndarray, offs: np.ndarray, length: int, gram: int):
     return r[head], start[head], start[tail], hashes[a[head]].view(np.int64)
 
 
+def words_of(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, end byte) of the words of UTF-8 texts, and each text's place among them."""
+    if not len(data):
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(len(offs), np.int64)
+    word = _IN_WORD[data]
+    after = np.append(data[1:], np.uint8(0))
+    two = np.flatnonzero(data == 0xC2)                       # U+0080..U+00BF
+    three = np.flatnonzero(((data == 0xE2) & ((after == 0x80) | (after == 0x81))) | ((data == 0xE3) & (after == 0x80)))
+    for at, size in ((two, 2), (three, 3)):
+        for k in range(size):
+            word[at + k] = False
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    heads = offs[:-1][offs[:-1] < len(data)]
+    first[heads] = word[heads]
+    # Thai to Tibetan, Myanmar, Khmer, kana and Han, and what lies beyond the BMP
+    alone = np.flatnonzero(word & (((data == 0xE0) & (after >= 0xB8)) | ((data == 0xE1) & ((after <= 0x82) | (after == 0x9E) | (after == 0x9F)))
+                                   | ((data >= 0xE3) & (data <= 0xE9)) | (data >= 0xF0)))
+    first[alone] = True
+    then = alone + np.where(data[alone] >= 0xF0, 4, 3)
+    then = then[then < len(data)]
+    first[then] = word[then]
+    last = word.copy()
+    last[:-1] &= ~word[1:] | first[1:]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    parts = -(-(end - start) // LONG)
+    if len(start) and parts.max() > 1:
+        of = np.repeat(np.arange(len(start)), parts)
+        k = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, end = start[of] + k * LONG, np.minimum(start[of] + (k + 1) * LONG, end[of])
+    return start, end, np.searchsorted(start, offs)
+
+
+def _symbols(data: np.ndarray, offs: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts, or the hashes of their words, and the texts' borders among them."""
+    if not words:
+        return data, offs
+    start, end, cuts = words_of(data, offs)
+    out = np.zeros(len(start), np.uint64)
+    border = np.append(np.searchsorted(start, np.arange(0, len(data), STARTS)), len(start))
+    for a, b in zip(border, border[1:]):
+        if a < b:
+            base = start[a]
+            out[a:b] = range_hashes(data[base:end[b - 1]], start[a:b] - base, end[a:b] - base)
+    return out, cuts
+
+
 def _pieces(data: np.ndarray, offs: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """A slice as it is, or a text too long for one in overlapping parts:
     (first row, start in the text, bytes, offsets).  A cut only ends a run early."""
@@ -103,16 +162,17 @@ def _pieces(data: np.ndarray, offs: np.ndarray, length: int) -> Iterator[tuple[i
         yield 0, s, part, np.array([0, len(part)])
 
 
-def _runs(length: int, gram: int):
+def _runs(length: int, gram: int, words: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, _, data, offs in text_slices(batch):
+                data, offs = _symbols(data, offs, words)
                 for _, base, part, cuts in _pieces(data, offs, length):
                     row, lo, hi, grams = runs_of(part, cuts, length, gram)
                     if not len(row):
                         continue
-                    view = memoryview(part)
-                    raw = b"".join([xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(lo.tolist(), (hi + length).tolist())])
+                    view, size = memoryview(part.view(np.uint8)), part.itemsize
+                    raw = b"".join([xxhash.xxh3_128_digest(view[s:e]) for s, e in zip((lo * size).tolist(), ((hi + length) * size).tolist())])
                     cls = np.frombuffer(raw, np.int64).reshape(-1, 2)
                     start, at = cuts[row] - base, pa.array(a + row)
                     yield pa.RecordBatch.from_arrays(
@@ -132,18 +192,19 @@ def suffix_array(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
     return np.array(order, np.int64), same
 
 
-def _extract(length: int):
-    """The bytes of the chosen runs of each document."""
+def _extract(length: int, words: bool = False):
+    """The bytes, or the words' hashes, of the chosen runs of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs = batch.column(3)
             for a, b, data, offs in text_slices(batch):
-                raw, rows, taken = data.tobytes(), [], []
+                data, offs = _symbols(data, offs, words)
+                raw, size, rows, taken = data.tobytes(), data.itemsize, [], []
                 for i, own in enumerate(runs.slice(a, b - a).to_pylist()):
                     for r in own:
                         rows.append(a + i)
                         taken.append((r["bucket"], r["split"], r["lo"],
-                                      raw[offs[i] + r["lo"]:offs[i] + r["hi"] + length]))
+                                      raw[(offs[i] + r["lo"]) * size:(offs[i] + r["hi"] + length) * size]))
                 if rows:
                     cols = list(zip(*taken))
                     yield pa.RecordBatch.from_arrays(
@@ -153,10 +214,10 @@ def _extract(length: int):
     return run
 
 
-def _match(length: int, keep_first: bool):
+def _match(length: int, keep_first: bool, size: int = 1):
     """The windows of a bucket's runs to remove, as stretches a..b of starts
     counted in the run; of split anchors also the first place of each window
-    here, with its hash, for the anchor's other tasks."""
+    here, with its hash, for the anchor's other tasks.  `size`: bytes of a symbol."""
     def run(t):
         doc, h, lo = (t.column(c).combine_chunks().fill_null(-2**63).to_numpy() for c in ("doc_id", "h", "lo"))
         by = np.lexsort((lo, h, doc))          # rows that repeat id and text bring a run twice
@@ -169,11 +230,11 @@ def _match(length: int, keep_first: bool):
         texts = t.column("bytes").chunk(0).cast(pa.large_binary())
         offs = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2], np.uint8)
-        count = np.diff(offs) - length + 1
+        count = np.diff(offs) // size - length + 1
         of = np.repeat(np.arange(len(count)), count)
         ends = np.cumsum(count)
         at = np.arange(ends[-1]) - np.repeat(ends - count, count)
-        order, same = suffix_array(data, offs[of] + at, length)
+        order, same = suffix_array(data, offs[of] + at * size, length * size)
         # between differing neighbours all suffixes are one window; the one at the smallest
         # position has no previous smaller position among them, all others have
         group = np.empty(len(order), np.int64)
@@ -191,8 +252,8 @@ def _match(length: int, keep_first: bool):
         tail = last[np.searchsorted(last, head)] if len(head) else head
         more = np.flatnonzero(split[of] & ~earlier)
         raw = data.tobytes()
-        begin = (offs[of] + at)[more].tolist()
-        w = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[s:s + length]) for s in begin]), np.int64).reshape(-1, 2)
+        begin = (offs[of] + at * size)[more].tolist()
+        w = np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[s:s + length * size]) for s in begin]), np.int64).reshape(-1, 2)
         row = np.concatenate([of[head], of[more]])
         none = [None] * len(head)
         return pa.table([
@@ -209,14 +270,15 @@ def _prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", gram: int = GRAM) -> DataFrame:
-    """doc_id, h (hash of the text), spans: byte ranges to remove of each
-    document that has any; ranges may overlap."""
+def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", gram: int = GRAM,
+                   words: bool = False) -> DataFrame:
+    """doc_id, h (hash of the text), spans: ranges of bytes, or of words, to remove
+    of each document that has any; ranges may overlap."""
     if keep not in ("first", "none"):
         raise ValueError(f"keep is first or none, not {keep}")
     gram = min(gram, max(1, length // 4))
     own = _prepared(docs)
-    runs = stash(own.mapInArrow(_runs(length, gram), RUNS), "runs")
+    runs = stash(own.mapInArrow(_runs(length, gram, words), RUNS), "runs")
     classes = stash(runs.groupBy("gram", "c1", "c2").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "lo", "hi")).alias("rep")), "run-classes")
     anchors = (classes.groupBy("gram").agg(F.count("*").alias("k"), F.min("n").alias("least"))
@@ -230,8 +292,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, keep: str = "first", gram
                                                  (F.col("parts") > 1).alias("split"), "lo", "hi").alias("run"))
     open_ = open_.groupBy("doc_id", "h").agg(F.collect_list("run").alias("runs"))   # at most one for each byte of a text
     chosen = _with_text(own, open_).mapInArrow(
-        _extract(length), "doc_id long, h long, bucket long, split boolean, lo long, bytes binary")
-    found = stash(chosen.groupBy("bucket").applyInArrow(_match(length, keep == "first"), MATCHES), "matches")
+        _extract(length, words), "doc_id long, h long, bucket long, split boolean, lo long, bytes binary")
+    found = stash(chosen.groupBy("bucket").applyInArrow(_match(length, keep == "first", 8 if words else 1), MATCHES), "matches")
 
     direct = found.where("w1 IS NULL").select("doc_id", "h", "lo", "a", "b")
     cross = found.where("w1 IS NOT NULL")
@@ -299,35 +361,43 @@ def whole_characters(text: bytes, cut: list[tuple[int, int]]) -> list[tuple[int,
     return out
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = {c: batch.schema.get_field_index(c) for c in ("text", "n_chars", "_spans")}
-        texts, sizes = [], []
-        for text, n, spans in zip(batch.column(at["text"]).to_pylist(),
-                                  batch.column(at["n_chars"]).to_pylist() if at["n_chars"] >= 0 else [None] * batch.num_rows,
-                                  batch.column(at["_spans"]).to_pylist()):
-            if spans:
-                raw = text.encode()
-                cut = whole_characters(raw, merged(spans))
-                text = b"".join(raw[s:e] for s, e in zip([0] + [e for _, e in cut], [s for s, _ in cut] + [len(raw)])).decode()
-                n = len(text)
-            texts.append(text)
-            sizes.append(n)
-        cols = list(batch.columns)
-        cols[at["text"]] = pa.array(texts, pa.string())
-        if at["n_chars"] >= 0:
-            cols[at["n_chars"]] = pa.array(sizes, cols[at["n_chars"]].type)
-        names = batch.schema.names
-        yield pa.RecordBatch.from_arrays([c for c, x in zip(cols, names) if x != "_spans"],
-                                         names=[x for x in names if x != "_spans"])
-
-
-def cut_repeats(docs: DataFrame, length: int = 400, keep: str = "first") -> DataFrame:
-    """The documents without their repeated passages (whole characters only),
-    n_chars brought up to date; all rows stay."""
-    spans = repeated_spans(docs, length, keep).withColumnsRenamed({"doc_id": "_id", "h": "_h", "spans": "_spans"})
+def _bytes_of(text: bytes, cut: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of words as ranges of bytes."""
+    start, end, _ = words_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    return [(int(start[s]), int(end[e - 1])) for s, e in cut]
+
+
+def _cut_texts(words: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = {c: batch.schema.get_field_index(c) for c in ("text", "n_chars", "_spans")}
+            texts, sizes = [], []
+            for text, n, spans in zip(batch.column(at["text"]).to_pylist(),
+                                      batch.column(at["n_chars"]).to_pylist() if at["n_chars"] >= 0 else [None] * batch.num_rows,
+                                      batch.column(at["_spans"]).to_pylist()):
+                if spans:
+                    raw = text.encode()
+                    cut = whole_characters(raw, _bytes_of(raw, merged(spans)) if words else merged(spans))
+                    text = b"".join(raw[s:e] for s, e in zip([0] + [e for _, e in cut], [s for s, _ in cut] + [len(raw)])).decode()
+                    n = len(text)
+                texts.append(text)
+                sizes.append(n)
+            cols = list(batch.columns)
+            cols[at["text"]] = pa.array(texts, pa.string())
+            if at["n_chars"] >= 0:
+                cols[at["n_chars"]] = pa.array(sizes, cols[at["n_chars"]].type)
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([c for c, x in zip(cols, names) if x != "_spans"],
+                                             names=[x for x in names if x != "_spans"])
+    return run
+
+
+def cut_repeats(docs: DataFrame, length: int = 400, keep: str = "first", words: bool = False) -> DataFrame:
+    """The documents without their repeated passages of `length` bytes or words
+    (whole characters only), n_chars brought up to date; all rows stay."""
+    spans = repeated_spans(docs, length, keep, words=words).withColumnsRenamed({"doc_id": "_id", "h": "_h", "spans": "_spans"})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.withColumns({"_k": F.col("doc_id").cast("long"), "_t": F.xxhash64(text)})
     same = marked["_k"].eqNullSafe(spans["_id"]) & (marked["_t"] == spans["_h"])
     joined = marked.join(spans, same, "left").select(*docs.columns, "_spans")
-    return joined.mapInArrow(_cut_texts, StructType(docs.schema.fields))
+    return joined.mapInArrow(_cut_texts(words), StructType(docs.schema.fields))

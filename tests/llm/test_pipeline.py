@@ -1,8 +1,12 @@
 """The pipeline's stages and the registry."""
 
+import random
+
+import numpy as np
+
 import corpus_pipeline
-from salesmart.llm import queries
-from tests_llm_data import DOC_SCHEMA
+from salesmart.llm import queries, suffixes
+from tests_llm_data import DOC_SCHEMA, prose, row
 
 
 def test_every_operator_has_a_query():
@@ -31,3 +35,27 @@ def test_stages_on_an_empty_table(spark, docs):
         frame = stage(spark, frame, "unused")
         assert frame.count() == 0
         frame = docs([])
+
+
+def test_passages_of_more_than_50_words_are_cut(spark, docs):
+    rnd = random.Random(5)
+    short = [rnd.choice("abcdefghij") + rnd.choice("klm") for _ in range(51)]
+    fifty = [rnd.choice("nopqrst") + rnd.choice("uvw") for _ in range(50)]
+    rows = [row(i, f"{prose(rnd, 60)} x{i}, {' '.join(short)}; y{i} {prose(rnd, 60)} z{i} {' '.join(fifty)} q{i}") for i in range(8)]
+    han = "".join(chr(0x4E00 + rnd.randrange(2000)) for _ in range(60))
+    rows += [row(20 + i, f"{prose(rnd, 20)} {i}{han}{i} é{i}") for i in range(2)]
+    got = {r.doc_id: r for r in corpus_pipeline.cut_passages(spark, docs(rows), "unused").collect()}
+    for i, text, *_ in rows:
+        passage = " ".join(short) if i < 20 else han
+        assert got[i].text == (text if i in (0, 20) else text.replace(passage, "")) and got[i].n_chars == len(got[i].text)
+
+
+def test_words_of_texts():
+    texts = ["", "ab,c  d\u2019e\u00a0f", "\u4e00\u4e8cx \u0e01\u0e02.", "a" * 70, "\u00e9t\u00e9 \U0001f600z", "b"]
+    raw = [t.encode() for t in texts]
+    offs = np.cumsum([0] + [len(t) for t in raw])
+    data = b"".join(raw)
+    start, end, cuts = suffixes.words_of(np.frombuffer(data, np.uint8), offs)
+    got = [[data[start[k]:end[k]].decode() for k in range(a, b)] for a, b in zip(cuts, cuts[1:])]
+    assert got == [[], ["ab", "c", "d", "e", "f"], ["\u4e00", "\u4e8c", "x", "\u0e01", "\u0e02"],
+                   ["a" * 32, "a" * 32, "a" * 6], ["\u00e9t\u00e9", "\U0001f600", "z"], ["b"]]
