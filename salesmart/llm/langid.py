@@ -9,7 +9,8 @@
    its share of the letters the score.
 
 Defined results: a null text, or one without a letter, is `und` with score 0;
-words of a script no learned language uses carry no evidence; ties go to the
+words of a script no learned language uses carry no evidence: their letters count
+for no language and lower the score, to 0 if there are no others; ties go to the
 language that sorts first; without labelled rows every text is `und`.  Repeated
 rows are predicted alike.  Only `doc_id`, `text` and, to learn, `lang` are read.
 """
@@ -228,9 +229,11 @@ class Labeller:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.scores = np.zeros((0, max(len(self.model.langs), 1)))
+        self.known = np.zeros(0, bool)    # words of a script that a learned language uses
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-        """(words with a letter of each text, borders, language of each word)."""
+    def __call__(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray]:
+        """(words with a letter of each text, borders, language of each word,
+        whether a learned language uses its script)."""
         if len(self.index) > KEPT_WORDS:
             self._clear()
         words = [_WORDS.findall(t.lower()) if t else [] for t in texts]
@@ -239,13 +242,14 @@ class Labeller:
             found = self.model.score(fresh)
             self.index.update(zip(fresh, range(len(self.scores), len(self.scores) + len(fresh))))
             self.scores = np.concatenate([self.scores, found])
+            self.known = np.concatenate([self.known, np.array([script_of(w) in self.model.scripts for w in fresh], bool)])
         if np.isnan(self.scores[:, 0]).any():   # words without a letter
             none = {w for w, i in self.index.items() if np.isnan(self.scores[i, 0])}
             words = [[w for w in x if w not in none] for x in words]
         offs = np.concatenate([[0], np.cumsum([len(x) for x in words], dtype=np.int64)])
         get = self.index.__getitem__
         at = np.fromiter((get(w) for x in words for w in x), np.int64, int(offs[-1]))
-        return words, offs, viterbi(self.scores, at, offs, self.switch)
+        return words, offs, viterbi(self.scores, at, offs, self.switch), self.known[at]
 
 
 def _predict(model: Model, switch: float, spans: bool):
@@ -255,7 +259,7 @@ def _predict(model: Model, switch: float, spans: bool):
             texts = batch.column(1)
             for a, b, _, _ in text_slices(batch, limit=SLICE):
                 own = texts.slice(a, b - a).to_pylist()
-                words, offs, path = label(own) if model.langs else ([[]] * (b - a), np.zeros(b - a + 1, np.int64), None)
+                words, offs, path, known = label(own) if model.langs else ([[]] * (b - a), np.zeros(b - a + 1, np.int64), None, None)
                 lang, score, found = [], [], []
                 for i, x in enumerate(words):
                     if not x:
@@ -265,10 +269,10 @@ def _predict(model: Model, switch: float, spans: bool):
                         continue
                     p = path[offs[i]:offs[i + 1]]
                     size = np.fromiter(map(len, x), np.int64, len(x))
-                    share = np.bincount(p, size, len(model.langs))
+                    share = np.bincount(p, size * known[offs[i]:offs[i + 1]], len(model.langs))
                     top = int(share.argmax())
                     lang.append(model.langs[top])
-                    score.append(float(share[top] / share.sum()))
+                    score.append(float(share[top] / size.sum()))
                     if spans:
                         cut = np.concatenate([[0], np.flatnonzero(np.diff(p)) + 1, [len(p)]])
                         found.append([{"first_word": int(s), "end_word": int(e), "lang": model.langs[p[s]]}
@@ -292,7 +296,8 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, spans: bool
 
 def keep(docs: DataFrame, model: Model, least: float = 0.5, switch: float = SWITCH) -> DataFrame:
     """The documents with a learned language that has at least `least` of the
-    letters, with all their columns; rejects texts without letters and jumbles."""
+    letters, with all their columns; rejects texts without letters, jumbles and
+    texts in scripts that no learned language uses."""
     from pyspark.sql.types import StructField, StringType, DoubleType, StructType
 
     schema = StructType(docs.schema.fields + [StructField("_lang_pred", StringType()), StructField("_score", DoubleType())])

@@ -74,6 +74,20 @@ def test_langid_keep_drops_jumbles_only(docs, two_languages):
     assert [r.doc_id for r in kept.collect()] == [1] and kept.columns == [c.split()[0] for c in DOC_SCHEMA.split(", ")]
 
 
+def test_langid_unlearned_scripts_count_for_no_language(docs):
+    rnd = random.Random(8)
+    rows = [row(i, prose(rnd, 60, FRENCH) if i % 2 else prose(rnd, 60), "fr" if i % 2 else "en") for i in range(80)]
+    model = langid.train(docs(rows))
+    english = prose(rnd, 40)
+    odd = [row(1, "\u4e2d\u6587\u5b57 \u6c49\u8bed"), row(2, "\u03b5\u03bb\u03bb\u03b7\u03bd\u03b9\u03ba\u03ac \u03ba\u03b5\u03af\u03bc\u03b5\u03bd\u03bf"),
+           row(3, english), row(4, english + " \u043f\u0440\u0438\u0432\u0435\u0442" * 200)]
+    score = {r.doc_id: r.score for r in langid.identify(docs(odd), model).collect()}
+    letters = sum(map(len, english.split()))
+    assert score[1] == score[2] == 0 and score[3] == 1
+    assert score[4] == pytest.approx(letters / (letters + 1200))
+    assert [r.doc_id for r in langid.keep(docs(odd), model, 0.35).collect()] == [3]
+
+
 def test_licenses_match_plain_search(docs, corpus):
     rows = corpus + [row(900, "X MIT-License, mit license the MIT  LICENSE"), row(901, "Apache License general public License"),
                      row(902, "summit license mit licenses"), row(903, "mit license mit\nlicense")]
