@@ -120,3 +120,29 @@ def test_pivots_of_a_large_family(spark):
     assert want[:m].sum() > m * m // 2 and want[m:].sum() >= 1000 and (links <= want).all()
     assert links[:m].sum() >= 0.99 * want[:m].sum() and links[m:].sum() >= 0.97 * want[m:].sum()
     assert len({got[i].component_id for i in range(m)}) == 1
+
+
+def test_pivots_recall_on_the_table_with_planted_pairs(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x = np.array([r.embedding for r in frame.orderBy("vec_id").collect()], float)
+    rnd = np.random.default_rng(9)
+
+    def near(c, cos):
+        c = c / np.linalg.norm(c, axis=1)[:, None]
+        e = rnd.normal(size=c.shape)
+        e -= (e * c).sum(1, keepdims=True) * c
+        return c * cos[:, None] + e / np.linalg.norm(e, axis=1)[:, None] * np.sqrt(1 - cos**2)[:, None]
+    # a pair for 400 rows at cosine 0.951 to 0.99, and a family of 800 around another row
+    x = np.concatenate([x, near(x[:400], rnd.uniform(0.951, 0.99, 400)),
+                        near(np.repeat(x[500:501], 800, 0), rnd.uniform(0.98, 0.995, 800))]).astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    family = np.r_[500, 2400:3200]
+    pairs = np.setdiff1d(np.arange(len(x)), family)
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    links = np.zeros(len(x), int)
+    for r in pivots.near_duplicates(rows).collect():
+        links[r.vec_id] = r.n_links
+    print("recall", links[pairs].sum(), want[pairs].sum(), links[family].sum(), want[family].sum())
+    assert want[pairs].sum() >= 800 and want[family].sum() > 500_000 and (links <= want).all()
+    assert links[pairs].sum() >= 0.97 * want[pairs].sum() and links[family].sum() >= 0.99 * want[family].sum()
