@@ -8,11 +8,11 @@ that stand next to each other and have the same anchor are one run.
 
 1. Runs with equal bytes are one class; a class with two runs is repeated whole.
 2. Where an anchor has runs of several classes, the bytes of one run of each
-   class go to the anchor's task, which sorts the suffixes that begin a window
-   into a suffix array cut at `length` bytes.  Neighbours with a common prefix
-   of `length` are the same window; the previous and the next smaller position
-   among them say whether an earlier copy exists, so a longest-previous-factor
-   of at least `length` is read off without comparing pairs.  An anchor with
+   class go to the anchor's task, which sorts the suffixes that begin a window,
+   cut at `length` bytes.  Equal neighbours are the same window and form a group;
+   all but the group's first place have an earlier copy.  No common prefixes,
+   smaller positions or longest previous factors are computed: only whether a
+   factor would reach `length` is asked, and groups tell that.  An anchor with
    very many classes is dealt to several tasks, of whose windows one each is then
    matched by a 128-bit hash.
 3. Each document's repeated windows are cut out: with keep="none" all of them,
@@ -236,13 +236,13 @@ def _match(length: int, keep_first: bool, size: int = 1):
         at = np.arange(ends[-1]) - np.repeat(ends - count, count)
         order, same = suffix_array(data, offs[of] + at * size, length * size)
         # between differing neighbours all suffixes are one window; the one at the smallest
-        # position has no previous smaller position among them, all others have
+        # position has no equal window before it, all others have
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(~same) - 1
         by = np.lexsort((lo[of] + at, h[of], doc[of], group))
         lead = np.ones(len(by), bool)
         lead[1:] = group[by][1:] != group[by][:-1]
-        earlier = np.ones(len(by), bool)      # longest previous factor of at least `length`
+        earlier = np.ones(len(by), bool)      # an equal window stands before it
         earlier[by[lead]] = False
         drop = earlier if keep_first else np.bincount(group)[group] > 1
         new = np.ones(len(drop), bool)        # neighbouring starts of a run are one stretch
