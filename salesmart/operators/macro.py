@@ -142,7 +142,7 @@ def read_metric_dir(spark, path: str) -> DataFrame:
     three columns are skipped (G4: ``metric_rejects`` lists them), lines whose
     year or month is no number are too."""
     rows = (_metric_files(spark, path).filter(_whole_header())
-            .select("metric", "at_year", "at_month", "at_value", F.explode(F.slice("lines", 2, 1_000_000)).alias("line")))
+            .select("metric", "at_year", "at_month", "at_value", F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("line")))
     cells = F.split("line", ",", -1)
 
     def cell(c):
