@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import jaccard, langid, licenses, mainhtml, mixing, packing, pivots, suffixes, topk, warc
+from salesmart.llm import (bytebpe, collocations, jaccard, langid, licenses, mainhtml, mixing, negatives, packing, pivots,
+                           suffixes, topk, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(name: str, oracle: str | None = None):
@@ -153,3 +155,55 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("domain", F.expr(DOMAIN))
     weights = [mixing.weight_of("domain", DOMAIN_WEIGHTS), mixing.weight_of("lang", LANG_WEIGHTS), F.lit(1)]
     return mixing.select(docs, ["domain", "lang", "source"], weights, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
+@query("op11_collocations", """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM g, range(1, 6) AS t(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 100),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.a >= 100 * c.a
+    AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))),
+cut AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y
+  FROM kept, range(1, 5) AS r(j) WHERE j < k),
+s AS (SELECT cut.lang, cut.phrase, cut.a, cut.j, fx.f AS l, fy.f AS r, t.n, (1000 * cut.a * t.n) // (fx.f * fy.f) AS score
+  FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = cut.x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = cut.y
+  JOIN t ON t.lang = cut.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+  score::BIGINT AS score FROM o WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(spark.read.parquet(f"{sf_dir}/documents.parquet"), least=100, longest=5, percent=100, top=2000)
+
+
+@query("op12_bytebpe")
+def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done = bytebpe.decode(bytebpe.encode(docs, BYTE_BPE, public_tokenizers.PATTERN), BYTE_BPE)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("id") % 50 == 0)
