@@ -4,10 +4,11 @@ A text is split into pieces and words; the suffix that starts at each word,
 truncated to a depth of `longest` words, is a leaf of the tree, and the count of
 a phrase is the total of the leaves below its node.
 
-1. Pairs of neighbouring words are counted in a table of COUNTERS counters by
-   their hash.  A pair whose counter is below `least` is certainly rarer than
-   that, and so is every phrase that holds it: a suffix is cut short before such
-   a pair.  The table only saves work, equal hashes cost rows and no results.
+1. Words are counted in a table of COUNTERS counters by their hash, then pairs of
+   words that may be frequent, and so on to the depth.  A run of words whose
+   counter is below `least` is certainly rarer than that, and so is every phrase
+   that holds it: a suffix is cut short where its next run is.  The tables only
+   save work, equal hashes cost rows and no results.
 2. Each task writes the suffixes of its slices with their counts, equal ones
    added up before the shuffle: the leaves.
 3. Vertical partitioning: leaves are counted by their first word (in buckets of
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import LOWER, MIX2, mix, range_hashes, stash, text_slices, word_spans
 
-#: Counters of word pairs, leaves of a group, bytes of text of a slice.
+#: Counters of runs of words, leaves of a group, bytes of text of a slice.
 COUNTERS, BUDGET, SLICE = 1 << 22, 150_000, 2 << 20
 #: Bytes that end a piece, and bytes that end a word.
 ENDS_PIECE = np.zeros(256, bool)
@@ -63,7 +64,7 @@ def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str], np.ndarray
 
 
 class Words:
-    """The words of a slice of texts and the pairs of neighbours in a piece."""
+    """The words of a slice of texts."""
 
     def __init__(self, data: np.ndarray, offs: np.ndarray, codes: np.ndarray, keys: np.ndarray):
         self.data = LOWER[data]
@@ -74,25 +75,39 @@ class Words:
         self.paired = np.zeros(n, bool)      # whether the next word stands in the same piece
         if n > 1:
             self.paired[:-1] = (row[1:] == row[:-1]) & (marks[self.start[1:]] == marks[self.end[:-1]])
-        own = mix(range_hashes(self.data, self.start, self.end) ^ keys[self.code]) if n else np.zeros(0, np.uint64)
-        with np.errstate(over="ignore"):
-            after = np.append(own[1:], np.uint64(0))
-            self.counter = (mix(own * MIX2 + after) & np.uint64(COUNTERS - 1)).astype(np.int64)
-
-    def leaves(self, frequent: np.ndarray, longest: int) -> tuple[np.ndarray, pa.Array]:
-        """(language code, phrase) of the truncated suffix of every word."""
+        self.hash = mix(range_hashes(self.data, self.start, self.end) ^ keys[self.code]) if n else np.zeros(0, np.uint64)
+
+    def runs(self, frequent: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1, 2, ... words: (whether a run of so many begins at each word that
+        may be frequent as far as shorter runs tell, its counter).  The last of
+        them has no table in `frequent` yet."""
+        alive, h = np.ones(len(self.hash), bool), self.hash
+        for size in range(1, len(frequent) + 2):
+            if size > 1:
+                shorter = alive & frequent[size - 2][counter]
+                alive = shorter & self.paired
+                alive[:-1] &= shorter[1:]
+                after = np.zeros(len(h), np.uint64)
+                after[:max(len(h) - size + 1, 0)] = self.hash[size - 1:]
+                with np.errstate(over="ignore"):
+                    h = mix(h * MIX2 + after)
+            counter = (h & np.uint64(COUNTERS - 1)).astype(np.int64)
+            yield alive, counter
+
+    def leaves(self, frequent: list[np.ndarray]) -> tuple[np.ndarray, pa.Array]:
+        """(language code, phrase) of the truncated suffix of every word; the
+        phrase is empty where the word itself is rare."""
         n = len(self.start)
-        alive = self.paired & frequent[self.counter]
-        depth, going = np.ones(n, np.int64), alive.copy()
-        for _ in range(longest - 1):
-            depth += going
-            going &= alive[np.minimum(np.arange(n) + depth - 1, n - 1)]
+        depth = np.zeros(n, np.int64)
+        for (alive, counter), table in zip(self.runs(frequent), frequent):
+            depth += alive & table[counter]
         size = self.end - self.start
+        before = np.cumsum(size) - size
         place = np.concatenate([[0], np.cumsum(size + 1)])     # words joined by single blanks
         text = np.full(place[-1], 0x20, np.uint8)
-        text[np.arange(size.sum()) + np.repeat(place[:-1] - np.concatenate([[0], np.cumsum(size)])[:-1], size)] = \
-            self.data[np.arange(size.sum()) + np.repeat(self.start - np.concatenate([[0], np.cumsum(size)])[:-1], size)]
-        length = place[np.arange(n) + depth] - 1 - place[:-1]
+        each = np.arange(size.sum())
+        text[each + np.repeat(place[:-1] - before, size)] = self.data[each + np.repeat(self.start - before, size)]
+        length = np.where(depth > 0, place[np.arange(n) + depth] - 1 - place[:-1], 0)
         offs = np.concatenate([[0], np.cumsum(length)])
         raw = text[np.arange(offs[-1]) + np.repeat(place[:-1] - offs[:-1], length)]
         return self.code, pa.LargeStringArray.from_buffers(n, pa.py_buffer(offs), pa.py_buffer(raw))
@@ -104,37 +119,48 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[Words, list[str]]]:
         yield Words(data, offs, codes[a:b], keys), names
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        for words, _ in _slices(batch):
-            total += np.bincount(words.counter[words.paired], minlength=COUNTERS)
-    at = np.flatnonzero(total)
-    for i in range(0, len(at), 1 << 17):
-        part = at[i:i + (1 << 17)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["counter", "n"])
+def _tables(bits: list[bytes]) -> list[np.ndarray]:
+    return [np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little").astype(bool) for x in bits]
+
+
+def _count_runs(bits: list[bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, total = _tables(bits), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for words, _ in _slices(batch):
+                *_, (alive, counter) = words.runs(frequent)
+                total += np.bincount(counter[alive], minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 1 << 17):
+            part = at[i:i + (1 << 17)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["counter", "n"])
+    return run
 
 
-def frequent_counters(docs: DataFrame, least: int) -> bytes:
-    """One bit for each counter of word pairs: whether it reaches `least`.  The
-    driver gets COUNTERS bits, whatever the size of the corpus."""
-    counts = docs.mapInArrow(_count_pairs, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+def frequent_counters(docs: DataFrame, least: int, longest: int) -> list[bytes]:
+    """For runs of 1 to `longest` words one bit for each counter: whether it
+    reaches `least`.  A pass over the texts for each length; the driver gets
+    COUNTERS bits a pass, whatever the size of the corpus."""
     word = F.shiftrightunsigned("counter", 6).alias("word")
     bit = F.expr("shiftleft(1L, CAST(counter % 64 AS INT))")
-    bits = np.zeros(COUNTERS // 64, np.int64)
-    for r in counts.where(F.col("n") >= least).groupBy(word).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
-        bits[r["word"]] = r["bits"]
-    return bits.tobytes()
+    found: list[bytes] = []
+    for _ in range(longest):
+        counts = docs.mapInArrow(_count_runs(found), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+        bits = np.zeros(COUNTERS // 64, np.int64)
+        for r in counts.where(F.col("n") >= least).groupBy(word).agg(F.bit_or(bit).alias("bits")).collect():
+            bits[r["word"]] = r["bits"]
+        found.append(bits.tobytes())
+    return found
 
 
-def _write_leaves(bits: bytes, longest: int):
+def _write_leaves(bits: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        frequent = _tables(bits)
         for batch in batches:
             for words, names in _slices(batch):
                 if len(words.start) == 0:
                     continue
-                code, phrase = words.leaves(frequent, longest)
+                code, phrase = words.leaves(frequent)
                 t = pa.table([pa.array(code), phrase], names=["code", "phrase"])
                 t = t.group_by(["code", "phrase"]).aggregate([([], "count_all")])
                 lang = pa.array(names, pa.string()).take(t.column("code").combine_chunks())
@@ -229,10 +255,9 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, percent: int = 100
     `longest` words that stand at least `least` times and in no longer such phrase
     with `percent` of their count."""
     own = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    bits = frequent_counters(own, least)
-    leaves = own.mapInArrow(_write_leaves(bits, longest), "lang string, phrase string, n long")
+    leaves = own.mapInArrow(_write_leaves(frequent_counters(own, least, longest)), "lang string, phrase string, n long")
     leaves = stash(leaves.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "leaves")
-    nodes = stash(frequent_phrases(leaves, least, longest, budget), "phrases")
+    nodes = stash(frequent_phrases(leaves.where("phrase <> ''"), least, longest, budget), "phrases")
 
     word = F.split("phrase", " ")
     inside = nodes.where("words > 2").select("lang", "n", F.explode(F.array(
