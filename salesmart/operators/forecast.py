@@ -11,7 +11,7 @@ choice (no test-set peeking).
 Fitting: naive models are window/aggregate expressions; linear models use a
 grouped Gram-matrix aggregation (sums of x_i x_j per series x fold x alpha in
 one pass) and a k x k numpy solve per row in ``mapInPandas``; Holt-Winters is
-a per-series recursion in ``applyInPandas``.  Series are bounded (one row per
+a per-series recursion in ``applyInPandas``; trees are in ``trees``.  Series are bounded (one row per
 month), so no group can grow with the fact data.
 """
 
@@ -21,44 +21,79 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import clip
-from salesmart.session import checkpoint_dir
+from salesmart.operators import smoothing
 
 SERIES = "canonical_group"
-# Fixed values of the binding: validation years and the test year (the newest, part-year one)
-VALIDATION_YEARS = [1999, 2000]
-TEST_YEAR = 2001
-# MAPE targets per group (percent) for the scorecard
+# MAPE targets per group (percent) for the scorecard
 MAPE_TARGETS = {"GIFT_LOW": 20.0, "GIFT_HIGH": 18.0, "GIFT_COMBINED": 15.0, "GIFT_LARGE": 25.0}
-# Regime weights by year (later regimes weigh more), default 1, LOW/HIGH only
-REGIME_WEIGHTS = {1996: 1.0, 1997: 1.0, 1998: 2.0, 1999: 4.0, 2000: 4.0}
+# Weights of training rows by how many years they lie before the
+# newest year (the test year), default 1, LOW/HIGH only
+REGIME_WEIGHTS = {1: 4.0, 2: 2.0}
 WEIGHTED_GROUPS = ("GIFT_LOW", "GIFT_HIGH")
 # Leak-safe default feature list (no same-month composition or YoY)
 LEAK_SAFE_FEATURES = ["sales_lag_1m", "sales_lag_3m", "sales_lag_12m", "sales_rolling_3m_mean",
                       "month_sin", "month_cos", "is_peak_month", "has_lunar_new_year",
                       "lead_1_lunar_new_year", "has_mid_autumn", "lead_1_mid_autumn", "working_days",
                       "year_in_regime"]
+# Features that a group's models leave out (B19): everything made from last year's
+# month, which a moved threshold makes misleading for the high band
+GROUP_EXCLUDES = {"GIFT_HIGH": ("sales_lag_12m", "trend_yoy_adj", "yoy_estimate", "comp_x_lag12")}
 
 
 # ---------------------------------------------------------------------------
 # Folds (K14, B21)
 # ---------------------------------------------------------------------------
-def fold_specs(validation_years=VALIDATION_YEARS, test_year=TEST_YEAR):
-    return [(f"val_{v}", v, "validation") for v in validation_years] + [(f"test_{test_year}", test_year, "test")]
-
-
-def explode_folds(feat: DataFrame, specs=None) -> DataFrame:
+def fold_specs(feat: DataFrame, validation: int = 2, calibration: bool = False) -> list[tuple[str, int, str]]:
+    """(fold, scored year, kind) from the years of the data: the newest year is
+    the test fold, the ``validation`` years before it are validation folds and,
+    if asked, the year before those is a calibration fold."""
+    last = feat.agg(F.max("report_year")).first()[0]
+    if last is None:
+        return []
+    first = last - validation
+    return ([(f"calib_{first - 1}", first - 1, "calibration")] if calibration else []) + \
+        [(f"val_{y}", y, "validation") for y in range(first, last)] + [(f"test_{last}", last, "test")]
+
+
+def explode_folds(feat: DataFrame, specs=None, calibration: bool = False) -> DataFrame:
     """Each row joins every fold whose eval year is >= its year: role 'train'
-    when year < eval year, 'eval' when equal.  Expression-only (no join)."""
-    specs = specs or fold_specs()
+    when year < eval year, 'eval' when equal.  Expression-only (no join); every
+    row belongs to a fold, as the newest year is one.  ``last_year`` is that year."""
+    specs = specs or fold_specs(feat, calibration=calibration)
+    kind = "array<struct<fold: string, eval_year: int, fold_kind: string>>"
     arr = F.array(*[F.struct(F.lit(n).alias("fold"), F.lit(y).alias("eval_year"), F.lit(k).alias("fold_kind"))
-                    for n, y, k in specs])
+                    for n, y, k in specs]) if specs else F.array().cast(kind)
     mine = F.filter(arr, lambda s: s["eval_year"] >= F.col("report_year"))
     return (feat.withColumn("_f", F.explode(mine)).select("*", "_f.*").drop("_f")
-            .withColumn("role", F.when(F.col("report_year") < F.col("eval_year"), "train").otherwise("eval")))
+            .withColumn("role", F.when(F.col("report_year") < F.col("eval_year"), "train").otherwise("eval"))
+            .withColumn("last_year", F.lit(max((y for _, y, _ in specs), default=None)).cast("int")))
+
+
+def regime_weight() -> Column:
+    """A training row's weight by its distance from the newest year."""
+    w = F.lit(1.0)
+    for years, weight in REGIME_WEIGHTS.items():
+        w = F.when(F.col("last_year") - F.col("report_year") == years, F.lit(weight)).otherwise(w)
+    return F.when(F.col(SERIES).isin(*WEIGHTED_GROUPS), w).otherwise(F.lit(1.0))
+
+
+# ---------------------------------------------------------------------------
+# Feature lists of groups
+# ---------------------------------------------------------------------------
+def feature_mask(features, available, excludes=None) -> Column:
+    """Which of ``features`` a series' models use, as an array of booleans: those
+    that the frame has and the series does not leave out."""
+    excludes = GROUP_EXCLUDES if excludes is None else excludes
+    def mask(out):
+        return F.array(*[F.lit(f in available and f not in out) for f in features])
+    expr = mask(())
+    for series, out in excludes.items():
+        expr = F.when(F.col(SERIES) == series, mask(out)).otherwise(expr)
+    return expr
 
 
 # ---------------------------------------------------------------------------
@@ -159,19 +194,47 @@ def bottom_up(best_preds: DataFrame, members=("GIFT_LOW", "GIFT_HIGH"), total="G
             .withColumn(SERIES, F.lit(total)).withColumn("candidate", F.lit("bottom_up")))
 
 
-def month_bias(preds: DataFrame, calib_fold: str, lo: float = 0.4, hi: float = 2.5) -> DataFrame:
-    """Per (series, calendar month) factor actual / pred on the last
-    validation fold, clipped; 1 where undefined."""
-    p = preds.filter(F.col("fold") == calib_fold)
+def month_bias(preds: DataFrame, lo: float = 0.4, hi: float = 2.5) -> DataFrame:
+    """Per (series, candidate, scored year, calendar month) the factor actual /
+    pred of that year, clipped; 1 where undefined."""
     f = F.try_divide(F.col("y"), F.col("pred"))
-    return p.select(SERIES, "report_month", F.coalesce(clip(f, lo, hi), F.lit(1.0)).alias("bias_factor"))
+    return preds.select(SERIES, "candidate", "report_year", "report_month",
+                        F.coalesce(clip(f, lo, hi), F.lit(1.0)).alias("bias_factor"))
 
 
-def apply_bias(preds: DataFrame, bias: DataFrame) -> DataFrame:
-    return (preds.join(bias, [SERIES, "report_month"], "left")
+def calibrate(preds: DataFrame, lo: float = 0.4, hi: float = 2.5) -> DataFrame:
+    """K18, nested: the predictions of a year times the factors of the year before
+    it, so that no year's factors come from the year that they are scored on.
+    A year without one before it keeps its predictions."""
+    bias = month_bias(preds, lo, hi).withColumn("report_year", F.col("report_year") + 1)
+    return (preds.join(bias, [SERIES, "candidate", "report_year", "report_month"], "left")
             .withColumn("pred", F.col("pred") * F.coalesce("bias_factor", F.lit(1.0))).drop("bias_factor"))
 
 
+STRATEGIES = ("direct", "calibrated", "ensemble", "bottom_up")
+
+
+def strategy_predictions(preds: DataFrame, cands: DataFrame, exclude=(), k: int = 3) -> DataFrame:
+    """The predictions of every strategy, named in ``candidate``: the best single
+    model, that model calibrated by the year before, the mean of the ``k`` best
+    models without baselines, and for the total the sum of the members' best."""
+    best = choose_best(cands).select(SERIES, F.col("best_candidate").alias("candidate"))
+    direct = preds.join(best, [SERIES, "candidate"], "left_semi")
+    cols = [SERIES, "fold", "fold_kind", "report_year", "report_month", "y", "candidate", "pred"]
+    parts = [direct, calibrate(direct), ensemble(preds, top_k(cands, k, exclude)), bottom_up(direct)]
+    out = None
+    for name, p in zip(STRATEGIES, parts):
+        p = p.withColumn("candidate", F.lit(name)).select(*cols)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def choose_strategy(strategies: DataFrame) -> DataFrame:
+    """The strategy of least mean validation error for each series, ties to
+    the simpler one; the test error is scored after the choice."""
+    return choose_best(candidate_table(fold_scores(strategies), {n: i for i, n in enumerate(STRATEGIES)}))
+
+
 def month_errors(preds: DataFrame) -> DataFrame:
     """Actual, prediction and |a - p| / max(|a|, 1) x 100 per month."""
     return preds.withColumn("error_pct", F.round(
@@ -201,8 +264,10 @@ def scorecard(best: DataFrame, targets=MAPE_TARGETS) -> DataFrame:
 # ---------------------------------------------------------------------------
 def design(folded: DataFrame, features, target_mode: str = "raw", weighted: bool = False) -> DataFrame:
     """Rows (series, fold, role, x..., t, w): features imputed with 0 (v2), the
-    target transformed (raw | log1p | yoy_ratio, K10) and regime weights (K11)."""
-    xs = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]
+    target transformed (raw | log1p | yoy_ratio, K10) and regime weights (K11).
+    A feature that the frame lacks is a column of zeros (B19)."""
+    xs = [(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) if f in folded.columns else F.lit(0.0)).alias(f"x{i}")
+          for i, f in enumerate(features)]
     y = F.col("y")
     lag = F.col("sales_lag_12m")
     if target_mode == "raw":
@@ -214,12 +279,7 @@ def design(folded: DataFrame, features, target_mode: str = "raw", weighted: bool
         t = F.log(F.greatest(y, F.lit(1.0)) / F.col("_safe_lag"))
     else:
         raise ValueError(target_mode)
-    if weighted:
-        wmap = F.create_map(*[x for k, v in REGIME_WEIGHTS.items() for x in (F.lit(k), F.lit(v))])
-        w = F.when(F.col(SERIES).isin(*WEIGHTED_GROUPS), F.coalesce(wmap[F.col("report_year")], F.lit(1.0))) \
-            .otherwise(F.lit(1.0))
-    else:
-        w = F.lit(1.0)
+    w = regime_weight() if weighted else F.lit(1.0)
     base = folded
     if target_mode == "yoy_ratio":
         tm = (folded.filter(F.col("role") == "train").groupBy(SERIES, "fold")
@@ -247,38 +307,44 @@ def gram(des: DataFrame, k: int) -> DataFrame:
     return tr.groupBy(SERIES, "fold").agg(*aggs)
 
 
+def _centred(r, k: int) -> tuple[float, np.ndarray, float, np.ndarray, np.ndarray]:
+    """(weight, feature means, target mean, centred X'X, centred X't) of a Gram row."""
+    sw = r["sw"]
+    mx = np.array([r[f"sx{i}"] for i in range(k)]) / sw
+    mt = r["st"] / sw
+    sxx = np.array([[r[f"sxx{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    sxt = np.array([r[f"sxt{i}"] for i in range(k)])
+    return sw, mx, mt, sxx - sw * np.outer(mx, mx), sxt - sw * mx * mt
+
+
 def _solve_rows(pdf: pd.DataFrame, k: int, alphas) -> pd.DataFrame:
     """Ridge (alpha > 0) / OLS (alpha = 0, pseudo-inverse) from centred Gram sums;
-    the intercept is not penalised (as sklearn Ridge)."""
+    the intercept is not penalised (as sklearn Ridge).  Features that the row's
+    ``mask`` leaves out have the coefficient 0: the submatrix is solved."""
     out = []
     for _, r in pdf.iterrows():
-        sw = r["sw"]
-        mx = np.array([r[f"sx{i}"] for i in range(k)]) / sw
-        mt = r["st"] / sw
-        sxx = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        sxt = np.array([r[f"sxt{i}"] for i in range(k)])
-        cxx = sxx - sw * np.outer(mx, mx)
-        cxt = sxt - sw * mx * mt
+        sw, mx, mt, cxx, cxt = _centred(r, k)
+        on = np.flatnonzero(np.asarray(r["mask"], bool)) if "mask" in r and r["mask"] is not None else np.arange(k)
+        sub, rhs = cxx[np.ix_(on, on)], cxt[on]
         for a in alphas:
+            beta = np.zeros(k)
             if a > 0:
-                beta = np.linalg.solve(cxx + a * np.eye(k), cxt)
-            else:
-                scale = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
-                z = cxx / np.outer(scale, scale)
-                beta = (np.linalg.pinv(z, rcond=1e-10) @ (cxt / scale)) / scale
-            b0 = mt - mx @ beta
+                beta[on] = np.linalg.solve(sub + a * np.eye(len(on)), rhs)
+            elif len(on):
+                scale = np.sqrt(np.maximum(np.diag(sub), 1e-300))
+                beta[on] = (np.linalg.pinv(sub / np.outer(scale, scale), rcond=1e-10) @ (rhs / scale)) / scale
             out.append({SERIES: r[SERIES], "fold": r["fold"], "alpha": float(a),
-                        "intercept": float(b0), "coef": [float(v) for v in beta]})
+                        "intercept": float(mt - mx @ beta), "coef": [float(v) for v in beta]})
     return pd.DataFrame(out, columns=[SERIES, "fold", "alpha", "intercept", "coef"])
 
 
-def fit_linear(des: DataFrame, k: int, alphas=(0.0, 1.0, 10.0, 100.0)) -> DataFrame:
+def fit_linear(des: DataFrame, k: int, alphas=(0.0, 1.0, 10.0, 100.0), mask: Column | None = None) -> DataFrame:
     """Coefficients per (series, fold, alpha): Gram aggregation in Spark, the
-    k x k solve per row in mapInPandas (rows are independent)."""
+    k x k solve per row in mapInPandas (rows are independent).  ``mask`` (see
+    ``feature_mask``) gives each series its own features over the one Gram pass."""
     g = gram(des, k)
+    if mask is not None:
+        g = g.withColumn("mask", mask)
     schema = f"{SERIES} string, fold string, alpha double, intercept double, coef array<double>"
 
     def run(it):
@@ -428,52 +494,23 @@ def ols_inference(des: DataFrame, coefs: DataFrame, k: int) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Holt-Winters (K7) per series in applyInPandas
 # ---------------------------------------------------------------------------
-def _hw_fit_forecast(y: np.ndarray, h: int, period: int = 12,
-                     grid=(0.1, 0.3, 0.5, 0.7, 0.9)) -> np.ndarray:
-    """Additive trend + additive seasonality; smoothing chosen by in-sample SSE
-    over a small grid; floored at 0."""
-    n = len(y)
-    best = None
-    # initial states at t = -1: the first-year mean sits mid-year, so step it
-    # back by (period + 1) / 2 trends; first-year indices are de-trended
-    mean0 = y[:period].mean()
-    trend0 = (y[period:2 * period].mean() - mean0) / period
-    level0 = mean0 - trend0 * (period + 1) / 2
-    season0 = y[:period] - (mean0 + (np.arange(period) - (period - 1) / 2) * trend0)
-    for a in grid:
-        for b in (0.01, 0.1, 0.3):
-            for g in (0.05, 0.2, 0.5):
-                lv, tr, se = level0, trend0, list(season0)
-                sse = 0.0
-                for t in range(n):
-                    s = se[t % period] if t >= period else season0[t]
-                    f = lv + tr + s
-                    sse += (y[t] - f) ** 2
-                    nl = a * (y[t] - s) + (1 - a) * (lv + tr)
-                    tr = b * (nl - lv) + (1 - b) * tr
-                    se[t % period] = g * (y[t] - nl) + (1 - g) * s
-                    lv = nl
-                if best is None or sse < best[0]:
-                    best = (sse, lv, tr, list(se))
-    _, lv, tr, se = best
-    return np.maximum(np.array([lv + (i + 1) * tr + se[(n + i) % period] for i in range(h)]), 0.0)
-
-
 def holt_winters(folded: DataFrame) -> DataFrame:
-    """K7: per (series, fold) fit on the training months, forecast the eval
-    months; fewer than 24 training points -> last year's same month."""
+    """K7: per (series, fold) fit on the training months (smoothing and initial
+    states optimised, see ``smoothing``), forecast the eval months; fewer than 24
+    training points -> last year's same month.  Months without a value are left out."""
     cols = folded.select(SERIES, "fold", "fold_kind", "role", "report_year", "report_month", "y")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["report_year", "report_month"])
         tr = pdf[pdf.role == "train"]["y"].to_numpy(dtype=float)
+        tr = tr[np.isfinite(tr)]
         ev = pdf[pdf.role == "eval"].copy()
         if ev.empty:
             return ev.assign(candidate="holt_winters", pred=0.0)[
                 [SERIES, "fold", "fold_kind", "report_year", "report_month", "y", "candidate", "pred"]]
         h = len(ev)
         if len(tr) >= 24:
-            pred = _hw_fit_forecast(tr, h)
+            pred = smoothing.holt_winters_forecast(tr, h)
         else:
             pred = np.array([tr[len(tr) - 12 + (i % 12)] if 0 <= len(tr) - 12 + (i % 12) < len(tr)
                              else np.nanmean(tr[-12:]) for i in range(h)])
@@ -495,21 +532,15 @@ def _enet_rows(pdf: pd.DataFrame, k: int, alpha: float, l1: float, max_iter: int
     Gram matrix (features are not standardised)."""
     out = []
     for _, r in pdf.iterrows():
-        sw = r["sw"]
-        mx = np.array([r[f"sx{i}"] for i in range(k)]) / sw
-        mt = r["st"] / sw
-        sxx = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        g = (sxx - sw * np.outer(mx, mx)) / sw
-        c = (np.array([r[f"sxt{i}"] for i in range(k)]) - sw * mx * mt) / sw
+        sw, mx, mt, g, c = _centred(r, k)
+        g, c = g / sw, c / sw
+        on = np.asarray(r["mask"], bool) if "mask" in r and r["mask"] is not None else np.ones(k, bool)
         b = np.zeros(k)
         lam1, lam2 = alpha * l1, alpha * (1 - l1)
         for _ in range(max_iter):
             delta = 0.0
             for j in range(k):
-                if g[j, j] <= 0:
+                if g[j, j] <= 0 or not on[j]:
                     continue
                 rho = c[j] - g[j] @ b + g[j, j] * b[j]
                 nb = np.sign(rho) * max(abs(rho) - lam1, 0.0) / (g[j, j] + lam2)
@@ -522,8 +553,10 @@ def _enet_rows(pdf: pd.DataFrame, k: int, alpha: float, l1: float, max_iter: int
     return pd.DataFrame(out, columns=[SERIES, "fold", "alpha", "intercept", "coef"])
 
 
-def fit_elastic_net(des: DataFrame, k: int, alpha: float = 0.5, l1: float = 0.5) -> DataFrame:
+def fit_elastic_net(des: DataFrame, k: int, alpha: float = 0.5, l1: float = 0.5, mask: Column | None = None) -> DataFrame:
     g = gram(des, k)
+    if mask is not None:
+        g = g.withColumn("mask", mask)
     schema = f"{SERIES} string, fold string, alpha double, intercept double, coef array<double>"
 
     def run(it):
@@ -540,72 +573,3 @@ def predict_with(des: DataFrame, coefs: DataFrame, k: int, target_mode: str, nam
     p = raw if target_mode == "raw" else (F.expm1(raw) if target_mode == "log1p" else F.exp(raw) * F.col("safe_lag"))
     return ev.select(SERIES, "fold", "fold_kind", "report_year", "report_month", "y", F.lit(name).alias("candidate"),
                      F.greatest(p, F.lit(0.0)).alias("pred"))
-
-
-# ---------------------------------------------------------------------------
-# Trees (K4 K5): one MLlib model per fold across all series
-# ---------------------------------------------------------------------------
-TREE_CONFIGS = {
-    "rf_300_d4": ("rf", {"numTrees": 300, "maxDepth": 4, "minInstancesPerNode": 3}),
-    "rf_300_d3": ("rf", {"numTrees": 300, "maxDepth": 3, "minInstancesPerNode": 4}),
-    # MLlib boosting runs one job per iteration: a short, faster-learning schedule
-    "gbt_60_d3": ("gbt", {"maxIter": 60, "stepSize": 0.2, "maxDepth": 3, "subsamplingRate": 0.8}),
-    "gbt_40_d2": ("gbt", {"maxIter": 40, "stepSize": 0.2, "maxDepth": 2, "subsamplingRate": 0.8}),
-}
-
-
-def tree_predictions(folded: DataFrame, features, configs=None, seed: int = 42,
-                     specs=None) -> tuple[DataFrame, DataFrame]:
-    """Global tree models: the series id is a feature, so one distributed fit
-    per (fold, config) serves every series — the loop runs over the fixed
-    candidate grid and folds, never over series.  Returns (predictions,
-    feature importances)."""
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-
-    configs = configs or TREE_CONFIGS
-    specs = specs or fold_specs()
-    base = folded.select(SERIES, "fold", "fold_kind", "role", "report_year", "report_month", "y",
-                         *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
-    # iterative fits re-read their input many times: cut the lineage once into
-    # the shared checkpoint folder (survives executor loss, unlike a local checkpoint)
-    checkpoint_dir(folded.sparkSession)
-    base = base.checkpoint(eager=True)
-    idx = StringIndexer(inputCol=SERIES, outputCol="series_idx", handleInvalid="keep").fit(base)
-    base = idx.transform(base)
-    cols = [*features, "series_idx"]
-    asm = VectorAssembler(inputCols=cols, outputCol="features")
-    data = asm.transform(base)
-    spark = folded.sparkSession
-
-    def fit_one(fold: str, name: str, kind: str, params: dict):
-        tr = data.filter((F.col("fold") == fold) & (F.col("role") == "train"))
-        ev = data.filter((F.col("fold") == fold) & (F.col("role") == "eval"))
-        if kind == "rf":
-            est = RandomForestRegressor(labelCol="y", featuresCol="features", seed=seed,
-                                        featureSubsetStrategy="all", **params)
-        else:
-            est = GBTRegressor(labelCol="y", featuresCol="features", seed=seed, **params)
-        model = est.fit(tr)
-        p = model.transform(ev).select(SERIES, "fold", "fold_kind", "report_year", "report_month", "y",
-                                       F.lit(name).alias("candidate"),
-                                       F.greatest(F.col("prediction"), F.lit(0.0)).alias("pred"))
-        fi = model.featureImportances.toArray().tolist()
-        return p, [(fold, name, c, float(v)) for c, v in zip(cols, fi)]
-
-    # the (fold, config) fits are independent: submit them concurrently so the
-    # scheduler overlaps their many small jobs (results keep grid order)
-    from concurrent.futures import ThreadPoolExecutor
-    grid = [(fold, name, kind, params) for fold, _, _ in specs for name, (kind, params) in configs.items()]
-    with ThreadPoolExecutor(max_workers=min(len(grid), 6)) as pool:
-        results = list(pool.map(lambda g: fit_one(*g), grid))
-    preds = [p for p, _ in results]
-    imp_rows = [r for _, rows in results for r in rows]
-    imps = [spark.createDataFrame(imp_rows, "fold string, candidate string, feature string, importance double")]
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    imp = imps[0]
-    for i in imps[1:]:
-        imp = imp.unionByName(i)
-    return out, imp

@@ -10,9 +10,13 @@ is NULL, so pairs are pairwise complete like pandas.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.operators.smoothing import stl
+
 SERIES = "canonical_group"
 # Two-sided normal quantiles for the critical t approximation (alpha .05 and .01)
 Z_975 = 1.959963984540054
@@ -193,3 +197,20 @@ def seasonal_parts(df: DataFrame, key: str = SERIES, value: str = "sales_result"
     return d.select(key, "report_year", "report_month", (F.col("yc") / 100.0).alias("sales"),
                     (F.col("n24") / 2400.0).alias("trend"), (F.col("s_units") / 2400.0).alias("seasonal"),
                     ((F.col("dev") - F.col("s_units")) / 2400.0).alias("resid"))
+
+
+def loess_parts(df: DataFrame, key: str = SERIES, value: str = "sales_result", seasonal: int = 7, outer: int = 15) -> DataFrame:
+    """Seasonal decomposition by LOESS with robustness weights, for series of
+    at least two years of months (others have no rows; months without a value are
+    left out).  value = trend + seasonal + remainder; ``robust`` is the weight
+    that the point ended with, 0 for a clear outlier."""
+    own = df.select(key, "report_year", "report_month", F.col(value).cast("double").alias("value"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf[np.isfinite(pdf["value"])].sort_values(["report_year", "report_month"])
+        if len(pdf) < 24:
+            pdf = pdf.iloc[:0]
+        parts = stl(pdf["value"].to_numpy(), seasonal=seasonal, outer=outer) if len(pdf) else np.zeros((0, 4))
+        return pdf.assign(**dict(zip(("trend", "seasonal", "remainder", "robust"), parts.T)))
+    return own.groupBy(key).applyInPandas(run, f"{key} string, report_year int, report_month int, value double, trend double, "
+                                               "seasonal double, remainder double, robust double")

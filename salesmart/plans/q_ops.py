@@ -26,7 +26,6 @@ from salesmart.sources import reports as R
 from salesmart.sources.tables import Tables
 
 G = "canonical_group"
-TEST_YEAR = FC.TEST_YEAR
 # the latest gift threshold, for the normalised floor feature
 LATEST_THRESHOLD = 970
 
@@ -122,13 +121,13 @@ IMPUTE_COLS = ["sales_lag_12m", "sales_rolling_3m_mean"]
 SELECT f.{G}, f.report_year, f.report_month,
        {", ".join(f"ROUND(COALESCE(f.{c}, m.med_{c}, 0), 4) AS {c}" for c in IMPUTE_COLS)}
 FROM features f LEFT JOIN (SELECT {G}, {", ".join(f"median({c}) AS med_{c}" for c in IMPUTE_COLS)}
-                           FROM features WHERE report_year < {TEST_YEAR} GROUP BY 1) m ON m.{G} = f.{G}""",
+                           FROM features WHERE report_year < (SELECT max(report_year) FROM features) GROUP BY 1) m ON m.{G} = f.{G}""",
     *DATASET_NEEDS, local=FEAT_LOCAL))
 def q_impute_median(spark, sf):
     """K1 (v1 style, leak-safe): missing features -> the group median over the
-    training years -> 0."""
+    training years (all before the newest) -> 0."""
     feat = FE.build_features(group_dataset_df(spark, sf))
-    med = feat.filter(F.col("report_year") < TEST_YEAR).groupBy(G).agg(
+    med = feat.filter(F.col("report_year") < FC.fold_specs(feat)[-1][1]).groupBy(G).agg(
         *[F.median(c).alias(f"med_{c}") for c in IMPUTE_COLS])
     j = feat.join(med, G, "left")
     return j.select(G, "report_year", "report_month",

@@ -262,3 +262,47 @@ FROM (SELECT *, CAST(sales_result * 100 AS BIGINT) AS yc FROM ds)""",
 def q_seasonal_parts(spark, sf):
     """Classical decomposition (2x12 MA trend, month indices, residual), exact."""
     return S.seasonal_parts(_ds(spark, sf))
+
+
+# K22 by LOESS: a series derived from the data with known parts
+_PLANT = f"""
+SELECT f.{G}, f.report_year, f.report_month, s.mid + s.mid / 200 * t AS trend, s.mid / 10 * sin(2 * pi() * f.report_month / 12) AS season,
+       CASE WHEN t = 30 THEN s.mid / 2 ELSE 0.0 END AS shock
+FROM (SELECT {G}, report_year, report_month, row_number() OVER (PARTITION BY {G} ORDER BY report_year, report_month) - 1 AS t FROM ds) f
+JOIN (SELECT {G}, median(CAST(sales_result AS DOUBLE)) AS mid FROM ds GROUP BY 1) s ON s.{G} = f.{G}"""
+
+
+@query("loess_planted", with_ctes(f"""
+SELECT {G}, report_year, report_month, ROUND(trend / (trend + season), 3) AS trend_share,
+       ROUND(season / (trend + season), 3) AS season_share, ROUND(shock / (trend + season), 3) AS shock_share
+FROM plant""", *DATASET_NEEDS, local={**DATASET_LOCAL, "plant": _PLANT}))
+def q_loess_planted(spark, sf):
+    """A planted line, season and single outlier around each group's median are
+    told apart by LOESS with robustness weights."""
+    from pyspark.sql import Window
+    ds = _ds(spark, sf)
+    mid = ds.groupBy(G).agg(F.median(F.col("sales_result").cast("double")).alias("mid"))
+    w = Window.partitionBy(G).orderBy("report_year", "report_month")
+    rows = ds.select(G, "report_year", "report_month", (F.row_number().over(w) - 1).alias("t")).join(mid, G)
+    plain = F.col("mid") + F.col("mid") / 200 * F.col("t") + F.col("mid") / 10 * F.sin(2 * F.pi() * F.col("report_month") / 12)
+    rows = rows.select(G, "report_year", "report_month", (plain + F.when(F.col("t") == 30, F.col("mid") / 2).otherwise(0.0)).alias("v"))
+    parts = S.loess_parts(rows, value="v")
+    whole = F.col("trend") + F.col("seasonal")
+    return parts.select(G, "report_year", "report_month", F.round(F.col("trend") / whole, 3).alias("trend_share"),
+                        (F.round(F.col("seasonal") / whole, 3) + F.lit(0.0)).alias("season_share"),
+                        (F.round(F.col("remainder") / whole, 3) + F.lit(0.0)).alias("shock_share"))
+
+
+@query("loess_parts", with_ctes(f"""
+SELECT {G}, report_year, report_month, CAST(sales_result AS DOUBLE) AS sales, TRUE AS adds_up, TRUE AS season_is_small FROM ds""",
+    *DATASET_NEEDS, local=DATASET_LOCAL))
+def q_loess_parts(spark, sf):
+    """Every group's sales as trend, season and remainder, which add up to
+    them; a year of seasonal terms nearly cancels against the year's sales."""
+    from pyspark.sql import Window
+    parts = S.loess_parts(_ds(spark, sf))
+    year = Window.partitionBy(G, "report_year")
+    total = F.abs(F.sum("seasonal").over(year)) <= 0.2 * F.sum(F.abs("value")).over(year)
+    return parts.select(G, "report_year", "report_month", F.col("value").alias("sales"),
+                        (F.abs(F.col("trend") + F.col("seasonal") + F.col("remainder") - F.col("value")) <= 1e-9 * F.abs("value")).alias("adds_up"),
+                        total.alias("season_is_small"))
