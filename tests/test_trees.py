@@ -134,7 +134,8 @@ def test_fits_by_group_with_masks_and_absent_features(spark):
     for r in fits:
         if r.part == "importance":
             used.setdefault((r.canonical_group, r.fold, r.candidate), {})[r.feature] = r.value
-    assert all(abs(sum(v.values()) - 1) < 1e-9 for v in used.values())
+    # on logarithms the tight penalty leaves no split, and no importance
+    assert all(abs(sum(v.values()) - 1) < 1e-9 or (c.endswith("boost_200_tight_log1p") and not any(v.values())) for (_, _, c), v in used.items())
     assert {tuple(sorted(v)) for (g, *_), v in used.items() if g == "GIFT_HIGH"} == {("month",)}
     assert {tuple(sorted(v)) for (g, *_), v in used.items() if g == "C"} == {("month", "sales_lag_12m")}
     facts = {(r.canonical_group, r.fold, r.candidate, r.feature): r.value for r in fits if r.part == "fit"}
