@@ -66,10 +66,10 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
     """Upsert ``batch`` into the Parquet table at ``path`` (created if absent).
 
     Returns the number of batch rows applied.  A batch with several rows for a
-    key needs ``order_col``.  Only touched partitions are rewritten; the merged partitions are checkpointed (reliable checkpoint in
-    the shared checkpoint folder) before the overwrite."""
+    key needs ``order_col``.  Only touched partitions are rewritten; the merged
+    partitions are checkpointed (reliable checkpoint in the shared checkpoint
+    folder) before the overwrite.  The session's settings stay as they are."""
     checkpoint_dir(spark)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         current = spark.read.parquet(path)
     except AnalysisException as e:
@@ -87,7 +87,7 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
         cur = current.join(touched, partition_cols, "left_semi").select(*data_cols)
         merged = upsert(cur, batch, keys, order_col)
     merged = merged.checkpoint(eager=True)
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
     return batch.count()   # of the checkpointed rows
 
 

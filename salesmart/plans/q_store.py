@@ -61,13 +61,16 @@ def q_coefficients_saved(spark, sf):
 
 
 @query("merge_store_dim", with_ctes("""
-SELECT store_id, store_code, CASE WHEN store_id % 3 = 0 THEN store_name || ' (new)' ELSE store_name END AS store_name, store_type
-FROM dim_store WHERE store_id % 2 = 0 OR store_id % 3 = 0""", "dim_store"))
+SELECT store_id, store_code, CASE WHEN store_id % 3 = 0 OR store_id % 2 <> 0 THEN store_name || ' (new)' ELSE store_name END AS store_name,
+       store_type FROM dim_store""", "dim_store"))
 def q_merge_store_dim(spark, sf):
-    """Store rows merged by id: known ones renamed, unknown ones added."""
+    """Store rows merged by id: known ones renamed, unknown ones added.  The
+    old table holds the even ids; the batch renames a third of all stores and
+    adds every store that the old table lacks, so all stores reach the result."""
     dim = B.dim_store(Tables(spark, sf)).select("store_id", "store_code", "store_name", "store_type")
-    batch = dim.filter(F.col("store_id") % 3 == 0).withColumn("store_name", F.concat("store_name", F.lit(" (new)")))
-    return U.upsert(dim.filter(F.col("store_id") % 2 == 0), batch, ["store_id"])
+    known = F.col("store_id") % 2 == 0
+    batch = dim.filter((F.col("store_id") % 3 == 0) | ~known).withColumn("store_name", F.concat("store_name", F.lit(" (new)")))
+    return U.upsert(dim.filter(known), batch, ["store_id"])
 
 
 @query("merge_metrics", with_ctes("""

@@ -59,7 +59,7 @@ def test_stream_daily_upsert_matches_batch(spark):
     from salesmart.streaming.daily_upsert import day_totals, run_daily_upsert
     sf = "/root/testdata/sf0.001"
     target = run_daily_upsert(spark, sf, glob="events.parquet")
-    got = {(r.day, r.event_type): (r.n_events, r.total_value) for r in day_totals(spark.read.parquet(target)).collect()}
+    got = {(r.day, r.event_type): (r.n_events, r.total_value) for r in day_totals(spark, target).collect()}
     ev = spark.read.parquet(f"{sf}/events.parquet")
     exp = {(r.day, r.event_type): (r.n, r.v) for r in ev.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(18,2)").alias("v"))
@@ -78,10 +78,77 @@ def test_stream_keeps_late_events_of_a_folder_table(spark, scratch):
     ev.filter(F.col("event_id") <= mid).repartition(3).write.mode("append").parquet(source)
     for _ in range(2):
         run_daily_upsert(spark, source, target_path=target, checkpoint_path=state, max_files_per_trigger=1)
-        got = day_totals(spark.read.parquet(target))
+        got = day_totals(spark, target)
         assert got.agg(F.sum("n_events")).first()[0] == ev.count()
 
 
+def _events(spark, scratch):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    source = f"{scratch}/events"
+    ev.where(half).repartition(3).write.parquet(source)
+    return ev, half, source
+
+
+def test_fresh_checkpoint_on_an_old_table_counts_each_file_once(spark, scratch):
+    from salesmart.streaming.daily_upsert import day_totals, run_daily_upsert
+    ev, half, source = _events(spark, scratch)
+    for state in ("a", "b"):       # the second stream knows nothing of the first
+        run_daily_upsert(spark, source, target_path=f"{scratch}/t", checkpoint_path=f"{scratch}/{state}")
+    assert day_totals(spark, f"{scratch}/t").agg(F.sum("n_events")).first()[0] == ev.where(half).count()
+    ev.where(~half).repartition(2).write.mode("append").parquet(source)
+    for state in ("a", "c", "c"):
+        run_daily_upsert(spark, source, target_path=f"{scratch}/t", checkpoint_path=f"{scratch}/{state}", max_files_per_trigger=1)
+    got = {(r.day, r.event_type): (r.n_events, r.last_ts) for r in day_totals(spark, f"{scratch}/t").collect()}
+    assert got == {(r.d, r.event_type): (r.n, r.l) for r in ev.groupBy(F.to_date("ts").alias("d"), "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("ts").alias("l")).collect()}
+
+
+def test_compaction_keeps_totals_and_ledger_and_drops_old_folders(spark, scratch):
+    from salesmart.streaming.daily_upsert import day_table, day_totals, run_daily_upsert
+    ev, half, source = _events(spark, scratch)
+    target = f"{scratch}/t"
+    run_daily_upsert(spark, source, target_path=target, checkpoint_path=f"{scratch}/a", max_files_per_trigger=1, compact_after=2)
+    table = day_table(spark, target)
+    assert table.generations()[-1] == 1 and table.ledger().count() == 3
+    before = sorted(map(tuple, day_totals(spark, target).collect()))
+    for n in (2, 3, 4):
+        assert table.compact() == n
+    assert table.generations() == [3, 4] and len(os.listdir(f"{target}/gen=4/partials")) == 1
+    run_daily_upsert(spark, source, target_path=target, checkpoint_path=f"{scratch}/b")
+    assert sorted(map(tuple, day_totals(spark, target).collect())) == before and table.ledger().count() == 3
+
+
+def test_uncommitted_runs_are_not_read(spark, scratch):
+    """A load that was lost before its ledger rows, and a compaction before its mark."""
+    from salesmart.streaming.daily_upsert import day_partials, day_table, day_totals
+    ev, half, source = _events(spark, scratch)
+    rows = spark.read.parquet(source).select("*", F.col("_metadata.file_path").alias("file"))
+    table = day_table(spark, f"{scratch}/t")
+    assert table.totals().count() == 0 and table.ledger().count() == 0
+    table.load(rows, day_partials)
+    day_partials(ev).write.parquet(f"{scratch}/t/gen=0/partials/run=lost")
+    day_partials(ev).write.parquet(f"{scratch}/t/gen=1/partials/run=lost")
+    assert day_totals(spark, f"{scratch}/t").agg(F.sum("n_events")).first()[0] == ev.where(half).count()
+    assert table.compact() == 1
+    assert day_totals(spark, f"{scratch}/t").agg(F.sum("n_events")).first()[0] == ev.where(half).count()
+    table.load(rows.limit(0), day_partials)      # nothing new changes nothing
+    assert day_totals(spark, f"{scratch}/t").agg(F.sum("n_events")).first()[0] == ev.where(half).count()
+
+
+def test_merge_keeps_the_callers_overwrite_mode(spark, scratch):
+    rows = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, p string, v double")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        U.merge_into_path(spark, f"{scratch}/m", rows, ["k"], ["p"])
+        U.merge_into_path(spark, f"{scratch}/m", rows.where("k = 2").withColumn("v", F.lit(9.0)), ["k"], ["p"])
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert {(r.k, r.v) for r in spark.read.parquet(f"{scratch}/m").collect()} == {(1, 1.0), (2, 9.0)}
+
+
 def test_merge_into_path_refuses_doubtful_batches(spark, scratch):
     rows = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, v double")
     with pytest.raises(ValueError):
