@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PLAN_MODULES = ["q_marts", "q_text", "q_ingest", "q_quality", "q_upsert", "q_macro",
-                "q_features", "q_stats", "q_forecast", "q_stream", "q_ops", "q_store"]
+                "q_features", "q_stats", "q_forecast", "q_stream", "q_ops", "q_store", "q_views"]
 
 
 def query(name: str, oracle: str | None = None):
