@@ -14,7 +14,9 @@ potentials of their own besides.
 
 Defined results: null html is empty; a page without content blocks has an empty
 text; unclosed or misplaced tags are closed where HTML closes them; an unclosed
-comment or script runs to the end; repeated rows are extracted alike; an empty
+comment or script runs to the end; a drawing, template or control without an end
+tag ends at the next block, an empty drawing at its slash; formulas and the
+fallback of embedded objects are text like any other; repeated rows are extracted alike; an empty
 table gives an empty frame.  Only `page_id`, `url` and `html` are read.
 """
 
@@ -38,10 +40,14 @@ OUTSIDE, CONTENT, BOILERPLATE = range(3)
 
 # HTML's elements without an end tag, with raw text, and inside a line of text.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "select", "button", "object"}
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe"}
+# Elements whose text is no page text: controls, drawings, and what is not shown.
+MUTE = {"template", "svg", "select", "button"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
-          "time", "tt", "u", "var"}
+          "time", "tt", "u", "var", "object",
+          "math", "mi", "mo", "mn", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover",
+          "munderover", "mspace", "mstyle", "mtable", "mtr", "mtd", "mpadded", "mphantom", "menclose", "semantics", "annotation"}
 # Which open elements a start tag closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "thead": {"tr"}, "tbody": {"tr", "thead"}, "tfoot": {"tr", "tbody"}}
@@ -58,8 +64,9 @@ LIMIT = 2.0
 #: Least probability of each change of state from parent to child: boilerplate holds no content.
 LEAST = np.array([[0.004, 0.004, 0.004], [0.004, 0.004, 0.01], [0.004, 1e-6, 0.004]])
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>"""
-                  r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
+# a quote delimits a value only where the value begins; elsewhere it is a character like any other
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"""
+                  r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)""", re.S)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
 _END = {s: re.compile(rf"</{s}\s*>|\Z", re.I) for s in RAW}
@@ -92,10 +99,38 @@ def _names(attrs: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(out))
 
 
+def mute_end(source: str, at: int, name: str, ends: bool) -> int:
+    """Where a muted element that begins before `at` ends: after its end tag, or,
+    if it has none, before the next tag of a block.  Controls do not nest: another
+    one of the kind shows that this one has no end tag.  `ends`: whether an end
+    tag of the kind follows at all."""
+    depth, after, block = 1, at, None
+    while m := _TAG.search(source, after):
+        after = m.end()
+        own = (m[2] or "").lower()
+        if own in RAW and not m[1]:
+            after = _END[own].search(source, after).end()
+        elif own == name:
+            if m[1]:
+                depth -= 1
+                if depth == 0:
+                    return m.end()
+            elif name in ("select", "button"):
+                return m.start() if block is None else block
+            elif not m[3].rstrip().endswith("/"):
+                depth += 1
+        elif own and block is None and own not in INLINE and own not in VOID and own not in MUTE and own not in ("option", "optgroup"):
+            block = m.start()
+            if name == "select" or not ends:      # it holds only options
+                break
+    return len(source) if block is None else block
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack: list[tuple[str, int]] = [("", page.add(-1, "", ()))]   # (tag, node of its block element)
     held: list[str] = []
+    last_end: dict[str, int] = {}     # where the last end tag of a muted element stands
     linked = 0
 
     def flush() -> None:
@@ -122,10 +157,9 @@ def parse(source: str) -> Page:
         if not m:
             break
         at = m.end()
-        name = m[2] or m[5]
-        if name is None:
+        if m[2] is None:
             continue
-        name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        name, closing, attrs = m[2].lower(), m[1], m[3]
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == name:
@@ -140,6 +174,13 @@ def parse(source: str) -> Page:
             e = _END[name].search(source, at)
             at = e.end()
             continue
+        if name in MUTE:
+            if not (name == "svg" and attrs.rstrip().endswith("/")):
+                if name not in last_end:
+                    last_end[name] = max((e.start() for e in re.finditer(rf"</{name}", source, re.I)), default=-1)
+                at = mute_end(source, at, name, last_end[name] >= at)
+            held.append(" " if name in ("select", "button") else "")
+            continue
         if name in VOID:
             held.append(" ")
             if name == "hr":

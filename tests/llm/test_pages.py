@@ -118,3 +118,33 @@ def test_html_held_out_pages_of_the_table(spark):
         right += r.text == want
         n += 1
     assert right == n
+
+
+SECOND = "<article><p>First paragraph here.</p>%s<p>Second paragraph there.</p></article>"
+
+
+@pytest.mark.parametrize("between,extra", [
+    ('<svg width="1"/>', []), ("<math/>", []), ("<select><option>One", []), ("<button>Go", []), ("<svg>", []), ("<template>", []),
+    ('<svg><path d="M1"/><text>no</text></svg>', []), ("<button><div>Go</div></button>", []), ("<svg><svg/></svg>", []),
+    ("<template><p>x</p><template>y</template></template>", []), ("<select><option>1</select>", []),
+    ("<button>A <button>B</button>", []), ("<button>A<p>mid</p><button>B</button>", ["mid"]),
+    ("<object data=x>fallback</object>", ["fallback"]), ("<script>'<svg>'</script>", []), ("<!-- <select> -->", [])])
+def test_nothing_after_a_muted_element_is_lost(between, extra):
+    got = [x for x in mainhtml.parse(SECOND % between).text if x]
+    assert got == ["First paragraph here.", *extra, "Second paragraph there."]
+
+
+@pytest.mark.parametrize("page,blocks", [
+    ("<p title=it's>Hello there, it's me.</p><p>Next block.</p>", ["Hello there, it's me.", "Next block."]),
+    ("<p class=\"a>b\" id='c>d'>x</p><p class = \"q\">y</p><p class=>z</p><a href=a?b=c>k</a>", ["x", "y", "z", "k"]),
+    ("<p data-x=\"1\"y=2>t</p>", ["t"]), ("<p title=a\"b>one</p><p title='it'>two</p>", ["one", "two"]),
+    ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p>", ["a x=1 b"]), ("<p>Say \"hi\"</p><p>It's</p>", ['Say "hi"', "It's"])])
+def test_quotes_delimit_only_where_a_value_begins(page, blocks):
+    assert [x for x in mainhtml.parse(page).text if x] == blocks
+
+
+def test_many_unclosed_elements_are_parsed_in_linear_time():
+    import time
+    begin = time.process_time()
+    page = mainhtml.parse("<p>x<svg><button>" * 20_000)
+    assert len([x for x in page.text if x]) == 20_000 and time.process_time() - begin < 20
