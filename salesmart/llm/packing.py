@@ -61,6 +61,9 @@ class ChunkTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task is one thread
         from tokenizers import Tokenizer
         self.own = Tokenizer.from_file(path)
+        vocabulary = self.own.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)      # ids that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -69,16 +72,45 @@ class ChunkTokenizer:
         self.offsets = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _add(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        ids = [e.ids for i in range(0, len(chunks), BATCH)
-               for e in self.own.encode_batch_fast(chunks[i:i + BATCH], add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        number = len(self.offsets) - 1 + np.arange(len(ids))
+    def _ids(self, chunks: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks in order, their number for each chunk).  A `plain`
+        chunk of letters a-z is one word, whose last id is the only one that ends
+        a word, so that many of them can be given to the tokenizer as one text."""
+        size = np.zeros(len(chunks), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []      # (places of chunks, their ids)
+        rest = [np.flatnonzero(~plain)]
+        at = np.flatnonzero(plain)
+        for i in range(0, len(at), BATCH):
+            own = at[i:i + BATCH]
+            ids = np.array(self.own.encode(" ".join([chunks[j] for j in own.tolist()]), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(own):       # a vocabulary without such marks
+                rest.append(own)
+                continue
+            size[own] = np.diff(ends, prepend=-1)
+            parts.append((own, ids))
+        for at in rest:
+            for i in range(0, len(at), BATCH):
+                own = at[i:i + BATCH]
+                ids = [e.ids for e in self.own.encode_batch_fast([chunks[j] for j in own.tolist()], add_special_tokens=False)]
+                size[own] = np.fromiter(map(len, ids), np.int64, len(ids))
+                parts.append((own, np.array(list(chain.from_iterable(ids)), np.uint32)))
+        begin = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.uint32)
+        for own, ids in parts:
+            n = size[own]
+            flat[np.arange(len(ids)) + np.repeat(begin[own] - (np.cumsum(n) - n), n)] = ids
+        return flat, size
+
+    def _add(self, hashes: np.ndarray, chunks: list[str], plain: np.ndarray) -> np.ndarray:
+        flat, size = self._ids(chunks, plain)
+        number = len(self.offsets) - 1 + np.arange(len(chunks))
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(size)])
-        self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(ids)), np.uint32)])
+        self.flat = np.concatenate([self.flat, flat])
         at = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, at, hashes)
         self.number = np.insert(self.number, at, number)
+        return number
 
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text) of UTF-8 bytes."""
@@ -93,16 +125,19 @@ class ChunkTokenizer:
             cut[1:] = _SPLITS[_KIND[data[:-1]], _KIND[data[1:]]]
         kind = _KIND[data]
         start, end, row = word_spans(kind == _SPACE, offs, cut)
-        h = range_hashes(data, start, end)
+        # each distinct chunk of the slice is looked up once, in the order of the table
+        h, first, inverse = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, h)
         at[at == len(self.known)] = 0
-        miss = self.known[at] != h if len(self.known) else np.ones(len(h), bool)
-        if miss.any():
-            new, first = np.unique(h[miss], return_index=True)
-            where = np.flatnonzero(miss)[first]
-            self._add(new, [raw[s:e].decode() for s, e in zip(start[where].tolist(), end[where].tolist())])
-            at = np.searchsorted(self.known, h)
-        number = self.number[at]
+        hit = self.known[at] == h if len(self.known) else np.zeros(len(h), bool)
+        number = np.zeros(len(h), np.int64)
+        number[hit] = self.number[at[hit]]
+        if not hit.all():
+            where = first[~hit]
+            letters = np.concatenate([[0], np.cumsum((data >= 0x61) & (data <= 0x7A))])
+            plain = letters[end[where]] - letters[start[where]] == end[where] - start[where]
+            number[~hit] = self._add(h[~hit], [raw[s:e].decode() for s, e in zip(start[where].tolist(), end[where].tolist())], plain)
+        number = number[inverse]
         base = self.offsets[number]
         count = self.offsets[number + 1] - base
         ends = np.concatenate([[0], np.cumsum(count)])
