@@ -3,11 +3,15 @@ incremental job list, unknown-store policies (I1 I2 F6 B10 L4 J7-J10 C9-C11 B6 B
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from salesmart.operators import ingest as I
+from salesmart.operators import quality as Q
 from salesmart.plans.oracle_base import cte, with_ctes
 from salesmart.plans.registry import query
+from salesmart.session import checkpoint_dir
 from salesmart.sources import bindings as B
 from salesmart.sources import reports as R
 from salesmart.sources.tables import Tables
@@ -72,6 +76,39 @@ def q_personnel_range(spark, sf):
                                         F.count_if(F.col("ft_expense") < 0).alias("n_negative"))
 
 
+def _parsed_range_sql():
+    def count(c, below):
+        lo, hi = Q.RANGE_CHECKS[c]
+        if c not in R.FAULTS or (lo if below else hi) is None or below != R.FAULTS[c].startswith("("):
+            return "COUNT(*) FILTER (WHERE FALSE)"
+        k = list(R.FAULTS).index(c)
+        return f"COUNT(*) FILTER (WHERE record_type = 'DAILY' AND store_id % 20 % {R.FAULT_CYCLE} = {k})"
+    bound = {None: "CAST(NULL AS DOUBLE)"}
+    return " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, {bound.get(lo, f'CAST({lo} AS DOUBLE)')} AS lo, {bound.get(hi, f'CAST({hi} AS DOUBLE)')} AS hi,
+       {count(c, True)} AS n_below, {count(c, False)} AS n_above FROM expected_records""" for c, (lo, hi) in Q.RANGE_CHECKS.items())
+
+
+@query("range_audit_parsed", with_ctes(_parsed_range_sql(), "expected_records"))
+def q_range_audit_parsed(spark, sf):
+    """All nine checked columns of the parsed reports, each with values out of
+    its range, before the personnel measures are blanked."""
+    t = Tables(spark, sf)
+    return Q.range_audit(I.parsed_records(R.faulty_cells(t, [m for m, _ in I.MEASURES]), R.positions(t)))
+
+
+@query("report_listing", f"""
+SELECT d AS report_date, COUNT(*) AS n_files FROM (
+  SELECT DISTINCT CAST(l_shipdate AS DATE) AS d, l_suppkey // {R.STORES_PER_BLOCK} AS block FROM lineitem
+  UNION ALL SELECT DISTINCT CAST(l_shipdate AS DATE), -1 FROM lineitem WHERE day(CAST(l_shipdate AS DATE)) = 1) GROUP BY d""")
+def q_report_listing(spark, sf):
+    """A1: the report folders listed by file metadata, files by the date in their
+    names; names without a valid date are dropped."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/salesmart-reports/{uuid.uuid4().hex}"
+    R.write_files(R.delivered_names(Tables(spark, sf)), root)
+    return I.list_report_files(spark, root).groupBy("report_date").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 _LAYOUT_VALUES = ", ".join(f"({i}, '{lbl}', {a}, {b})" for i, (lbl, a, b) in enumerate(R.LAYOUTS))
 
 

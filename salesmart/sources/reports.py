@@ -16,6 +16,7 @@ report page is a bounded group however large the store table is.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,6 +106,36 @@ def report_files(t: Tables) -> DataFrame:
         days.filter(F.dayofmonth("d") == 1).select(empty.alias("source_file")).distinct())
 
 
+def delivered_names(t: Tables) -> DataFrame:
+    """(folder, name) of everything that lies in the report folders: the reports
+    by year, and for each month a note without a date and a file whose name
+    holds an impossible one."""
+    named = report_files(t).withColumn("folder", F.regexp_extract("source_file", r" (\d{4})\.", 1))
+    months = t.lineitem.select(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m")).distinct()
+    month = F.date_format("m", "yyyyMM")
+    return named.select("folder", F.col("source_file").alias("name")).unionByName(
+        months.select(F.lit("notes").alias("folder"), F.concat(F.lit("NOTES "), month, F.lit(".pdf")).alias("name"))).unionByName(
+        months.select(F.lit("notes").alias("folder"), F.concat(F.lit("DAYREPORT 2001.13.45 "), month, F.lit(".pdf")).alias("name")))
+
+
+def write_files(names: DataFrame, root: str) -> int:
+    """Write a small file for each (folder, name) under ``root``, a folder that
+    all executors share; the number of files.  Tasks write their own rows; a task
+    that is repeated writes the same files again."""
+    def run(batches):
+        from pyarrow import fs
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            rows = batch.to_pylist()
+            for folder in {r["folder"] for r in rows}:
+                store.create_dir(f"{base}/{folder}", recursive=True)
+            for r in rows:
+                with store.open_output_stream(f"{base}/{r['folder']}/{r['name']}") as out:
+                    out.write(r["name"].encode())
+            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], names=["n"])
+    return names.select("folder", "name").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def positions(t: Tables) -> DataFrame:
     """(source_file, page, place, store_name): which store stands where, the
     fallback for lines without a label."""
@@ -135,6 +166,25 @@ def damaged_cells(t: Tables) -> DataFrame:
     return c.unionByName(odd.select("source_file", "page", "table_no", F.lit(1000).alias("pos"), stray.alias("cells")))
 
 
+# Out-of-range text in a DAILY line: measure -> what its cell holds, one fault for
+# each place on a page modulo the number of measures that are checked
+FAULTS = {"sales_result": "(10)", "sales_budget_pct": "123,456.7", "sales_yoy_pct": "(3)", "customer_count": "(7)",
+          "unit_price": "(1.50)", "ft_expense": "(5)", "pt_expense": "(2)", "total_personnel_expense": "(9)"}
+FAULT_CYCLE = len(FAULTS) + 1
+
+
+def faulty_cells(t: Tables, measures: list[str]) -> DataFrame:
+    """The report cells with one value out of range in most DAILY lines."""
+    line = (F.col("table_no") == 1) & (F.col("pos") >= 10) & (F.col("pos") % 2 == 0)
+    place = F.expr("(pos - 10) div 2") % FAULT_CYCLE
+    cells = F.col("cells")
+    for k, (measure, text) in enumerate(FAULTS.items()):
+        at = measures.index(measure) + 1      # behind the label
+        swapped = F.concat(F.slice("cells", 1, at), F.array(F.lit(text)), F.slice("cells", at + 2, 100))
+        cells = F.when(line & (place == k), swapped).otherwise(cells)
+    return report_cells(t).withColumn("cells", cells)
+
+
 # ---------------------------------------------------------------------------
 # Files per date and override rules
 # ---------------------------------------------------------------------------

@@ -37,6 +37,13 @@ class Tables:
             self._memo[key] = df
         return self._memo[key]
 
+    def only(self, name: str, condition) -> "Tables":
+        """These tables with only the rows of ``name`` that meet ``condition``:
+        the filter stands below all that is derived from the table."""
+        t = Tables(self.spark, self.sf_dir)
+        t.__dict__[name] = self.read(name).where(condition)
+        return t
+
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 

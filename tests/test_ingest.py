@@ -106,3 +106,23 @@ def test_bindings_report_cells_have_headers(spark):
     pages = c.select("source_file", "page").distinct().count()
     assert c.filter((F.col("table_no") == 1) & (F.col("pos") == 0)).count() == pages
     assert c.filter(F.col("table_no") == 2).count() == pages
+
+
+def test_written_report_files_are_listed_by_date(spark, scratch):
+    """A1: files in folders by year; names without a valid date are dropped."""
+    from salesmart.sources import reports as R
+    names = spark.createDataFrame([("1995", "DAYREPORT 1995.3.1 b0.pdf"), ("1995", "DAYREPORT 1995.3.1 b1.pdf"), ("1996", "DAYREPORT 1996.12.31 b0.pdf"),
+                                   ("notes", "NOTES 199503.pdf"), ("notes", "DAYREPORT 2001.13.45 x.pdf")], "folder string, name string")
+    root = f"file:{scratch}/reports"
+    assert R.write_files(names, root) == 5 and R.write_files(names, root) == 5      # a repeated write changes nothing
+    got = {str(r.report_date): r["count"] for r in I.list_report_files(spark, root).groupBy("report_date").count().collect()}
+    assert got == {"1995-03-01": 2, "1996-12-31": 1}
+    assert R.write_files(names.limit(0), root) == 0
+
+
+def test_tables_can_be_restricted_below_everything_derived(spark):
+    from pyspark.sql import functions as F
+    from salesmart.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    less = t.only("lineitem", F.col("l_quantity") > 45)
+    assert 0 < less.lineitem.count() < t.lineitem.count() and less.orders.count() == t.orders.count()
