@@ -8,13 +8,13 @@ that stand next to each other and have the same anchor are one run.
 
 1. Runs with equal bytes are one class; a class with two runs is repeated whole.
 2. Where an anchor has runs of several classes, the bytes of one run of each
-   class go to the anchor's task, which sorts the suffixes that begin a window,
-   cut at `length` bytes.  Equal neighbours are the same window and form a group;
-   all but the group's first place have an earlier copy.  No common prefixes,
-   smaller positions or longest previous factors are computed: only whether a
-   factor would reach `length` is asked, and groups tell that.  An anchor with
-   very many classes is dealt to several tasks, of whose windows one each is then
-   matched by a 128-bit hash.
+   class go to the anchor's task.  It sorts the suffixes that begin a window by
+   prefix doubling up to `length`, takes the common prefixes of neighbours, and
+   finds each suffix's previous and next smaller place in suffix order; the
+   longer of what it shares with the two is its longest previous factor.  A
+   window whose factor reaches `length` stands earlier.  An anchor with very many
+   classes is dealt to several tasks, of whose windows one each is then matched
+   by a 128-bit hash.
 3. Each document's repeated windows are cut out: with keep="none" all of them,
    with keep="first" all but those at the first (document, place).
 
@@ -182,14 +182,97 @@ def _runs(length: int, gram: int, words: bool = False):
     return run
 
 
-def suffix_array(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(`starts` in the order of the `length` bytes that begin there, whether
-    each shares all of them with the one before it)."""
-    raw = text.tobytes()
-    pieces = [raw[s:s + length] for s in starts.tolist()]
-    order = sorted(range(len(pieces)), key=pieces.__getitem__)
-    same = np.fromiter((i > 0 and pieces[order[i]] == pieces[order[i - 1]] for i in range(len(order))), bool, len(order))
-    return np.array(order, np.int64), same
+def prefix_ranks(symbols: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of the first k symbols of every suffix, for k = 1, 2, 4, ... below
+    `length` and `length` itself (bytes begin at 8), by prefix doubling.  A suffix
+    that is shorter than k counts as if a symbol smaller than all followed."""
+    n = len(symbols)
+    if symbols.dtype == np.uint8 and length >= 8:
+        padded = np.concatenate([symbols, np.zeros(8, np.uint8)])
+        k, key = 8, np.zeros(n, np.uint64)
+        for i in range(8):
+            key = (key << np.uint64(8)) | padded[i:i + n]
+    else:
+        k, key = 1, symbols.astype(np.uint64)
+    # a rank is the number of suffixes that are smaller, so a group's members keep their
+    # ranks' order when the group is split, and suffixes that are alone need no more work
+    rank, todo = np.zeros(n, np.uint64), np.arange(n)
+    out: list[tuple[int, np.ndarray]] = []
+    while True:
+        by = np.argsort(key)
+        sorted_ = key[by]
+        new = np.ones(len(by), bool)
+        new[1:] = sorted_[1:] != sorted_[:-1]
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(by)))
+        todo = todo[by]
+        if out:       # within their old group
+            old = rank[todo]
+            first = np.ones(len(by), bool)
+            first[1:] = old[1:] != old[:-1]
+            within = begin - np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))[begin]
+            rank[todo] = old + np.repeat(within, size).astype(np.uint64)
+        else:
+            rank[todo] = np.repeat(begin, size).astype(np.uint64)
+        out.append((k, rank.astype(np.uint32)))
+        if k >= length:
+            return out
+        todo = todo[np.repeat(size > 1, size)]
+        step = min(k, length - k)
+        after = np.zeros(len(todo), np.uint64)
+        inside = todo + step < n
+        after[inside] = rank[todo[inside] + step] + np.uint64(1)
+        key = (rank[todo] << np.uint64(32)) | after
+        k += step
+
+
+def common_prefixes(symbols: np.ndarray, ranks: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """How many symbols the suffixes at a and b share, `length` at most."""
+    done = np.where(ranks[-1][1][a] == ranks[-1][1][b], length, 0)
+    open_ = np.flatnonzero(done == 0)
+    x, y, have = a[open_], b[open_], np.zeros(len(open_), np.int64)
+    for k, rank in reversed(ranks[:-1]):
+        same = (have + k <= length) & (rank[np.minimum(x + have, len(rank) - 1)] == rank[np.minimum(y + have, len(rank) - 1)])
+        have += k * same
+    for _ in range(ranks[0][0] - 1):       # less than the first step is left
+        same = (have < length) & (symbols[np.minimum(x + have, len(symbols) - 1)] == symbols[np.minimum(y + have, len(symbols) - 1)])
+        have += same
+        if not same.any():
+            break
+    done[open_] = np.minimum(have, length)
+    return done
+
+
+def previous_factors(place: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Longest previous factors in suffix order: for each suffix the most that it
+    shares with one at a smaller place.  `place`: the places in suffix order;
+    `shared`: common prefix of each with the one before it.  The nearest smaller
+    places before and after a suffix in this order are its best earlier matches;
+    a stack holds the suffixes whose next smaller place is not known yet, each
+    with what it shares with its previous smaller one."""
+    out = [0] * len(place)
+    stack: list[tuple[int, int, int]] = []        # (place, index, shared with the previous smaller place)
+    for i, (p, common) in enumerate(zip(place.tolist(), shared.tolist())):
+        while stack and stack[-1][0] > p:
+            _, top, before = stack.pop()
+            out[top] = before if before > common else common
+            common = before if before < common else common
+        stack.append((p, i, common if stack else 0))
+    for _, top, before in stack:
+        out[top] = before
+    return np.array(out, np.int64)
+
+
+def suffix_order(symbols: np.ndarray, starts: np.ndarray, place: np.ndarray, length: int):
+    """(`starts` in the order of the `length` symbols that begin there, equal ones
+    by `place`; what each shares with the one before it)."""
+    ranks = prefix_ranks(symbols, length)
+    order = np.lexsort((place, ranks[-1][1][starts]))
+    shared = np.zeros(len(order), np.int64)
+    if len(order) > 1:
+        own = starts[order]
+        shared[1:] = common_prefixes(symbols, ranks, own[:-1], own[1:], length)
+    return order, shared
 
 
 def _extract(length: int, words: bool = False):
@@ -234,17 +317,20 @@ def _match(length: int, keep_first: bool, size: int = 1):
         of = np.repeat(np.arange(len(count)), count)
         ends = np.cumsum(count)
         at = np.arange(ends[-1]) - np.repeat(ends - count, count)
-        order, same = suffix_array(data, offs[of] + at * size, length * size)
-        # between differing neighbours all suffixes are one window; the one at the smallest
-        # position has no equal window before it, all others have
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(~same) - 1
-        by = np.lexsort((lo[of] + at, h[of], doc[of], group))
-        lead = np.ones(len(by), bool)
-        lead[1:] = group[by][1:] != group[by][:-1]
-        earlier = np.ones(len(by), bool)      # an equal window stands before it
-        earlier[by[lead]] = False
-        drop = earlier if keep_first else np.bincount(group)[group] > 1
+        starts = offs[of] // size + at
+        by = np.lexsort((lo[of] + at, h[of], doc[of]))
+        place = np.empty(len(by), np.int64)      # documents by id, places in a document
+        place[by] = np.arange(len(by))
+        symbols = data if size == 1 else data.view(np.uint64)
+        order, shared = suffix_order(symbols, starts, place, length)
+        factor = np.empty(len(order), np.int64)
+        factor[order] = previous_factors(place[order], shared)
+        earlier = factor >= length            # an equal window stands before it
+        if keep_first:
+            drop = earlier
+        else:                                 # or after it
+            drop = np.empty(len(order), bool)
+            drop[order] = np.maximum(shared, np.append(shared[1:], 0)) >= length
         new = np.ones(len(drop), bool)        # neighbouring starts of a run are one stretch
         new[1:] = ~(drop[1:] & drop[:-1] & (of[1:] == of[:-1]))
         head = np.flatnonzero(new & drop)
