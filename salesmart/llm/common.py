@@ -36,6 +36,18 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Each of `names` with as many underscores before it as make it unlike all
+    of `columns`, whatever their case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def hashed_sample(df: DataFrame, keys: list[str], bound: int, total: int) -> DataFrame:
     """About `bound` of the `total` rows, chosen by a hash of `keys`; all if
     there are no more.  The limit only holds where rows repeat a chosen key."""

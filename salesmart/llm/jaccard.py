@@ -297,7 +297,8 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     found = link(docs, width, percent)
     stay = found.where((F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull())
     # a hash of the id is never null, so the join and the removal of repeated rows share one shuffle
-    key = {"_id": F.xxhash64(F.col("doc_id").cast("long")), "_h": F.xxhash64(F.col("text").cast("string"))}
-    stay = stay.select(key["_id"].alias("_id"), F.col("h").alias("_h")).distinct()
-    kept = docs.withColumns(key).join(stay, ["_id", "_h"], "left_semi")
-    return kept.dropDuplicates(["_id", "_h"]).select(*docs.columns)
+    key = F.xxhash64(F.col("doc_id").cast("long")).alias("id")
+    stay = stay.select(key, "h").distinct()
+    # the row stands aside as one column, so that no name of its own can clash
+    kept = docs.select(F.struct("*").alias("row"), key, F.xxhash64(F.col("text").cast("string")).alias("h"))
+    return kept.join(stay, ["id", "h"], "left_semi").dropDuplicates(["id", "h"]).select("row.*")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import B1, MIX2, mix, range_hashes, text_slices
+from salesmart.llm.common import B1, MIX2, mix, range_hashes, text_slices, unused
 
 #: Bound of the labelled sample: documents for each language, chosen by a hash of their id.
 TRAIN_DOCS_PER_LANG = 4000
@@ -300,7 +300,8 @@ def keep(docs: DataFrame, model: Model, least: float = 0.5, switch: float = SWIT
     texts in scripts that no learned language uses."""
     from pyspark.sql.types import StructField, StringType, DoubleType, StructType
 
-    schema = StructType(docs.schema.fields + [StructField("_lang_pred", StringType()), StructField("_score", DoubleType())])
+    lang, score = unused(docs.columns, "_lang_pred", "_score")
+    schema = StructType(docs.schema.fields + [StructField(lang, StringType()), StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(model, switch, False)
@@ -313,7 +314,7 @@ def keep(docs: DataFrame, model: Model, least: float = 0.5, switch: float = SWIT
                     names=schema.names)
 
     found = docs.mapInArrow(run, schema)
-    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_score") >= least)).drop("_lang_pred", "_score")
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)
 
 
 def _numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:

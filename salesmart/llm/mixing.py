@@ -121,12 +121,13 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: list[Column], sha
           seed: int = 7) -> DataFrame:
     """The chosen documents with all their columns, each as often as it is
     taken.  The texts are only read, never shuffled."""
-    own = docs.withColumns({f"_{k}": F.coalesce(c.cast("string"), F.lit("(null)")) for k, c in levels.items()})
     names = [f"_{k}" for k in levels]
+    # the row stands aside as one column, so that no name of its own can clash
+    own = docs.select(F.struct("*").alias("row"), "doc_id", "text",
+                      *[F.coalesce(c.cast("string"), F.lit("(null)")).alias(f"_{k}") for k, c in levels.items()])
     _, leaf = plan(own, names, weights, share, max_epochs, seed)
-    leaf = leaf.withColumnsRenamed({"epochs": "_epochs", "bound": "_bound"})
-    found = own.join(leaf, names).withColumn("_copies", copies(seed, F.col("_epochs"), F.col("_bound"))).where("_copies > 0")
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    found = own.join(leaf, names).withColumn("copies", copies(seed, F.col("epochs"), F.col("bound"))).where("copies > 0")
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def weight_of(column: str, table: dict[str, int], other: int = 1) -> Column:

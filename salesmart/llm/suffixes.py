@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from salesmart.llm.common import powers, mix, range_hashes, stash, text_slices
+from salesmart.llm.common import powers, mix, range_hashes, stash, text_slices, unused
 
 #: Bytes of an anchor; windows cut from one text at once; classes of one anchor that a task holds.
 GRAM, STARTS, TASK_CLASSES = 100, 1 << 20, 4_000
@@ -454,13 +454,14 @@ def _bytes_of(text: bytes, cut: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _cut_texts(words: bool):
+    """The last column holds the spans to cut, and goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = {c: batch.schema.get_field_index(c) for c in ("text", "n_chars", "_spans")}
+            at = {c: batch.schema.get_field_index(c) for c in ("text", "n_chars")}
             texts, sizes = [], []
             for text, n, spans in zip(batch.column(at["text"]).to_pylist(),
                                       batch.column(at["n_chars"]).to_pylist() if at["n_chars"] >= 0 else [None] * batch.num_rows,
-                                      batch.column(at["_spans"]).to_pylist()):
+                                      batch.column(batch.num_columns - 1).to_pylist()):
                 if spans:
                     raw = text.encode()
                     cut = whole_characters(raw, _bytes_of(raw, merged(spans)) if words else merged(spans))
@@ -472,18 +473,17 @@ def _cut_texts(words: bool):
             cols[at["text"]] = pa.array(texts, pa.string())
             if at["n_chars"] >= 0:
                 cols[at["n_chars"]] = pa.array(sizes, cols[at["n_chars"]].type)
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([c for c, x in zip(cols, names) if x != "_spans"],
-                                             names=[x for x in names if x != "_spans"])
+            yield pa.RecordBatch.from_arrays(cols[:-1], names=batch.schema.names[:-1])
     return run
 
 
 def cut_repeats(docs: DataFrame, length: int = 400, keep: str = "first", words: bool = False) -> DataFrame:
     """The documents without their repeated passages of `length` bytes or words
     (whole characters only), n_chars brought up to date; all rows stay."""
-    spans = repeated_spans(docs, length, keep, words=words).withColumnsRenamed({"doc_id": "_id", "h": "_h", "spans": "_spans"})
+    own_id, own_hash, doc_id, h, cut = unused(docs.columns, "_k", "_t", "_id", "_h", "_spans")
+    spans = repeated_spans(docs, length, keep, words=words).withColumnsRenamed({"doc_id": doc_id, "h": h, "spans": cut})
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumns({"_k": F.col("doc_id").cast("long"), "_t": F.xxhash64(text)})
-    same = marked["_k"].eqNullSafe(spans["_id"]) & (marked["_t"] == spans["_h"])
-    joined = marked.join(spans, same, "left").select(*docs.columns, "_spans")
+    marked = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_hash: F.xxhash64(text)})
+    same = marked[own_id].eqNullSafe(spans[doc_id]) & (marked[own_hash] == spans[h])
+    joined = marked.join(spans, same, "left").select(*docs.columns, cut)
     return joined.mapInArrow(_cut_texts(words), StructType(docs.schema.fields))
