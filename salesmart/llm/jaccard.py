@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import components, local_roots, shingles, stash, text_slices
+from salesmart.llm.common import components, shingles, stash, text_slices
 
 #: Counters of the order table (fixed size), and the shingles a joining task holds.
 COUNTERS_LOG2, TASK_SHINGLES = 22, 2_000_000
@@ -162,61 +162,132 @@ def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(start, size)
 
 
-def join_sets(tokens: np.ndarray, offs: np.ndarray, percent: int, side: np.ndarray | None = None):
-    """Pairs (i, j) of sets of which 100 * common >= percent * union; with
-    `side`, the block of each set, only pairs of different blocks."""
+class Lists:
+    """Index lists of the shingles that several sets have.  The sets stand by
+    size, so one search in (list, rank) skips the block of sets too small, and
+    another that of those too large."""
+
+    def __init__(self, ident: np.ndarray, owner: np.ndarray, sets: int):
+        by = np.lexsort((owner, ident))
+        self.sets, self.post = sets, owner[by]
+        size = np.bincount(ident, minlength=int(ident.max(initial=-1)) + 1)
+        self.shared = size > 1
+        self.place = np.repeat(np.arange(len(size)), size) * sets + self.post
+
+    def __call__(self, t: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """The sets from `lo` to before `hi` that have a shingle of `t`, once for each."""
+        return self.post[_ranges(np.searchsorted(self.place, t * self.sets + lo),
+                                 np.searchsorted(self.place, t * self.sets + hi))]
+
+
+def _tally(post: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sets in order, how often each stands in `post`)."""
+    if len(post) * 4 < hi - lo:
+        return np.unique(post, return_counts=True)
+    c = np.bincount(post - lo, minlength=hi - lo)
+    at = np.flatnonzero(c)
+    return at + lo, c[at]
+
+
+def _among(post: np.ndarray, sets: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """How often each of `sets` (in order) stands in `post`."""
+    if len(post) * 4 >= hi - lo:
+        return np.bincount(post - lo, minlength=hi - lo)[sets - lo]
+    at = np.searchsorted(sets, post)
+    at = at[sets[np.minimum(at, len(sets) - 1)] == post] if len(sets) else at[:0]
+    return np.bincount(at, minlength=len(sets))
+
+
+def answers(tokens: np.ndarray, offs: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(set, the sets not yet asked of which 100 * common >= percent * union)
+    for each set, smallest first.
+
+    A leader keeps the counts of the sets that a follower could link with, and
+    no others: a follower adds at most the shingles that the leader lacks.  It
+    drops them when its last follower has been answered."""
     n = np.diff(offs)
     order = np.argsort(n, kind="stable")
     rank = np.empty(len(n), np.int64)
     rank[order] = np.arange(len(n))
     size = n[order]
-    side = None if side is None else side[order]
     _, ident = np.unique(tokens, return_inverse=True)
-    owner = rank[np.repeat(np.arange(len(n)), n)]
-    by = np.lexsort((owner, ident))
-    lists, post = np.searchsorted(ident[by], np.arange(ident.max(initial=-1) + 2)), owner[by]   # each list by size
-    shared = np.diff(lists) > 1
-    own = [None] * len(n)
-    for i in range(len(n)):
-        t = ident[offs[i]:offs[i + 1]]
-        own[rank[i]] = np.sort(t[shared[t]])
-    # lists stand by size, so one search in (list, rank) skips the block of sets before a given one
-    place = np.repeat(np.arange(len(lists) - 1), np.diff(lists)) * len(n) + post
-
-    def lookup(t: np.ndarray, lo: int) -> np.ndarray:
-        start = np.searchsorted(place, t * len(n) + lo)
-        return np.bincount(post[_ranges(start, lists[t + 1])], minlength=len(n))
+    lists = Lists(ident, rank[np.repeat(np.arange(len(n)), n)], len(n))
+    end = np.searchsorted(size, size * 100 // percent, "right")     # sets from here on are too large
+
+    def own(x: int) -> np.ndarray:
+        t = ident[offs[order[x]]:offs[order[x] + 1]]
+        return np.sort(t[lists.shared[t]])
 
     close, leader = np.zeros(len(n)), np.full(len(n), -1)
-    counts: dict[int, np.ndarray] = {}
-    ii, jj = [], []
+    kept: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}   # leader: its shingles, sets, counts
+    followers = np.zeros(len(n), np.int64)
     for x in range(len(n)):
-        lo = x   # answers among the larger sets; smaller ones have found x already
-        w = leader[x]
-        t = own[x]
+        hi, w, t = int(end[x]), int(leader[x]), own(x)
         if w >= 0:
-            less = np.setdiff1d(own[w], t, assume_unique=True)
-            more = np.setdiff1d(t, own[w], assume_unique=True)
-            got = counts[w] - lookup(less, lo) + lookup(more, lo)
+            base, sets, got = kept[w]
+            at = slice(*np.searchsorted(sets, [x + 1, hi]))
+            sets, got = sets[at], got[at]
+            less, more = np.setdiff1d(base, t, assume_unique=True), np.setdiff1d(t, base, assume_unique=True)
+            got = got - _among(lists(less, x + 1, hi), sets, x + 1, hi) + _among(lists(more, x + 1, hi), sets, x + 1, hi)
         else:
-            got = lookup(t, lo)
-        union = size[x] + size - got
-        got_links = 100 * got >= percent * union
-        got_links[:x + 1] = False
-        found = np.flatnonzero(got_links)
-        if w < 0 and len(found) > 1:
-            ratio = got[found] / union[found]
-            better = found[ratio > np.maximum(close[found], 0.75)]
-            if len(better):
-                close[better] = got[better] / union[better]
-                leader[better] = x
-                counts[x] = got
+            sets, got = _tally(lists(t, x + 1, hi), x + 1, hi)
+        union = size[x] + size[sets] - got
+        hit = 100 * got >= percent * union
+        found = sets[hit]
+        if w < 0 and len(found):
+            ratio = got[hit] / union[hit]
+            better = ratio > np.maximum(close[found], 0.75)
+            mine = found[better]
+            added = int((size[mine] - got[hit][better]).max(initial=0))
+            # two sets link if 100 + percent times their common shingles reach percent times their sizes
+            if len(mine) and (100 + percent) * added < percent * 2 * size[x]:
+                old = leader[mine]
+                np.subtract.at(followers, old[old >= 0], 1)
+                for y in np.unique(old[old >= 0]).tolist():
+                    if not followers[y]:
+                        kept.pop(y, None)
+                close[mine], leader[mine] = ratio[better], x
+                followers[x] = len(mine)
+                # a follower is larger, and so are the sets that it can link with
+                more, count = _tally(lists(t, hi, far := int(end[mine.max()])), hi, far)
+                sets, got = np.concatenate([sets, more]), np.concatenate([got, count])
+                near = (100 + percent) * (got + added) >= percent * (size[x] + size[sets])
+                kept[x] = t, sets[near], got[near]
+        if w >= 0:
+            followers[w] -= 1
+            if not followers[w]:
+                kept.pop(w)
+        yield int(order[x]), order[found]
+
+
+def join_sets(tokens: np.ndarray, offs: np.ndarray, percent: int, weight: np.ndarray, ids: np.ndarray,
+              side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(weight of the sets that each links with, smallest id reachable by links);
+    with `side`, the block of each set, only links of different blocks count."""
+    links = np.zeros(len(ids), np.int64)
+    up = np.arange(len(ids))        # a set on the way to its component's
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = int(up[x])
+        return x
+
+    for x, found in answers(tokens, offs, percent):
         if side is not None:
             found = found[side[found] != side[x]]
-        ii.append(np.full(len(found), x))
-        jj.append(found)
-    i, j = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (ii, jj))
-    return order[i], order[j]
+        if len(found):
+            links[x] += weight[found].sum()
+            links[found] += weight[x]
+            above = up[found]
+            if (above != above[0]).any() or up[x] != above[0]:
+                tops = {top(y) for y in np.unique(above).tolist()} | {top(x)}
+                best = min(tops, key=lambda y: ids[y])
+                up[list(tops)] = best
+                up[found] = best
+    while (up[up] != up).any():
+        up = up[up]
+    return links, ids[up]
 
 
 def _join(percent: int):
@@ -227,10 +298,8 @@ def _join(percent: int):
         cls, m, block = cls[keep], m[keep], block[keep]
         sets = t.column("tokens").combine_chunks()
         offs = sets.offsets.to_numpy().astype(np.int64)
-        i, j = join_sets(sets.flatten().to_numpy(), offs - offs[0], percent,
-                         None if key[1].as_py() == key[2].as_py() else block)
-        links = np.bincount(i, m[j], len(cls)).astype(np.int64) + np.bincount(j, m[i], len(cls)).astype(np.int64)
-        root = local_roots(cls, i, j)
+        links, root = join_sets(sets.flatten().to_numpy(), offs - offs[0], percent, m, cls,
+                                None if key[1].as_py() == key[2].as_py() else block)
         at = np.flatnonzero(links)
         return pa.table([pa.array(cls[at]), pa.array(links[at]), pa.array(root[at])], names=["cls", "links", "root"])
     return run

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -65,15 +66,45 @@ def test_jaccard_empty_table_and_clashing_columns(spark, docs):
     assert jaccard.keep_first(d).collect()[0].token == 7
 
 
-def test_join_sets_derives_answers():
-    rnd = np.random.default_rng(0)
-    base = rnd.integers(0, 1 << 40, 200)
-    sets = [np.unique(np.concatenate([base[rnd.random(200) > 0.05], rnd.integers(0, 1 << 40, 8)])) for _ in range(60)]
+@pytest.mark.parametrize("percent", [75, 30, 10, 95])
+def test_answers_are_derived_exactly(percent):
+    rnd = np.random.default_rng(percent)
+    sets = []
+    for family in range(6):
+        base = rnd.integers(0, 1 << 40, 10 + 30 * family)
+        sets += [np.unique(np.concatenate([base[rnd.random(len(base)) > 0.08], rnd.integers(0, 1 << 40, k % 5), [1, 2]]))
+                 for k in range(25)]
     offs = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    i, j = jaccard.join_sets(np.concatenate(sets), offs, 75)
-    want = {(a, b) for a in range(60) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b]))
-            >= 75 * len(np.union1d(sets[a], sets[b]))}
-    assert {(max(a, b), min(a, b)) for a, b in zip(i.tolist(), j.tolist())} == want and len(i) == len(want)
+    tokens = np.concatenate(sets)
+    want = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b]))
+            >= percent * len(np.union1d(sets[a], sets[b]))}
+    got = [(max(x, y), min(x, y)) for x, found in jaccard.answers(tokens, offs, percent) for y in found.tolist()]
+    assert len(got) == len(set(got)) and set(got) == want
+    weight, ids = rnd.integers(1, 9, len(sets)), rnd.permutation(len(sets))
+    side = rnd.integers(0, 2, len(sets))
+    for block in (None, side):
+        links, label = np.zeros(len(sets), int), ids.copy()
+        pairs = [p for p in want if block is None or side[p[0]] != side[p[1]]]
+        for a, b in pairs:
+            links[a] += weight[b]
+            links[b] += weight[a]
+        while any(label[a] != label[b] for a, b in pairs):
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        found = jaccard.join_sets(tokens, offs, percent, weight, ids, block)
+        assert (found[0] == links).all() and (found[1] == label).all()
+
+
+def test_memory_of_many_small_families():
+    rnd = np.random.default_rng(0)
+    base = np.repeat(rnd.integers(0, 1 << 40, (6_000, 12)), 4, axis=0)
+    base[np.arange(len(base)), rnd.integers(0, 12, len(base))] = rnd.integers(0, 1 << 40, len(base))   # 24000 sets
+    base = base[rnd.permutation(len(base))]
+    tracemalloc.start()
+    links, _ = jaccard.join_sets(base.reshape(-1), np.arange(0, base.size + 1, 12), 75, np.ones(len(base), int), np.arange(len(base)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and links.sum() > 0     # dense counts: 1.2 GB
 
 
 def brute_removed(rows, size):
