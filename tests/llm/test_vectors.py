@@ -90,6 +90,23 @@ def test_pivots_blocks_count_each_pair_once(spark, vectors, monkeypatch):
     assert pivots.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_shared_pivots_are_counted():
+    rnd = np.random.default_rng(2)
+    p, q = (np.array([rnd.permutation(30)[:12] for _ in range(n)]) for n in (40, 70))
+    want = [[len(set(a) & set(b)) for b in q.tolist()] for a in p.tolist()]
+    assert pivots.shared_pivots(p, q).tolist() == want
+    assert pivots.shared_pivots(p[:, :1], q[:0, :1]).shape == (40, 0)
+
+
+def test_pairs_that_share_too_few_pivots_are_not_verified(spark, vectors, monkeypatch):
+    frame = spark.createDataFrame(vectors, SCHEMA)
+    want = {r.vec_id: r.n_links for r in pivots.near_duplicates(frame).where("vec_id < 400 AND vec_id <> 50").collect()}
+    monkeypatch.setattr(pivots, "SHARED", 10)
+    monkeypatch.setattr(pivots, "PREFIX", 10)     # all ten in common
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(frame).where("vec_id < 400 AND vec_id <> 50").collect()}
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) < sum(want.values())
+
+
 def test_pivots_recall_on_the_table(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     x = np.array([r.embedding for r in frame.orderBy("vec_id").collect()], float)
