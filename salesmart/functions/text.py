@@ -55,15 +55,20 @@ def parse_int(cell) -> Column:
 
 def normalise_name(label) -> Column:
     """H4: trim, first non-empty line, Unicode hyphens -> '-', alias table."""
-    s = F.regexp_replace(F.regexp_replace(F.trim(col_(label)), "\r\n", "\n"), "\r", "\n")
-    lines = F.filter(F.transform(F.split(s, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    first = F.when(s.contains("\n"), F.try_element_at(lines, F.lit(1))).otherwise(s)
-    first = F.coalesce(first, s)
-    n = F.translate(first, UNICODE_HYPHENS, "-" * len(UNICODE_HYPHENS))
-    out = n
-    for k, v in NAME_ALIASES.items():
-        out = F.when(n == k, F.lit(v)).otherwise(out)
-    return out
+    def named(value, use):   # ``value`` is computed once, however often ``use`` names it
+        return F.get(F.transform(F.array(value), use), 0)
+
+    def first_line(s):
+        lines = F.filter(F.transform(F.split(s, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+        return F.when(s.contains("\n"), F.coalesce(F.try_element_at(lines, F.lit(1)), s)).otherwise(s)
+
+    def alias(n):
+        out = n
+        for k, v in NAME_ALIASES.items():
+            out = F.when(n == k, F.lit(v)).otherwise(out)
+        return out
+    s = F.replace(F.replace(F.trim(col_(label)), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return named(F.translate(named(s, first_line), UNICODE_HYPHENS, "-" * len(UNICODE_HYPHENS)), alias)
 
 
 def payload_int(payload, tag: str) -> Column:
@@ -87,4 +92,5 @@ def format_amount(x, decimals: int = 0) -> Column:
     in parentheses."""
     x = col_(x)
     body = F.format_number(F.abs(x), decimals)
-    return F.when(x.isNull(), F.lit("-")).when(x < 0, F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
+    mark = lambda m: F.when(x < 0, m).otherwise("")   # noqa: E731 - the body stands once in the plan
+    return F.coalesce(F.concat(mark("("), body, mark(")")), F.lit("-"))

@@ -46,7 +46,9 @@ def report_cells(t: Tables) -> DataFrame:
     One pipeline: the per-store daily aggregate, the MTD running sums beside it
     (window per store-month), then one ``explode`` emitting each store's DAILY
     and MTD lines, plus the page header and a footnote table on the page's
-    first store (window per report page, a bounded group)."""
+    first store (window per report page, a bounded group).  Only numbers are
+    shuffled, once by report; the text of a line is made after the ``explode``,
+    and all that a parser asks of a report stays within its partition."""
     daily = B.store_daily(t)
     w_mtd = (Window.partitionBy("store_id", F.trunc("report_date", "month")).orderBy("report_date")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -65,35 +67,41 @@ def report_cells(t: Tables) -> DataFrame:
     j = both.join(names, "store_id").select(
         "*", report_file_name(F.col("report_date"), block).alias("source_file"),
         F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"), (slot % PAGE1_STORES).alias("row_slot"))
+    j = j.repartition("source_file")
     first_in_page = F.col("row_slot") == F.min("row_slot").over(Window.partitionBy("source_file", "page"))
 
-    def measures(p):
-        return [format_amount(F.col(f"{p}sales_result"), 2), F.lit("N/A"), F.lit("-"),
-                format_amount(F.col(f"{p}customer_count"), 0), F.lit("#N/A"),
-                format_amount(F.col(f"{p}unit_price"), 2), F.lit("#VALUE!"),
-                F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
-                format_amount(F.col(f"{p}transfer_amount"), 2), format_amount(F.col(f"{p}sales_incl_result"), 2),
-                F.lit("-"), F.lit("-")]
+    values = ["sales_result", "customer_count", "unit_price", "transfer_amount", "sales_incl_result"]
+    pos0 = F.lit(10) + F.col("row_slot") * 2
+
+    def line(kind, table_no, pos, prefix=""):
+        return F.struct(F.lit(kind).alias("kind"), F.lit(table_no).alias("table_no"), pos.cast("int").alias("pos"),
+                        *[F.col(f"{prefix}{v}").alias(v) for v in values])
+    lines = F.array(line("daily", 1, pos0), line("mtd", 1, pos0 + 1, "m_"))
+    extra = F.array(line("header", 1, F.lit(0)), line("note", 2, F.lit(0)))
+    j = j.withColumn("_first", first_in_page)
+    j = j.select("source_file", "page", "store_id", "store_name",
+                 F.explode(F.when(F.col("_first"), F.concat(lines, extra)).otherwise(lines)).alias("l"))
+
+    measures = F.array(format_amount(F.col("l.sales_result"), 2), F.lit("N/A"), F.lit("-"),
+                       format_amount(F.col("l.customer_count"), 0), F.lit("#N/A"),
+                       format_amount(F.col("l.unit_price"), 2), F.lit("#VALUE!"),
+                       F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+                       format_amount(F.col("l.transfer_amount"), 2), format_amount(F.col("l.sales_incl_result"), 2),
+                       F.lit("-"), F.lit("-"))
     name = F.col("store_name")
     label = (F.when(sid % 5 == 1, F.regexp_replace(name, "-", "–"))
              .when(sid % 5 == 2, F.concat(name, F.lit("\nALL 19 STORES")))
              .when(sid % 5 == 3, F.concat(F.lit("  "), name, F.lit("  ")))
              .otherwise(name))
-    daily_cells = F.concat(F.array(label), F.array(*measures("")))
-    m_arr = F.array(*measures("m_"))
-    m_arr = F.when(sid % 7 == 6, F.slice(m_arr, 1, 15)).otherwise(m_arr)   # ragged line
-    mtd_cells = F.when(sid % 3 == 0, m_arr).otherwise(F.concat(F.array(F.lit("")), m_arr))  # no / blank label
-    pos0 = F.lit(10) + F.col("row_slot") * 2
-
-    def line(table_no, pos, cells):
-        return F.struct(F.lit(table_no).alias("table_no"), pos.cast("int").alias("pos"), cells.alias("cells"))
-    lines = F.array(line(1, pos0, daily_cells), line(1, pos0 + 1, mtd_cells))
-    extra = F.array(line(1, F.lit(0), F.array(*[F.lit(h) for h in HEADER])),
-                    line(2, F.lit(0), F.array(F.lit("Note"), F.lit("1,234"), F.lit("unaudited"))))
-    allx = F.when(F.col("_first"), F.concat(lines, extra)).otherwise(lines)
-    j = j.withColumn("_first", first_in_page)
-    return j.select("source_file", "page", F.explode(allx).alias("l")).select(
-        "source_file", "page", "l.table_no", "l.pos", "l.cells")
+    kind = F.col("l.kind")
+    bare = (kind == "mtd") & (sid % 3 == 0)                            # no / blank label
+    n_measures = F.when((kind == "mtd") & (sid % 7 == 6), 15).otherwise(17)   # ragged line
+    texts = F.concat(F.array(F.when(kind == "mtd", "").otherwise(label)), measures)
+    cells = (F.when(kind == "header", F.array(*[F.lit(h) for h in HEADER]))
+             .when(kind == "note", F.array(F.lit("Note"), F.lit("1,234"), F.lit("unaudited")))
+             .otherwise(F.slice(texts, F.when(bare, 2).otherwise(1),
+                                n_measures + F.when(bare, 0).otherwise(1))))
+    return j.select("source_file", "page", "l.table_no", "l.pos", cells.alias("cells"))
 
 
 def report_files(t: Tables) -> DataFrame:
@@ -162,8 +170,11 @@ def damaged_cells(t: Tables) -> DataFrame:
     c = c.withColumn("cells", F.when(line & (slot % 4 == 2), paid).otherwise(F.col("cells")))
     c = c.withColumn("cells", F.when(line & (slot % 3 == 1), bare).otherwise(F.col("cells")))
     stray = F.array(*[F.lit(x) for x in ("Stray", "1", "2", "3", "4", "5")])
-    odd = c.filter((F.col("page") == 1) & (F.col("table_no") == 1) & (F.col("pos") == 0))
-    return c.unionByName(odd.select("source_file", "page", "table_no", F.lit(1000).alias("pos"), stray.alias("cells")))
+    header = (F.col("page") == 1) & (F.col("table_no") == 1) & (F.col("pos") == 0)
+    own = F.struct("pos", "cells")
+    odd = F.struct(F.lit(1000).alias("pos"), stray.alias("cells"))
+    return c.select("source_file", "page", "table_no",
+                    F.inline(F.when(header, F.array(own, odd)).otherwise(F.array(own))))
 
 
 # Out-of-range text in a DAILY line: measure -> what its cell holds, one fault for

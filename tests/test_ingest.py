@@ -126,3 +126,37 @@ def test_tables_can_be_restricted_below_everything_derived(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     less = t.only("lineitem", F.col("l_quantity") > 45)
     assert 0 < less.lineitem.count() < t.lineitem.count() and less.orders.count() == t.orders.count()
+
+
+def test_report_parse_sorts_once_and_moves_no_cells(spark):
+    """Lines are parsed before the windows: a page's windows share one sort, the
+    labels by position move no lines, and no text cell is sorted."""
+    cells = spark.createDataFrame([("DAYREPORT 2024.3.5 b0.pdf", 1, 1, 10, ["A", "1"])],
+                                  "source_file string, page int, table_no int, pos int, cells array<string>")
+    places = spark.createDataFrame([("DAYREPORT 2024.3.5 b0.pdf", 1, 0, "A")], "source_file string, page int, place int, store_name string")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plain = I.cells_to_records(cells)._jdf.queryExecution().executedPlan().toString()
+        placed = I.cells_to_records(cells, places)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plain.count("Sort [") == 1 and plain.count("Exchange") == 1
+    assert placed.count("Exchange") == 2      # the lines and the positions, each once
+    assert not [x for x in plain.splitlines() if "Window [" in x and "cells#" in x]
+
+
+def test_labels_by_position_reach_both_lines(spark):
+    """Positions with gaps, a label of its own, an odd last line and a page without positions."""
+    def line(page, pos, label):
+        return ("DAYREPORT 2024.3.5 b0.pdf", page, 1, pos, [label, str(pos), "", "", "2"])
+    cells = spark.createDataFrame([line(1, 1, ""), line(1, 2, ""), line(1, 3, "Own"), line(1, 4, ""), line(1, 5, ""), line(1, 6, ""),
+                                   line(1, 7, "Odd"), line(2, 1, ""), line(2, 2, "Late")],
+                                  "source_file string, page int, table_no int, pos int, cells array<string>")
+    places = spark.createDataFrame([("DAYREPORT 2024.3.5 b0.pdf", 1, 0, "P0"), ("DAYREPORT 2024.3.5 b0.pdf", 1, 1, "P1")],
+                                   "source_file string, page int, place int, store_name string")
+    got = sorted((r.sales_result, r.store_name, r.record_type) for r in I.cells_to_records(cells, places).collect())
+    assert got == [(1, "P0", "DAILY"), (2, "Late", "MTD"), (2, "P0", "MTD"), (3, "Own", "DAILY"), (4, "Own", "MTD")]
