@@ -8,10 +8,14 @@ partitioned by (report file, page) — a bounded group (one table of a page).
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.text import basename, date_from_filename, join_or_null, normalise_name, parse_amount
+from salesmart.session import checkpoint_dir
 
 # Report columns after the label cell, in order (17 measures)
 MEASURES = [
@@ -27,15 +31,88 @@ PERSONNEL = ["ft_expense", "ft_budget_pct", "pt_expense", "pt_budget_pct",
 
 
 # A1 ---------------------------------------------------------------------------
+LISTING = "path string, is_folder boolean, modificationTime timestamp"
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's own listing passes over."""
+    if name.startswith(("_common_metadata", "_metadata")):
+        return False
+    return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _list_folders(root: str):
+    """Tasks' part of the listing: the entries of each folder of a batch, under
+    the paths that begin with ``root``."""
+    def run(batches):
+        from pyarrow import fs
+        store, base = fs.FileSystem.from_uri(root)
+        kind = pa.timestamp("us", "UTC")
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = store.get_file_info(fs.FileSelector(base + folder[len(root):]))
+                for i in range(0, len(found), 10_000):
+                    part = [f for f in found[i:i + 10_000] if not _hidden(f.base_name)
+                            and (f.size or f.type == fs.FileType.Directory)]      # empty files are passed over too
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([f"{folder}/{f.base_name}" for f in part], pa.string()),
+                        pa.array([f.type == fs.FileType.Directory for f in part], pa.bool_()),
+                        pa.array([f.mtime_ns and f.mtime_ns // 1_000_000 * 1_000 for f in part], kind)],
+                        names=["path", "is_folder", "modificationTime"])
+    return run
+
+
 def list_report_files(spark, root: str, glob: str = "*.pdf") -> DataFrame:
     """Recursive listing of report files with the date parsed from the name;
-    undated names dropped.  Only path metadata is read (content is pruned)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(root).select("path", "modificationTime"))
-    return (files.withColumn("report_date", date_from_filename(basename("path")))
+    undated names dropped.  Only path metadata is read.
+
+    The tasks list the folders, one level of the tree after the other; what a
+    level holds is kept in the checkpoint folder.  The driver learns only how
+    many folders come next, however many files there are."""
+    root = root.rstrip("/")
+    checkpoint_dir(spark)
+    files, folders = None, spark.createDataFrame([(root,)], "path string")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))     # a number keeps folders apart that are small as rows
+    while folders is not None:
+        found = folders.repartition(tasks, "path").mapInArrow(_list_folders(root), LISTING).checkpoint(eager=True)
+        here = found.where("NOT is_folder").select("path", "modificationTime")
+        files = here if files is None else files.unionByName(here)
+        folders = found.where("is_folder").select("path")
+        folders = None if folders.isEmpty() else folders
+    scheme = "" if "://" in root or root.startswith("file:") else "file:"
+    files = files.select(F.concat(F.lit(scheme), "path").alias("path"), "modificationTime")
+    return (files.where(F.regexp_like(basename("path"), F.lit(glob_pattern(glob))))
+            .withColumn("report_date", date_from_filename(basename("path")))
             .filter(F.col("report_date").isNotNull()))
 
 
+def glob_pattern(glob: str) -> str:
+    """Hadoop's file glob (* ? [..] [^..] {a,b} and \\) as a regular expression for whole names."""
+    out, depth, in_set, i = "", 0, False, 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "\\" and i + 1 < len(glob):
+            i += 1
+            out += re.escape(glob[i])
+        elif in_set:
+            in_set = c != "]"
+            out += "^" if c == "!" and out.endswith("[") else c
+        elif c in "*?":
+            out += ".*" if c == "*" else "."
+        elif c == "[":
+            in_set, out = True, out + c
+        elif c == "{":
+            depth, out = depth + 1, out + "(?:"
+        elif c == "}" and depth:
+            depth, out = depth - 1, out + ")"
+        elif c == "," and depth:
+            out += "|"
+        else:
+            out += re.escape(c)
+        i += 1
+    return f"(?s)^(?:{out})$"
+
+
 # A2 B10 ---------------------------------------------------------------------
 def _page():
     return Window.partitionBy("source_file", "page")

@@ -116,9 +116,10 @@ def report_files(t: Tables) -> DataFrame:
 
 def delivered_names(t: Tables) -> DataFrame:
     """(folder, name) of everything that lies in the report folders: the reports
-    by year, and for each month a note without a date and a file whose name
-    holds an impossible one."""
-    named = report_files(t).withColumn("folder", F.regexp_extract("source_file", r" (\d{4})\.", 1))
+    by year and month, and for each month a note without a date and a file whose
+    name holds an impossible one."""
+    named = report_files(t).withColumn("folder", F.regexp_replace(
+        F.regexp_extract("source_file", r" (\d{4}\.\d{1,2})\.", 1), r"\.", "/"))
     months = t.lineitem.select(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("m")).distinct()
     month = F.date_format("m", "yyyyMM")
     return named.select("folder", F.col("source_file").alias("name")).unionByName(

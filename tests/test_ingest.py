@@ -160,3 +160,24 @@ def test_labels_by_position_reach_both_lines(spark):
                                    "source_file string, page int, place int, store_name string")
     got = sorted((r.sales_result, r.store_name, r.record_type) for r in I.cells_to_records(cells, places).collect())
     assert got == [(1, "P0", "DAILY"), (2, "Late", "MTD"), (2, "P0", "MTD"), (3, "Own", "DAILY"), (4, "Own", "MTD")]
+
+
+def test_listing_is_done_by_tasks(spark, scratch, monkeypatch):
+    """A1: the driver never holds the files, hidden names and other globs as Spark's own listing."""
+    from pyspark.sql.readwriter import DataFrameReader
+    own = DataFrameReader.load
+    for rel in ["a 1/b/DAYREPORT 2024.3.5 x.pdf", "a 1/_c/DAYREPORT 2024.3.6.pdf", "a 1/.DAYREPORT 2024.3.7.pdf", "_p=1/DAYREPORT 2024.3.8.pdf",
+                "DAYREPORT 2024.3.9.txt", "a 1/DAYREPORT 2024.3.4é.pdf", "a 1/DAYREPORT 2024.3.3.PDF"]:
+        os.makedirs(os.path.dirname(f"{scratch}/{rel}"), exist_ok=True)
+        with open(f"{scratch}/{rel}", "w") as f:
+            f.write("x")
+    open(f"{scratch}/DAYREPORT 2024.3.10.pdf", "w").close()
+    os.makedirs(f"{scratch}/empty")
+    for glob in ["*.pdf", "*.{pdf,txt}", "DAY*[45]*", "*2024.3.?.???"]:
+        spark_own = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                     .load(scratch).select("path", "modificationTime").collect())
+        with monkeypatch.context() as m:
+            m.setattr(DataFrameReader, "load", lambda *a, **k: (_ for _ in ()).throw(AssertionError("listed by the driver")))
+            got = I.list_report_files(spark, scratch, glob).collect()
+        assert DataFrameReader.load is own and spark_own
+        assert sorted((r.path, r.modificationTime) for r in got) == sorted((r.path, r.modificationTime) for r in spark_own)
