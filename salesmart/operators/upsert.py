@@ -24,19 +24,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_col: str
     several batch rows for a key the one with the greatest ``order_col`` wins.
     Keys are compared NULL-safe (``<=>``) so nullable key parts still match."""
     cols = target.columns
-    b = batch.select(*cols, *([order_col] if order_col and order_col not in cols else []))
-    if order_col:
-        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-        b = b.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    b = b.select(*cols)
-    # fresh names for the batch keys: target and batch may share lineage
-    bk = b.select(*[F.col(k).alias(f"_bk_{i}") for i, k in enumerate(keys)])
-    cond = None
-    for i, k in enumerate(keys):
-        e = F.col(k).eqNullSafe(F.col(f"_bk_{i}"))
-        cond = e if cond is None else cond & e
-    kept = target.join(bk, cond, "left_anti")
-    return kept.unionByName(b)
+    order = F.col(order_col) if order_col else F.lit(None).cast("int")
+    new = batch.select(*cols, F.lit(1).alias("_new"), order.alias("_order"))
+    old = target.select(*cols, F.lit(0).alias("_new"), F.lit(None).cast(new.schema["_order"].dataType).alias("_order"))
+    # both sides meet in one shuffle and one sort; a key's batch rows stand first
+    w = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), F.col("_order").desc())
+    both = old.unionByName(new).withColumns({"_any": F.first("_new").over(w), "_rn": F.row_number().over(w)})
+    wins = (F.col("_rn") == 1) if order_col else F.lit(True)
+    return both.filter(F.when(F.col("_new") == 1, wins).otherwise(F.col("_any") == 0)).select(*cols)
 
 
 def upsert_with_timestamps(target: DataFrame, source: DataFrame, key: str, now,
@@ -81,13 +76,14 @@ def merge_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list
         raise ValueError(f"rows of the batch share a key of {keys} and no order_col says which one wins")
     data_cols = [c for c in batch.columns if c != order_col] if order_col else batch.columns
     if current is None:
-        merged = upsert(batch.limit(0).select(*data_cols), batch, keys, order_col)
+        # nothing is replaced, so what is written needs no copy of its own
+        merged = upsert(batch.limit(0).select(*data_cols), batch, keys, order_col) if order_col else batch
     else:
         touched = batch.select(*partition_cols).distinct()
         cur = current.join(touched, partition_cols, "left_semi").select(*data_cols)
-        merged = upsert(cur, batch, keys, order_col)
-    merged = merged.checkpoint(eager=True)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
+        merged = upsert(cur, batch, keys, order_col).checkpoint(eager=True)
+    # rows of a partition together, large ones in several tasks: few files for each
+    merged.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
     return batch.count()   # of the checkpointed rows
 
 

@@ -177,3 +177,25 @@ def test_upsert_property(spark, target, batch):
         model[k] = float(v)
     got = {(r.k, r.m): r.v for r in U.upsert(tgt, bat, ["k", "m"], "seq").collect()}
     assert got == model
+
+
+def test_upsert_moves_each_side_once(spark):
+    """Target and batch meet in one shuffle and one sort; repeated and null keys stay as they were."""
+    old = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0), (None, 4.0)], "k int, v double")
+    new = spark.createDataFrame([(2, 5.0, 1), (2, 6.0, 2), (None, 7.0, 1), (3, 8.0, None)], "k int, v double, seq int")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = U.upsert(old, new, ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+    def rows(df):
+        return sorted(((r.k is None, r.k or 0, r.v) for r in df.collect()))
+    assert rows(U.upsert(old, new, ["k"], "seq")) == [(False, 1, 1.0), (False, 1, 2.0), (False, 2, 6.0), (False, 3, 8.0), (True, 0, 7.0)]
+    assert rows(U.upsert(old, new.drop("seq"), ["k"])) == [(False, 1, 1.0), (False, 1, 2.0), (False, 2, 5.0), (False, 2, 6.0),
+                                                           (False, 3, 8.0), (True, 0, 7.0)]
