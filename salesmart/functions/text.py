@@ -39,13 +39,14 @@ def date_from_filename(name) -> Column:
 def parse_amount(cell) -> Column:
     """H2: accounting number -> double.  Commas stripped, NULL tokens -> NULL,
     ``(n)`` -> -n, anything that is not a plain number -> NULL."""
-    s = F.trim(F.replace(col_(cell).cast("string"), F.lit(","), F.lit("")))   # literal, not regex
-    neg = s.startswith("(") & s.endswith(")")
-    inner = F.trim(F.substr(s, F.lit(2), F.length(s) - 2))
-    txt = F.when(neg, F.concat(F.lit("-"), inner)).otherwise(s)
-    # the one regular expression per cell; no NULL token ('', '-', 'N/A', ...)
-    # matches it, so they fall through to NULL with every other non-number
-    return F.when(txt.rlike(NUMBER_PATTERN), txt.try_cast("double"))
+    text = col_(cell).cast("string")
+    s = F.trim(F.replace(text, F.lit(","), F.lit("")))   # literal, not regex
+    minus = F.concat(F.lit("-"), F.trim(F.substr(s, F.lit(2), F.length(s) - 2)))
+    # no NULL token ('', '-', 'N/A', ...) is a number: most cells hold one and are
+    # known before any regular expression; a plain number never begins with '('
+    number = F.when(s.startswith("("), F.when(s.endswith(")") & minus.rlike(NUMBER_PATTERN), minus.try_cast("double"))) \
+        .when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    return F.when(~text.isin(NULL_TOKENS), number)
 
 
 def parse_int(cell) -> Column:
@@ -67,8 +68,12 @@ def normalise_name(label) -> Column:
         for k, v in NAME_ALIASES.items():
             out = F.when(n == k, F.lit(v)).otherwise(out)
         return out
-    s = F.replace(F.replace(F.trim(col_(label)), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return named(F.translate(named(s, first_line), UNICODE_HYPHENS, "-" * len(UNICODE_HYPHENS)), alias)
+    raw = col_(label).cast("string")
+    s = F.replace(F.replace(F.trim(raw), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    # a line of ASCII text, as most labels are, has nothing to split or translate
+    plain = (F.length(raw) == F.octet_length(raw)) & ~raw.contains("\n") & ~raw.contains("\r")
+    return F.when(plain, alias(F.trim(raw))).otherwise(
+        named(F.translate(named(s, first_line), UNICODE_HYPHENS, "-" * len(UNICODE_HYPHENS)), alias))
 
 
 def payload_int(payload, tag: str) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.text import basename, date_from_filename, join_or_null, normalise_name, parse_amount
 from salesmart.session import checkpoint_dir
+from salesmart.sources.tables import broadcast_if_small
 
 # Report columns after the label cell, in order (17 measures)
 MEASURES = [
@@ -215,16 +216,20 @@ def parsed_records(cells: DataFrame, positions: DataFrame | None = None) -> Data
     dropped.  The column offset is 0 when cell 0 is numeric, else 1;
     out-of-range cells are NULL.  The parse comes before the windows, each
     measure a column of its own, and labels are placed by page: lines are moved
-    and sorted once, without their cells and without measures nobody reads."""
+    and sorted once, without their cells and without measures nobody reads, and
+    not moved at all when they and ``positions`` come dealt out by page."""
     first = F.get(F.col("cells"), 0)
     numeric = parse_amount(first).isNotNull()
     textual = ~numeric & first.isNotNull() & (first != "")
+    # the measures' own cells once a line, in place of a choice for each measure
+    own = F.when(numeric, F.col("cells")).otherwise(F.slice("cells", 2, len(MEASURES)))
+    lines = cells.select("source_file", "page", "table_no", "pos", F.when(textual, normalise_name(first)).alias("own_label"),
+                         own.alias("_own"), is_data_row("cells").alias("_data"))
     meas = []
     for i, (name, kind) in enumerate(MEASURES):
-        v = parse_amount(F.when(numeric, F.get(F.col("cells"), i)).otherwise(F.get(F.col("cells"), i + 1)))
+        v = parse_amount(F.get("_own", i))
         meas.append((v.cast("bigint") if kind == "int" else v).alias(name))
-    lines = cells.select("source_file", "page", "table_no", "pos", F.when(textual, normalise_name(first)).alias("own_label"),
-                         *meas, is_data_row("cells").alias("_data"))
+    lines = lines.select("source_file", "page", "table_no", "pos", "own_label", *meas, "_data")
     rows = _number_lines(lines).withColumns({"n_lines": F.count(F.lit(1)).over(_page()),
                                              "prev_label": F.lag("own_label", 1).over(_lines())})
     rows = rows.filter(F.col("idx") < F.col("n_lines") - F.col("n_lines") % 2)
@@ -313,7 +318,7 @@ def single_file_check(resolved: DataFrame, name: str) -> DataFrame:
 def unknown_stores(records: DataFrame, dim: DataFrame) -> DataFrame:
     """Distinct (file, name) not in the store dimension."""
     return (records.select("source_file", "store_name").distinct()
-            .join(dim.select("store_name"), "store_name", "left_anti"))
+            .join(broadcast_if_small(dim.select("store_name")), "store_name", "left_anti"))
 
 
 def flag_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_row") -> DataFrame:
@@ -321,7 +326,7 @@ def flag_store_policy(records: DataFrame, dim: DataFrame, policy: str = "skip_ro
     unknown); ``_keep`` says whether the row loads.  skip_row drops unknown
     rows; skip_day drops every row of a file that has any unknown row (a
     window per file — one report, a bounded group)."""
-    r = records.join(dim.select("store_name", "store_id"), "store_name", "left")
+    r = records.join(broadcast_if_small(dim.select("store_name", "store_id")), "store_name", "left")
     unknown = F.col("store_id").isNull()
     if policy == "skip_row":
         keep = ~unknown

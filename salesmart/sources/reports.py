@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.numeric import half_up_ratio_2dp
 from salesmart.functions.text import format_amount
 from salesmart.sources import bindings as B
-from salesmart.sources.tables import Tables
+from salesmart.sources.tables import Tables, broadcast_if_small
 
 STORES_PER_BLOCK = 40          # stores per report file
 PAGE1_STORES = 20              # store_id % 40 < 20 -> page 1
@@ -40,17 +40,36 @@ def report_file_name(d, block):
     return F.concat(F.lit("DAYREPORT "), _date_text(d), F.lit(" b"), block.cast("string"), F.lit(".pdf"))
 
 
-def report_cells(t: Tables) -> DataFrame:
+PAGES = ("source_file", "page")
+
+
+def _page_of(slot):
+    return F.when(slot < PAGE1_STORES, 1).otherwise(2)
+
+
+def _deal_out(rows: DataFrame, names: DataFrame, tasks: int, by) -> DataFrame:
+    """``rows`` dealt out by the columns ``by`` with the names of their stores; names
+    too many for a broadcast are joined before, so that reports stay together."""
+    small = broadcast_if_small(names)
+    if small is names:
+        return rows.join(names, "store_id").repartition(tasks, *by)
+    return rows.repartition(tasks, *by).join(small, "store_id")
+
+
+def report_cells(t: Tables, by=("source_file",)) -> DataFrame:
     """(source_file, page, table_no, pos, cells) — see module doc.
 
     One pipeline: the per-store daily aggregate, the MTD running sums beside it
     (window per store-month), then one ``explode`` emitting each store's DAILY
     and MTD lines, plus the page header and a footnote table on the page's
     first store (window per report page, a bounded group).  Only numbers are
-    shuffled, once by report; the text of a line is made after the ``explode``,
-    and all that a parser asks of a report stays within its partition."""
-    daily = B.store_daily(t)
-    w_mtd = (Window.partitionBy("store_id", F.trunc("report_date", "month")).orderBy("report_date")
+    shuffled, the lines by store and month and the store days by report (by
+    ``PAGES`` for a parser that looks up ``positions``); names and the text of a
+    line are made after that, and all that a parser asks of a report stays within
+    its partition."""
+    tasks = t.tasks("lineitem")
+    daily = B.store_daily_by_month(t, tasks)
+    w_mtd = (Window.partitionBy("store_id", "report_month").orderBy("report_date")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     both = daily.select(
         "report_date", "store_id", "sales_result", "customer_count", "unit_price", "transfer_amount",
@@ -59,15 +78,14 @@ def report_cells(t: Tables) -> DataFrame:
         F.sum("customer_count").over(w_mtd).cast("bigint").alias("m_customer_count"),
         F.sum("transfer_amount").over(w_mtd).cast(B.MONEY).alias("m_transfer_amount"),
         F.sum("sales_incl_result").over(w_mtd).cast(B.MONEY).alias("m_sales_incl_result"))
-    both = both.withColumn("m_unit_price", half_up_ratio_2dp("m_sales_result", "m_customer_count", "decimal(12,2)"))
-    names = B.dim_store(t).select("store_id", "store_name")
     sid = F.col("store_id")
     block = (sid / STORES_PER_BLOCK).cast("bigint")
     slot = sid % STORES_PER_BLOCK
-    j = both.join(names, "store_id").select(
-        "*", report_file_name(F.col("report_date"), block).alias("source_file"),
-        F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"), (slot % PAGE1_STORES).alias("row_slot"))
-    j = j.repartition("source_file")
+    both = both.withColumns({"source_file": report_file_name(F.col("report_date"), block), "page": _page_of(slot)})
+    names = B.dim_store(t).select("store_id", "store_name")
+    j = _deal_out(both, names, tasks, by).select(
+        "*", half_up_ratio_2dp("m_sales_result", "m_customer_count", "decimal(12,2)").alias("m_unit_price"),
+        (slot % PAGE1_STORES).alias("row_slot"))
     first_in_page = F.col("row_slot") == F.min("row_slot").over(Window.partitionBy("source_file", "page"))
 
     values = ["sales_result", "customer_count", "unit_price", "transfer_amount", "sales_incl_result"]
@@ -89,7 +107,7 @@ def report_cells(t: Tables) -> DataFrame:
                        format_amount(F.col("l.transfer_amount"), 2), format_amount(F.col("l.sales_incl_result"), 2),
                        F.lit("-"), F.lit("-"))
     name = F.col("store_name")
-    label = (F.when(sid % 5 == 1, F.regexp_replace(name, "-", "–"))
+    label = (F.when(sid % 5 == 1, F.replace(name, F.lit("-"), F.lit("–")))
              .when(sid % 5 == 2, F.concat(name, F.lit("\nALL 19 STORES")))
              .when(sid % 5 == 3, F.concat(F.lit("  "), name, F.lit("  ")))
              .otherwise(name))
@@ -147,14 +165,16 @@ def write_files(names: DataFrame, root: str) -> int:
 
 def positions(t: Tables) -> DataFrame:
     """(source_file, page, place, store_name): which store stands where, the
-    fallback for lines without a label."""
+    fallback for lines without a label.  Dealt out by ``PAGES`` as the cells are."""
     sid = F.col("store_id")
     slot = sid % STORES_PER_BLOCK
-    present = (t.lineitem.select(F.col("l_shipdate").cast("date").alias("report_date"),
-                                 F.col("l_suppkey").alias("store_id")).distinct()
-               .join(B.dim_store(t).select("store_id", "store_name"), "store_id"))
-    named = present.select(report_file_name(F.col("report_date"), (sid / STORES_PER_BLOCK).cast("bigint")).alias("source_file"),
-                           F.when(slot < PAGE1_STORES, 1).otherwise(2).alias("page"), "store_id", "store_name")
+    tasks = t.tasks("lineitem")
+    lines = t.lineitem.select(report_file_name(F.col("l_shipdate").cast("date"),
+                                               (F.col("l_suppkey") / STORES_PER_BLOCK).cast("bigint")).alias("source_file"),
+                              F.col("l_suppkey").alias("store_id")).withColumn("page", _page_of(slot))
+    present = lines.repartition(tasks, *PAGES).distinct()     # a file holds one date
+    named = (present.join(broadcast_if_small(B.dim_store(t).select("store_id", "store_name")), "store_id")
+             .select("source_file", "page", "store_id", "store_name"))
     w = Window.partitionBy("source_file", "page").orderBy("store_id")
     return named.withColumn("place", F.row_number().over(w) - 1)
 
@@ -163,7 +183,7 @@ def damaged_cells(t: Tables) -> DataFrame:
     """The report cells with faults that a parser must bear: DAILY lines
     without a label, stray odd lines at the end of page 1, personnel values
     (negative ones among them) in columns that the load blanks."""
-    c = report_cells(t)
+    c = report_cells(t, PAGES)
     line = (F.col("table_no") == 1) & (F.col("pos") >= 10) & (F.col("pos") % 2 == 0)
     slot = F.expr("(pos - 10) div 2")
     bare = F.concat(F.array(F.lit("")), F.slice("cells", 2, 100))
@@ -194,7 +214,7 @@ def faulty_cells(t: Tables, measures: list[str]) -> DataFrame:
         at = measures.index(measure) + 1      # behind the label
         swapped = F.concat(F.slice("cells", 1, at), F.array(F.lit(text)), F.slice("cells", at + 2, 100))
         cells = F.when(line & (place == k), swapped).otherwise(cells)
-    return report_cells(t).withColumn("cells", cells)
+    return report_cells(t, PAGES).withColumn("cells", cells)
 
 
 # ---------------------------------------------------------------------------

@@ -9,11 +9,22 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
 
 
+BROADCAST_ROWS = 500_000       # a dimension of (key, name) with so many rows takes some 50 MB
+
+
+def broadcast_if_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint when it is measured to have at most ``rows``
+    rows, else ``dim`` itself.  The planner only knows an estimate, which
+    multiplies up over joins, and moves the large side before AQE can see better."""
+    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).lineitem`` -> DataFrame."""
 
@@ -44,6 +55,14 @@ class Tables:
         t.__dict__[name] = self.read(name).where(condition)
         return t
 
+    def tasks(self, name: str, most: int = 150_000, least: int = 20_000) -> int:
+        """Number of shuffle partitions for work on all rows of ``name``: the
+        session's, but at most ``most`` and, where there are fewer rows than
+        that, at least ``least`` rows each.  The count comes from the file footers."""
+        rows = getattr(self, name).count()
+        conf = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(-(-rows // most), min(conf, -(-rows // least)), 1)
+
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 

@@ -181,3 +181,44 @@ def test_listing_is_done_by_tasks(spark, scratch, monkeypatch):
             got = I.list_report_files(spark, scratch, glob).collect()
         assert DataFrameReader.load is own and spark_own
         assert sorted((r.path, r.modificationTime) for r in got) == sorted((r.path, r.modificationTime) for r in spark_own)
+
+
+def _moves(df):
+    """Shuffles of a plan, broadcasts and the gathering of a total left out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_reports_are_made_and_parsed_in_two_moves(spark, monkeypatch):
+    """The lines by store and month and the store days by report, never the parsed
+    lines: not for the stores by position, nor for policies, listings and layouts."""
+    from salesmart.plans import q_ingest as Q
+    from salesmart.sources import reports as R
+    from salesmart.sources.tables import Tables
+    monkeypatch.setattr(Tables, "tasks", lambda *a: 3)      # so small a table goes to one partition
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert len(_moves(I.cells_to_records(R.report_cells(t)))) == 2
+    assert len(_moves(I.cells_to_records(R.damaged_cells(t), R.positions(t)))) == 3      # the positions once
+    for q in (Q.q_unknown_stores, Q.q_unknown_store_policy_row, Q.q_layout_detect):
+        assert len(_moves(q(spark, "/root/testdata/sf0.001"))) == 2
+    records = I.cells_to_records(R.report_cells(t))
+    assert len(_moves(I.load_outcomes(I.flag_store_policy(records, Q._snapshot_dim(t), "skip_day"), "skip_day"))) == 2
+
+
+def test_partitions_grow_with_the_rows_and_small_names_are_broadcast(spark):
+    from salesmart.sources.tables import Tables, broadcast_if_small
+    t = Tables(spark, "/root/testdata/sf0.001")
+    n, conf = t.lineitem.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert t.tasks("lineitem", most=n // (10 * conf), least=1) >= 10 * conf      # not the session's few
+    assert t.tasks("lineitem", most=n, least=n) == 1 and t.tasks("lineitem", most=n, least=1) == conf
+    dim = spark.createDataFrame([("A",), ("A",), (None,)], "store_name string")
+    assert broadcast_if_small(dim, 2) is dim and sorted(map(str, broadcast_if_small(dim, 3).collect())) == sorted(map(str, dim.collect()))
+
+
+def test_policies_keep_repeated_names(spark):
+    """A name that stands twice in the dimension gives two rows, however it is joined."""
+    records = spark.createDataFrame([("f", "A"), ("f", "B"), ("f", None)], "source_file string, store_name string")
+    dim = spark.createDataFrame([("A", 1), ("A", 2), (None, 3)], "store_name string, store_id bigint")
+    got = sorted((str(r.store_name), r.store_id or 0, r._keep) for r in I.flag_store_policy(records, dim).collect())
+    assert got == [("A", 1, True), ("A", 2, True), ("B", 0, False), ("None", 0, False)]
+    assert sorted(str(r.store_name) for r in I.unknown_stores(records, dim).collect()) == ["B", "None"]

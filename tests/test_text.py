@@ -64,3 +64,15 @@ def test_payload_and_join(spark):
     assert [(x.l, x.m, x.w) for x in r] == [(12, 21, None), (None, None, None), (None, None, 21)]
     j = spark.createDataFrame([(["a", "b"],), ([],)], "v array<string>").select(join_or_null("v").alias("j"))
     assert [x.j for x in j.collect()] == ["a; b", None]
+
+
+def test_amounts_and_labels_off_the_short_way(spark):
+    """Texts at the edges of the short ways for NULL tokens, plain numbers and ASCII labels."""
+    amounts = {"(": None, "()": None, ")": None, "( 1,0 )": -10.0, "(-5)": None, "(5": None, "5)": None, " - ": None, "(N/A)": None,
+               " 7 ": 7.0, "+1": 1.0, "1e2": 100.0, "--1": None, ",": None, "(+5)": None, "\n3": None}
+    rows = spark.createDataFrame([(k,) for k in amounts], "v string").select("v", parse_amount("v").alias("r")).collect()
+    assert {r.v: r.r for r in rows} == amounts
+    labels = {"": "", "  ": "", " BD ": "Business Development", "BD": "Business Development", "A\rB": "A", "\r\n BD\n": "Business Development",
+              "B\u2013D": "B-D", " ALL 17 STORES": "ALL 18 STORES", "\u5e97": "\u5e97", "a\tb": "a\tb"}
+    rows = spark.createDataFrame([(k,) for k in labels], "v string").select("v", normalise_name("v").alias("r")).collect()
+    assert {r.v: r.r for r in rows} == labels
