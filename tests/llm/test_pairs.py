@@ -1,6 +1,7 @@
 """Jaccard join, suffix dedup: against brute force, on odd rows and empty tables."""
 
 import hashlib
+import random
 import re
 import tracemalloc
 from collections import Counter
@@ -154,6 +155,23 @@ def test_suffixes_keep_first_matches_brute_force(docs, corpus, monkeypatch):
         assert got == want
 
 
+def test_suffixes_line_in_many_contexts_crosses_few_windows(docs, monkeypatch):
+    rnd = random.Random(8)
+    own = lambda n: "".join(rnd.choices("abcdefghij", k=n))
+    line, passage = own(80), own(130)
+    rows = [(i, own(150) + line + own(150) + (passage if i % 20 == 0 else ""), "en", "s", 0) for i in range(60)]
+    made, keep = {}, suffixes.stash
+
+    def stash(df, name):
+        made[name] = keep(df, name)
+        return made[name]
+    monkeypatch.setattr(suffixes, "stash", stash)
+    monkeypatch.setattr(suffixes, "TASK_CLASSES", 4)
+    got = suffixes.removed(docs(rows), 100, keep="none").collect()
+    assert Counter(tuple(r) for r in got) == brute_removed(rows, 100) and sum(r.n_removed for r in got) >= 3 * 130
+    assert made["matches"].count() < len(rows)     # each context had some 50 of its own before
+
+
 def test_suffixes_keep_the_first_copy(docs):
     a, b = "x".join(str(i) for i in range(300)), "y".join(str(i) for i in range(300, 500))
     rows = [(5, "start " + a + " end", "en", "s", 0), (2, a, "en", "s", 0), (9, b + a, "en", "s", 0), (11, None, "en", "s", None)]
