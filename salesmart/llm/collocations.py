@@ -10,7 +10,7 @@ a phrase is the total of the leaves below its node.
    that holds it: a suffix is cut short where its next run is.  The tables only
    save work, equal hashes cost rows and no results.
 2. Each task writes the suffixes of its slices with their counts, equal ones
-   added up before the shuffle: the leaves.
+   added up over all of them as far as HELD allows: the leaves.
 3. Vertical partitioning: leaves are counted by their first word (in buckets of
    its hash); a bucket of more than `budget` leaves is counted again by two
    words, and so on to the full depth, where a bucket holds few leaves because
@@ -47,7 +47,9 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import LOWER, MIX2, mix, range_hashes, stash, text_slices, word_spans
 
 #: Counters of runs of words, leaves of a group, bytes of text of a slice.
-COUNTERS, BUDGET, SLICE = 1 << 22, 150_000, 2 << 20
+COUNTERS, BUDGET, SLICE = 1 << 22, 150_000, 1 << 19
+#: Leaves, and bytes of their phrases, that a task adds up before it writes them.
+HELD, HELD_BYTES = 200_000, 16 << 20
 #: Bytes that end a piece, and bytes that end a word.
 ENDS_PIECE = np.zeros(256, bool)
 ENDS_PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -63,6 +65,13 @@ def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str], np.ndarray
     return lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), names, np.array(keys, np.uint64)
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all ranges that begin at `start`, one after the other."""
+    at = np.repeat(start - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    return at
+
+
 class Words:
     """The words of a slice of texts."""
 
@@ -102,14 +111,12 @@ class Words:
         for (alive, counter), table in zip(self.runs(frequent), frequent):
             depth += alive & table[counter]
         size = self.end - self.start
-        before = np.cumsum(size) - size
         place = np.concatenate([[0], np.cumsum(size + 1)])     # words joined by single blanks
         text = np.full(place[-1], 0x20, np.uint8)
-        each = np.arange(size.sum())
-        text[each + np.repeat(place[:-1] - before, size)] = self.data[each + np.repeat(self.start - before, size)]
+        text[_ranges(place[:-1], size)] = self.data[_ranges(self.start, size)]
         length = np.where(depth > 0, place[np.arange(n) + depth] - 1 - place[:-1], 0)
         offs = np.concatenate([[0], np.cumsum(length)])
-        raw = text[np.arange(offs[-1]) + np.repeat(place[:-1] - offs[:-1], length)]
+        raw = text[_ranges(place[:-1], length)]
         return self.code, pa.LargeStringArray.from_buffers(n, pa.py_buffer(offs), pa.py_buffer(raw))
 
 
@@ -129,11 +136,11 @@ def _count_runs(bits: list[bytes]):
         for batch in batches:
             for words, _ in _slices(batch):
                 *_, (alive, counter) = words.runs(frequent)
-                total += np.bincount(counter[alive], minlength=COUNTERS)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 1 << 17):
-            part = at[i:i + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["counter", "n"])
+                np.add.at(total, counter[alive], 1)
+        for i in range(0, COUNTERS, 1 << 17):
+            at = i + np.flatnonzero(total[i:i + (1 << 17)])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["counter", "n"])
     return run
 
 
@@ -153,9 +160,15 @@ def frequent_counters(docs: DataFrame, least: int, longest: int) -> list[bytes]:
     return found
 
 
+def _added_up(parts: list[pa.Table]) -> pa.Table:
+    t = pa.concat_tables(parts, promote_options="none").group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+    return t.rename_columns(["lang", "phrase", "n"])
+
+
 def _write_leaves(bits: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = _tables(bits)
+        held, rows, size = [], 0, 0          # equal leaves of a task's slices are added up as far as memory allows
         for batch in batches:
             for words, names in _slices(batch):
                 if len(words.start) == 0:
@@ -164,11 +177,23 @@ def _write_leaves(bits: list[bytes]):
                 t = pa.table([pa.array(code), phrase], names=["code", "phrase"])
                 t = t.group_by(["code", "phrase"]).aggregate([([], "count_all")])
                 lang = pa.array(names, pa.string()).take(t.column("code").combine_chunks())
-                yield from pa.table([lang, t.column("phrase").cast(pa.string()), t.column("count_all")],
-                                    names=["lang", "phrase", "n"]).to_batches(max_chunksize=50_000)
+                held.append(pa.table([lang, t.column("phrase"), t.column("count_all")], names=["lang", "phrase", "n"]))
+                rows, size = rows + len(t), size + held[-1].nbytes
+                if rows > 2 * HELD or size > 2 * HELD_BYTES:
+                    held = [_added_up(held)]
+                    rows, size = len(held[0]), held[0].nbytes
+                    if rows > HELD or size > HELD_BYTES:
+                        yield from _leaf_batches(held.pop())
+                        rows = size = 0
+        if held:
+            yield from _leaf_batches(_added_up(held))
     return run
 
 
+def _leaf_batches(t: pa.Table) -> list[pa.RecordBatch]:
+    return t.set_column(1, "phrase", t.column("phrase").cast(pa.string())).to_batches(max_chunksize=50_000)
+
+
 def _bucket(depth: int, buckets: int) -> Column:
     return F.pmod(F.xxhash64("lang", F.substring_index("phrase", " ", depth)), F.lit(buckets)).alias(f"b{depth}")
 

@@ -5,9 +5,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -75,6 +77,42 @@ def test_collocations_one_group_or_many_agree(docs):
     assert runs[0] == runs[1] != set()
 
 
+ALL_FREQUENT = [b"\xff" * (collocations.COUNTERS // 8)] * 5
+
+
+def leaves_of(texts, per_batch):
+    for i in range(0, len(texts), per_batch):
+        part = texts[i:i + per_batch]
+        yield pa.RecordBatch.from_pydict({"text": part, "lang": ["en", None][i // per_batch % 2:][:1] * len(part)},
+                                         schema=pa.schema([("text", pa.string()), ("lang", pa.string())]))
+
+
+@pytest.mark.parametrize("held", [1, 1000])
+def test_leaves_are_added_up_over_a_task(monkeypatch, held):
+    """Slices of few bytes: a task writes each leaf once, or several times with the same total where it may hold few."""
+    monkeypatch.setattr(collocations, "SLICE", 40)
+    monkeypatch.setattr(collocations, "HELD", held)
+    found = [r for b in collocations._write_leaves(ALL_FREQUENT)(leaves_of(["a b. c d e f g", "a b"] * 30, 10)) for r in b.to_pylist()]
+    total = Counter()
+    for r in found:
+        total[r["lang"], r["phrase"]] += r["n"]
+    leaves = {"a b": 60, "b": 60, "c d e f g": 30, "d e f g": 30, "e f g": 30, "f g": 30, "g": 30}
+    assert total == {(lang, p): n // 2 for p, n in leaves.items() for lang in ("en", "und")}
+    assert len(found) == len(total) if held > 1 else len(found) > len(total)
+
+
+def test_leaves_of_long_texts_take_little_memory():
+    """Every suffix has its full depth, so phrases hold five times the text."""
+    text = " ".join(f"w{i % 997:03d}" for i in range(400_000))
+    list(collocations._write_leaves(ALL_FREQUENT)(leaves_of(["warm up"], 1)))
+    texts = [text[i:i + 10_000] for i in range(0, len(text), 10_000)]
+    tracemalloc.start()
+    rows = sum(len(b) for b in collocations._write_leaves(ALL_FREQUENT)(leaves_of(texts, 1000)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 997 and peak < 100e6
+
+
 def test_groups_stay_within_twice_the_budget(docs):
     leaves = docs([]).sparkSession.createDataFrame(
         [("en", f"the w{i} w{j} x", 1) for i in range(40) for j in range(20)] + [("en", "a b", 5), ("de", "the w1", 2)],
