@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import components, shingles, stash, text_slices
+from salesmart.llm.common import components, discard, shingles, stash, text_slices
 
 #: Counters of the order table (fixed size), and the shingles a joining task holds.
 COUNTERS_LOG2, TASK_SHINGLES = 22, 2_000_000
@@ -88,14 +88,49 @@ def _digest(h: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
-SETS = ("doc_id long, h long, d1 long, d2 long, n int, tokens array<long>, tops array<int>, near array<long>")
+def _bitmaps(h: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of all rows, start of each row's, how many): a bit is the parity of
+    the shingles whose low bits name it; a row of n has 2 n bits at least, by
+    powers of two, so that a longer bitmap folds to a shorter one."""
+    size = np.int64(1) << np.ceil(np.log2(np.maximum(n, 32) / 32)).astype(np.int64)
+    start = np.cumsum(size) - size
+    bit = start[row] * 64 + (h & (size[row] * 64 - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(bit, minlength=int(size.sum()) * 64) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64), start, size
+
+
+def _apart(words: np.ndarray, start: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits the bitmaps of rows a[i] and b[i] differ, the longer
+    folded: never more than the shingles that only one of them has."""
+    out = np.zeros(len(a), np.int64)
+    kinds, kind = np.unique(size[a] << 32 | size[b], return_inverse=True)
+    for k, (x, y) in enumerate(zip((kinds >> 32).tolist(), (kinds & 0xFFFFFFFF).tolist())):
+        least, at = min(x, y), np.flatnonzero(kind == k)
+        step = max(1, (1 << 19) // max(x, y))
+        for part in (at[i:i + step] for i in range(0, len(at), step)):
+            p, q = (np.bitwise_xor.reduce(words[start[ends][:, None] + np.arange(long)].reshape(len(part), -1, least), axis=1)
+                    for ends, long in ((a[part], x), (b[part], y)))
+            out[part] = np.bitwise_count(p ^ q).sum(axis=1)
+    return out
+
+
+def _may_differ(total: np.ndarray, percent: int) -> np.ndarray:
+    """The most shingles that only one of two linked sets has, of so many in both sizes."""
+    return total * (100 - percent) // (100 + percent)
+
+
+SETS = ("doc_id long, h long, d1 long, d2 long, n int, tokens array<long>, tops array<int>, near array<long>, "
+        "bits binary, slack int, most int")
+#: How often a slice's rows of a shingle look for one to stand for them.
+ROUNDS = 8
 
 
 def _prefixes(width: int, percent: int, table):
-    """One row for each document.  A slice's rows of one shingle whose sizes
-    can link are joined there: the smallest stands for them in the shuffle
-    (`tops`: the largest size any of them can link with), the others become
-    edges (`near`)."""
+    """One row for each document.  Of a slice's rows of one shingle the smallest
+    stands in the shuffle for those whose bitmaps are as near as those of linked
+    sets (`tops`: the largest size any of them can link with); they become edges
+    (`near`).  `slack` and `most`: how far their bitmaps are from its own at
+    most, and the largest size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offs in text_slices(batch, column="text"):
@@ -105,6 +140,7 @@ def _prefixes(width: int, percent: int, table):
                 d1 = np.array([d[0] for d in digests], np.int64)
                 first = {}
                 own = np.array([first.setdefault(d, i) == i for i, d in enumerate(digests)])   # of equal sets one is enough
+                words, start, size = _bitmaps(h, row, n)
                 length = n - (n * percent + 99) // 100 + 1
                 place = np.arange(len(h)) - at[row]
                 keep = (place < length[row]) & own[row]
@@ -113,30 +149,134 @@ def _prefixes(width: int, percent: int, table):
                 top = (n[doc] - place) * (100 + percent) // percent - n[doc]
                 order = np.lexsort((doc, -top, n[doc], token))
                 token, doc, top = token[order], doc[order], top[order]
-                fresh = np.ones(len(token), bool)
-                fresh[1:] = token[1:] != token[:-1]
-                number = np.cumsum(fresh)
-                reach = np.maximum.accumulate(number << 32 | top) & 0xFFFFFFFF      # of the shingle's rows so far
-                new = fresh.copy()
-                new[1:] |= n[doc[1:]] > reach[:-1]
-                head = np.flatnonzero(new)
-                lead = np.repeat(head, np.diff(np.append(head, len(token))))
-                top = reach[np.append(head[1:], len(token)) - 1] if len(head) else top
-                edge = np.unique(np.stack([doc[~new], doc[lead[~new]]], 1), axis=0)
+                fresh = np.ones(len(token) + 1, bool)
+                fresh[1:-1] = token[1:] != token[:-1]
+                lead, reach = np.arange(len(token)), top.copy()
+                slack, most = np.zeros(len(n), np.int64), n.copy()
+                rest = np.flatnonzero(~(fresh[:-1] & fresh[1:]))        # rows of shingles that several have
+                for _ in range(ROUNDS):
+                    new = np.ones(len(rest), bool)
+                    new[1:] = token[rest[1:]] != token[rest[:-1]]
+                    head = rest[np.flatnonzero(new)][np.cumsum(new) - 1][~new]
+                    rest = rest[~new]
+                    if not len(rest):
+                        break
+                    pair, which = np.unique(doc[head] * len(n) + doc[rest], return_inverse=True)
+                    x, y = pair // len(n), pair % len(n)
+                    gap = _apart(words, start, size, x, y)
+                    close = (gap <= _may_differ(n[x] + n[y], percent))[which] & (n[doc[rest]] <= top[head])
+                    lead[rest[close]] = head[close]
+                    np.maximum.at(reach, head[close], top[rest[close]])
+                    np.maximum.at(slack, doc[head[close]], gap[which[close]])
+                    np.maximum.at(most, doc[head[close]], n[doc[rest[close]]])
+                    rest = rest[~close]
+                head = np.flatnonzero(lead == np.arange(len(token)))
+                gone = np.flatnonzero(lead != np.arange(len(token)))
+                edge = np.unique(np.stack([doc[gone], doc[lead[gone]]], 1), axis=0)
                 owner = doc[head]
                 by = np.argsort(owner, kind="stable")
                 cut = np.searchsorted(owner[by], np.arange(len(offs)))
                 ecut = np.searchsorted(edge[:, 0], np.arange(len(offs)))
+                shown = np.diff(cut) > 0
+                raw = words.view(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                     pa.array(d1), pa.array([d[1] for d in digests], pa.int64()), pa.array(n.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(token[head][by])),
-                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(top[by].astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(reach[head][by].astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(ecut, pa.int32()), pa.array(d1[edge[:, 1]])),
-                ], names=["doc_id", "h", "d1", "d2", "n", "tokens", "tops", "near"])
+                    pa.array([raw[s * 8:(s + w) * 8] if k else None for s, w, k in zip(start.tolist(), size.tolist(), shown)],
+                             pa.binary()),
+                    pa.array(slack.astype(np.int32)), pa.array(most.astype(np.int32)),
+                ], names=["doc_id", "h", "d1", "d2", "n", "tokens", "tops", "near", "bits", "slack", "most"])
+    return run
+
+
+def _near_pairs(percent: int):
+    """Pairs of which some sets that their ends stand for can link, by the bitmaps."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
+            k = batch.num_rows
+            if k == 0:
+                continue
+            bits = [x for c in ("u_bits", "v_bits") for x in col[c].to_pylist()]
+            size = np.array([len(x) // 8 for x in bits], np.int64)
+            gap = _apart(np.frombuffer(b"".join(bits), np.uint64), np.cumsum(size) - size, size, np.arange(k), k + np.arange(k))
+            slack, most = ((col[f"u_{c}"].to_numpy() + col[f"v_{c}"].to_numpy()).astype(np.int64) for c in ("slack", "most"))
+            yield pa.RecordBatch.from_arrays([col["u"], col["v"]], names=["u", "v"]).filter(
+                pa.array(gap - slack <= _may_differ(most, percent)))
     return run
 
 
+#: Neighbours with which a row of a shingle is compared; longer runs are linked whole.
+NEIGHBOURS = 16
+
+
+def _possible(sets: DataFrame) -> DataFrame:
+    """(u, v, sure): edges whose components hold every link that documents'
+    `near` does not; those that are not sure have yet to be compared.
+
+    Rows that no other row of their shingle can link with go first.  A pair is
+    left out at a shingle if it was met at the one before, by the same shingle
+    in both documents; rows that could link beyond NEIGHBOURS are linked with
+    all between them."""
+    rows = sets.select("d1", "n", F.explode(F.arrays_zip("tokens", "tops")).alias("p"))
+    rows = rows.select("d1", "n", F.col("p.tokens").alias("token"), F.col("p.tops").alias("top"))
+    along = Window.partitionBy("token").orderBy("n", "d1", F.desc("top"))
+    so_far = along.rowsBetween(Window.unboundedPreceding, -1)
+    shared = (rows.withColumns({"prev": F.lag("d1").over(along), "after": F.lead("n").over(along),
+                                "reach": F.max("top").over(so_far)})
+              .where("(n <= reach OR after <= top) AND (prev IS NULL OR prev <> d1)").select("token", "d1", "n", "top"))
+    of_doc = Window.partitionBy("d1").orderBy("token")
+    shared = shared.withColumns({"before": F.lag("token").over(of_doc), "before_top": F.lag("top").over(of_doc)})
+    along = Window.partitionBy("token").orderBy("n", "d1")
+    so_far = along.rowsBetween(Window.unboundedPreceding, -1)
+    far = F.lead("n", NEIGHBOURS + 1).over(along)
+    shared = (shared.withColumn("span", F.when(far <= F.col("top"), F.col("top")))
+              .withColumn("sure", F.coalesce(F.max("span").over(so_far) >= F.col("n"), F.lit(False)))
+              .withColumn("run", F.sum((~F.col("sure")).cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("prev", F.lag("d1").over(along))
+              .withColumn("others", F.collect_list(F.struct("d1", "n", "top", "before", "before_top", "run"))
+                          .over(along.rowsBetween(-NEIGHBOURS, -1))))
+    met = """p -> p.run <> run AND n <= p.top AND p.n <= top
+        AND NOT coalesce(p.before = before AND n <= p.before_top AND p.n <= before_top, false)"""
+    pairs = shared.select("d1", F.explode(F.expr(f"""concat(
+        transform(filter(others, {met}), p -> struct(p.d1 AS other, false AS sure)),
+        CASE WHEN sure THEN array(struct(prev AS other, true AS sure)) ELSE array() END)""")).alias("p"))
+    return (pairs.groupBy(F.greatest("d1", "p.other").alias("u"), F.least("d1", "p.other").alias("v"))
+            .agg(F.max("p.sure").alias("sure")))
+
+
+#: Bits of the table (fixed size) of the keys that a join will find.
+MARKS_LOG2 = 24
+
+
+def _met(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """The rows whose columns `names` stand in `keys`, and the few others that
+    share their bits: they need not be moved to be told apart."""
+    place = F.shiftrightunsigned(F.xxhash64(*names), 64 - MARKS_LOG2)
+    marks = (keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, int(place & 63)))").alias("marks")))
+    return (rows.withColumn("place", place).join(F.broadcast(marks), F.shiftright("place", 6) == F.col("word"))
+            .where("getbit(marks, int(place & 63)) = 1").drop("place", "word", "marks"))
+
+
+def _edges(sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): edges whose components hold every possible link."""
+    pairs = stash(_possible(sets), "set-pairs")
+    open_ = pairs.where("NOT sure")
+    ends = open_.select(F.explode(F.array("u", "v")).alias("d1"))
+    bits = _met(sets.where("bits IS NOT NULL").select("d1", "bits", "slack", "most"), ends, "d1").groupBy("d1")
+    bits = stash(bits.agg(F.max("slack").alias("slack"), F.max("most").alias("most"), F.any_value("bits").alias("bits")),
+                 "set-bits")
+    of = {c: bits.select(F.col("d1").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("slack", "most", "bits"))) for c in "uv"}
+    near = stash(open_.drop("sure").join(of["u"], "u").join(of["v"], "v").mapInArrow(_near_pairs(percent), "u long, v long"),
+                 "near-pairs")
+    discard(bits)
+    return near.union(pairs.where("sure").select("u", "v")).union(sets.select("d1", F.explode("near").alias("other")))
+
+
 def _whole_sets(width: int, table):
     """The sets of representatives, where the text is the one the class has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,18 +457,11 @@ def link(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     table = spark.sparkContext.broadcast(order_table(own, width))   # 16 MB, whatever the corpus
     sets = stash(own.mapInArrow(_prefixes(width, percent, table), SETS), "sets")
 
-    # candidate components: neighbours in (shingle, size) order whose sizes can link
-    rows = sets.select("d1", "n", F.explode(F.arrays_zip("tokens", "tops")).alias("p"))
-    rows = rows.select("d1", "n", F.col("p.tokens").alias("token"), F.col("p.tops").alias("top"))
-    along = Window.partitionBy("token").orderBy("n", F.desc("top"), "d1")
-    linked = (rows.withColumn("prev", F.lag("d1").over(along))
-              .withColumn("reach", F.max("top").over(along.rowsBetween(Window.unboundedPreceding, -1)))
-              .where((F.col("prev") != F.col("d1")) & (F.col("n") <= F.col("reach"))))
-    edges = linked.select("d1", F.col("prev").alias("other")).union(
-        sets.select("d1", F.explode("near").alias("other")))
-    groups = components(edges, "d1", "other")
-
-    classes = (sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2")
+    groups = components(_edges(sets, percent), "u", "v")
+    ids = stash(sets.select("doc_id", "h", "d1", "d2", "n"), "set-ids")
+    discard(sets)
+
+    classes = (ids.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2")
                .agg(F.min(F.struct("doc_id", "h")).alias("rep"), F.count("*").alias("m"), F.first("n").alias("n")))
     classes = stash(classes.select("d1", "d2", F.col("rep.doc_id").alias("cls"), F.col("rep.h").alias("h"), "m", "n"),
                     "set-classes")
@@ -340,7 +473,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     grp = F.when(F.col("blocks") == 1, F.concat(F.lit("s"), F.pmod(F.xxhash64("root"), F.lit(bins)))).otherwise(
         F.concat(F.lit("l"), "root"))
     asked = member.join(sizes, "root").select(grp.alias("grp"), "blocks", "cls", "h", "d1", "d2", "m")
-    whole = (own.withColumnRenamed("doc_id", "cls").join(asked, ["cls", "h"])
+    whole = (_met(own.withColumnRenamed("doc_id", "cls"), asked, "cls", "h").join(asked, ["cls", "h"])
              .select("grp", "blocks", "cls", "d1", "d2", "m", "text")
              .mapInArrow(_whole_sets(width, table), "grp string, blocks int, cls long, m long, tokens array<long>"))
     dealt = (whole.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
@@ -353,7 +486,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     per = (classes.join(links, "cls", "left").join(roots, "cls", "left")
            .select("d1", "d2", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"),
                    F.coalesce("root", "cls").alias("component_id")))
-    out = sets.select("doc_id", "h", "d1", "d2", "n").join(per, ["d1", "d2"], "left")
+    out = ids.join(per, ["d1", "d2"], "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     return out.select("doc_id", "h", F.col("n").cast("long").alias("n_shingles"),
                       F.when(alone, 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),

@@ -1,6 +1,7 @@
 """Jaccard join, suffix dedup: against brute force, on odd rows and empty tables."""
 
 import hashlib
+import os
 import random
 import re
 import tracemalloc
@@ -67,6 +68,53 @@ def test_jaccard_empty_table_and_clashing_columns(spark, docs):
     assert jaccard.keep_first(d).collect()[0].token == 7
 
 
+@pytest.mark.parametrize("neighbours", [1, 3, 16])
+def test_jaccard_families_in_many_slices_match_brute_force(docs, monkeypatch, neighbours):
+    """Whatever the order of the shingles, and however long the runs that are linked whole."""
+    monkeypatch.setattr(jaccard, "NEIGHBOURS", neighbours)
+    monkeypatch.setattr(jaccard, "order_table", lambda own, width: np.zeros(1 << jaccard.COUNTERS_LOG2, np.int32))
+    rnd = random.Random(neighbours)
+    rows = []
+    for family in range(24):
+        base = [rnd.choice("abcdefgh") * 2 + str(rnd.randrange(40)) for _ in range(rnd.randrange(8, 90))]
+        for _ in range(rnd.choice([1, 2, 9, 22])):
+            w = [x if rnd.random() > 0.02 else "new" + str(rnd.randrange(30)) for x in base]
+            w = w[rnd.randrange(3):] + rows[-1][1].split()[:rnd.randrange(9)] if rows else w
+            rows.append((len(rows), " ".join(w), "en", "s", 0))
+    got = jaccard.link(docs(rows).repartition(40)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links, r.component_id) for r in got) == brute_links(rows)
+
+
+def test_jaccard_joins_near_sets_only_and_leaves_no_large_files(spark, docs, monkeypatch):
+    """Where the counters order next to nothing, texts that share a fifth of their shingles with the next one
+    made one component of all, whose blocks were dealt out as often as there were blocks."""
+    monkeypatch.setattr(jaccard, "order_table", lambda own, width: np.zeros(1 << jaccard.COUNTERS_LOG2, np.int32))
+    kept, made = {}, jaccard.stash
+    monkeypatch.setattr(jaccard, "stash", lambda df, name: kept.setdefault(name, made(df, name)))
+    block = [" ".join(f"w{i}x{k}" for k in range(24)) for i in range(200)]
+    own = [" ".join(f"o{i}x{k}" for k in range(50)) for i in range(200)]
+    rows = [(i, f"{block[i]} {own[i]} {block[(i + 1) % 200]}", "en", "s", 0) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " end", "en", "s", 0) for i in range(5)]
+    got = jaccard.link(docs(rows).repartition(24)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links, r.component_id) for r in got) == brute_links(rows)
+    assert kept["set-groups"].count() == 10     # all 205 before
+    folder = common.checkpoint_dir(spark).removeprefix("file:")
+    assert not any(f.startswith("llm-sets-") and kept["sets"].stash_folder.endswith(f) for f in os.listdir(folder))
+
+
+def test_bitmaps_never_differ_more_than_the_sets():
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(0, 1 << 63, k, np.uint64)) for k in (0, 1, 31, 32, 33, 64, 65, 500)]
+    sets += [np.unique(np.concatenate([x[len(x) // 9:], rnd.integers(0, 1 << 63, len(x) // 3, np.uint64)])) for x in sets]
+    n = np.array([len(x) for x in sets])
+    words, start, size = jaccard._bitmaps(np.concatenate(sets), np.repeat(np.arange(len(n)), n), n)
+    assert (size * 64 >= 2 * n).all()
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(n)), np.arange(len(n))))
+    apart = jaccard._apart(words, start, size, a, b)
+    assert (apart <= [len(np.setxor1d(sets[x], sets[y])) for x, y in zip(a, b)]).all()
+    assert apart[(a == 7) & (b == 6)] > 100 and (apart[a == b] == 0).all()
+
+
 @pytest.mark.parametrize("percent", [75, 30, 10, 95])
 def test_answers_are_derived_exactly(percent):
     rnd = np.random.default_rng(percent)
