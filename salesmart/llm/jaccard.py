@@ -6,7 +6,8 @@
    n - ceil(t * n) + 1 shingles: sets that link share one of them.
 3. Prefix shingles are sorted by (shingle, size).  The place of the shingle in
    a set bounds the size of the sets it can link with there; neighbours inside
-   such a bound become edges, whose components hold every possible link.
+   such a bound whose parity bitmaps are as near as those of linked sets become
+   edges, whose components hold every possible link.
 4. A task gets whole small components, or one pair of blocks of a large one,
    and joins them with set relations: index lists stand by size, so that the
    sizes that cannot link are skipped as blocks, and the answers of a set that

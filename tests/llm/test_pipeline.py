@@ -1,11 +1,13 @@
 """The pipeline's stages and the registry."""
 
+import os
 import random
 
 import numpy as np
 
 import corpus_pipeline
 from salesmart.llm import queries, suffixes
+from salesmart.session import checkpoint_dir
 from tests_llm_data import DOC_SCHEMA, prose, row
 
 
@@ -59,3 +61,11 @@ def test_words_of_texts():
     got = [[data[start[k]:end[k]].decode() for k in range(a, b)] for a, b in zip(cuts, cuts[1:])]
     assert got == [[], ["ab", "c", "d", "e", "f"], ["\u4e00", "\u4e8c", "x", "\u0e01", "\u0e02"],
                    ["a" * 32, "a" * 32, "a" * 6], ["\u00e9t\u00e9", "\U0001f600", "z"], ["b"]]
+
+
+def test_near_copies_leave_no_sets_or_bitmaps_in_the_shared_folder(spark, docs, corpus):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert corpus_pipeline.drop_near_copies(spark, docs(corpus), "").count() > 0
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(folder)) - before if f.startswith("llm-")}
+    assert "llm-set-ids" in left and not left & {"llm-sets", "llm-set-bits"}
